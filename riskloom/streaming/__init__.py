@@ -1,0 +1,5 @@
+"""Intentionally empty: the pipeline is a monthly batch and keeps no streaming state.
+
+Late or corrected months are handled by re-running ``plans.backfill`` for those
+months; the lake replaces exactly their partitions.
+"""
