@@ -33,8 +33,12 @@ def strip_placeholder(c: Column | str) -> Column:
 
 
 def first_match(c: Column | str, pattern: str, dtype: str) -> Column:
-    """First match of group 1 read as ``dtype``; no match or overflow gives NULL."""
-    return F.regexp_extract(_col(c), pattern, 1).try_cast(dtype)
+    """First match of group 1 read as ``dtype``; no match or overflow gives NULL.
+
+    No match is the empty string. It is set to NULL before the cast: a failing cast costs
+    far more than a NULL one.
+    """
+    return F.nullif(F.regexp_extract(_col(c), pattern, 1), F.lit("")).try_cast(dtype)
 
 
 def parse_decimal(c: Column | str, signed: bool = False, places: int = 2) -> Column:

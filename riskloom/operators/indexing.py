@@ -1,9 +1,12 @@
 """Frequency-ranked integer codes for text columns, fitted per month.
 
 All columns are counted in one pass over the rows; the label table has one row per
-(column, month, value). It is checkpointed and sized: while small it is ranked by a
-window and broadcast. A larger one is ranked and joined by shuffles in which no task
-holds a whole month and frequent values are spread over several tasks.
+(column, month, value). It is checkpointed and sized, and then used in one of three ways:
+
+* few labels per month: ranked, folded into one row of maps per month, broadcast once;
+* more, but few in total: ranked, broadcast once per column;
+* any number: ranked and joined by shuffles in which no task holds a whole month and
+  frequent values are spread over several tasks.
 """
 
 from __future__ import annotations
@@ -15,7 +18,8 @@ from riskloom.operators.durable import durable
 from riskloom.operators.joins import hot_keys_from_counts, spread_left_join
 from riskloom.schemas import SNAPSHOT
 
-BROADCAST_ROWS = 200_000
+MAP_LABELS = 128  # labels per column and month that a linear map lookup handles well
+BROADCAST_ROWS = 200_000  # rows of the label table worth broadcasting
 COLUMN, VALUE, COUNT, CODE = "column_name", "value", "n", "code"
 
 
@@ -62,37 +66,73 @@ def rank_labels_at_scale(counts: DataFrame, by: str = SNAPSHOT) -> DataFrame:
     return ranked.select(*group, VALUE, _as_code(F.col("_offset") + F.col("_place")).alias(CODE))
 
 
+def _index_by_maps(df: DataFrame, codes: DataFrame, columns: list[str], by: str) -> DataFrame:
+    """One broadcast row per month with a value -> code map and a label count per column."""
+    known = F.col(VALUE).isNotNull()
+    entry = F.struct(VALUE, CODE)
+    folded = []
+    for i, column in enumerate(columns):
+        own = (F.col(COLUMN) == column) & known
+        folded += [
+            F.map_from_entries(F.collect_list(F.when(own, entry))).alias(f"_codes{i}"),
+            F.count_if(own).cast("int").alias(f"_labels{i}"),
+        ]
+    by_month = codes.withColumnRenamed(by, "_by").groupBy("_by").agg(*folded)
+    joined = df.join(F.broadcast(by_month), F.col(by).eqNullSafe(F.col("_by")), "left")
+    index = {
+        f"{column}_index": F.coalesce(
+            F.try_element_at(f"_codes{i}", F.col(column)), F.nullif(F.col(f"_labels{i}"), F.lit(0))
+        )
+        for i, column in enumerate(columns)
+    }
+    return joined.withColumns(index).drop("_by", *[f"_{kind}{i}" for kind in ("codes", "labels") for i in range(len(columns))])
+
+
+def _index_by_broadcast(df: DataFrame, codes: DataFrame, columns: list[str], by: str) -> DataFrame:
+    for column in columns:
+        own = codes.where(F.col(COLUMN) == column).select(
+            F.col(by).alias("_by"), F.col(VALUE).alias("_value"), F.col(CODE).alias(f"{column}_index")
+        )
+        same = F.col(by).eqNullSafe(F.col("_by")) & F.col(column).eqNullSafe(F.col("_value"))
+        df = df.join(F.broadcast(own), same, "left").drop("_by", "_value")
+    return df
+
+
+def _index_by_shuffle(
+    df: DataFrame, codes: DataFrame, counts: DataFrame, columns: list[str], by: str
+) -> DataFrame:
+    """Join on value text, NULL made a value of its own; the counts tell the hot values."""
+    keys = [by, "_absent", "_text"]
+
+    def keyed(frame: DataFrame, value: str) -> DataFrame:
+        return frame.withColumns({"_absent": F.col(value).isNull(), "_text": F.coalesce(value, F.lit(""))})
+
+    for column in columns:
+        is_own = F.col(COLUMN) == column
+        own = keyed(codes.where(is_own), VALUE).select(*keys, F.col(CODE).alias(f"{column}_index"))
+        hot = hot_keys_from_counts(keyed(counts.where(is_own), VALUE), keys, n_sides=2)
+        df = spread_left_join(keyed(df, column), [own], keys, hot=hot).drop("_absent", "_text")
+    return df
+
+
 def string_index(
     df: DataFrame,
     columns: list[str],
     by: str = SNAPSHOT,
-    fit_on: DataFrame | None = None,
+    map_labels: int = MAP_LABELS,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Add ``<column>_index`` for each column: its rank by frequency within ``by``.
 
     NULL gets the code after the last label; a column that is NULL throughout a month
-    gets NULL there. The empty string is a label like any other. ``fit_on`` is a cheaper
-    frame with the same rows, if the caller has one.
+    gets NULL there. The empty string is a label like any other.
     """
-    counts = durable(label_counts(fit_on or df, columns, by))
-    if counts.count() <= broadcast_rows:
-        codes = rank_labels(counts, by)
-        for column in columns:
-            own = codes.where(F.col(COLUMN) == column).select(
-                F.col(by).alias("_by"), F.col(VALUE).alias("_value"), F.col(CODE).alias(f"{column}_index")
-            )
-            same = F.col(by).eqNullSafe(F.col("_by")) & F.col(column).eqNullSafe(F.col("_value"))
-            df = df.join(F.broadcast(own), same, "left").drop("_by", "_value")
-        return df
-
+    counts = durable(label_counts(df, columns, by))
+    per_month = counts.groupBy(COLUMN, by).agg(F.count("*").alias("labels"))
+    widest, total = per_month.agg(F.max("labels"), F.sum("labels")).first()
+    if (widest or 0) <= map_labels and (total or 0) <= broadcast_rows:
+        return _index_by_maps(df, rank_labels(counts, by), columns, by)
     codes = durable(rank_labels_at_scale(counts, by))
-    keys = [by, "_absent", "_text"]  # NULL as a value that can be joined
-    key_of = lambda c: {"_absent": F.col(c).isNull(), "_text": F.coalesce(c, F.lit(""))}
-    for column in columns:
-        own = codes.where(F.col(COLUMN) == column).withColumns(key_of(VALUE))
-        own = own.select(*keys, F.col(CODE).alias(f"{column}_index"))
-        used = counts.where(F.col(COLUMN) == column).withColumns(key_of(VALUE)).select(*keys, COUNT)
-        hot = hot_keys_from_counts(used, keys, n_sides=2)
-        df = spread_left_join(df.withColumns(key_of(column)), [own], keys, hot=hot).drop("_absent", "_text")
-    return df
+    if total <= broadcast_rows:
+        return _index_by_broadcast(df, codes, columns, by)
+    return _index_by_shuffle(df, codes, counts, columns, by)

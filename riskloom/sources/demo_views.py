@@ -116,12 +116,16 @@ def _project(df: DataFrame, view: str, columns: dict[str, str]) -> DataFrame:
     return df.selectExpr(*select_list({**columns, "snapshot_date": snapshot_of(view)}))
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def _table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """A demo table. One small file is one task, so it is dealt out to all cores; a table
+    that already has a split per core is left as it is."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "orders").selectExpr(*select_list(ORDER_COLUMNS))
+    return _table(spark, sf_dir, "orders", "o_orderkey").selectExpr(*select_list(ORDER_COLUMNS))
 
 
 def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,14 +138,14 @@ def financials(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two months: every customer in the first, every sixth again in the second."""
-    customers = _table(spark, sf_dir, "customer").selectExpr(*select_list(CUSTOMER_COLUMNS))
+    customers = _table(spark, sf_dir, "customer", "c_custkey").selectExpr(*select_list(CUSTOMER_COLUMNS))
     months = F.expr("explode(case when c % 6 = 0 then array(0, 1) else array(0) end)")
     return _project(customers.withColumn("v", months), "attributes", ATTRIBUTES)
 
 
 def attributes_with_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``attributes`` and, for every fifth customer, a second row under another name."""
-    customers = _table(spark, sf_dir, "customer").selectExpr(*select_list(CUSTOMER_COLUMNS))
+    customers = _table(spark, sf_dir, "customer", "c_custkey").selectExpr(*select_list(CUSTOMER_COLUMNS))
     months = F.expr("explode(case when c % 6 = 0 then array(0, 1) else array(0) end)")
     names = F.expr("explode(case when c % 5 = 0 then array(name, concat(name, ' Jr')) else array(name) end)")
     return _project(customers.withColumn("v", months).withColumn("name", names), "attributes", ATTRIBUTES)
@@ -149,7 +153,7 @@ def attributes_with_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per user and day of the event month, the largest value of each event type."""
-    events = _table(spark, sf_dir, "events")
+    events = _table(spark, sf_dir, "events", "event_id")
     largest = [F.max(F.when(F.col("event_type") == e, F.col("value"))).alias(f) for f, e in CLICK_EVENTS.items()]
     keys = [
         F.concat(F.lit("CUS_"), F.col("user_id")).alias("Customer_ID"),
