@@ -85,7 +85,7 @@ def _index_by_maps(df: DataFrame, codes: DataFrame, columns: list[str], by: str)
         )
         for i, column in enumerate(columns)
     }
-    return joined.withColumns(index).drop("_by", *[f"_{kind}{i}" for kind in ("codes", "labels") for i in range(len(columns))])
+    return joined.withColumns(index).select(*df.columns, *index)
 
 
 def _index_by_broadcast(df: DataFrame, codes: DataFrame, columns: list[str], by: str) -> DataFrame:
@@ -102,7 +102,7 @@ def _index_by_shuffle(
     df: DataFrame, codes: DataFrame, counts: DataFrame, columns: list[str], by: str
 ) -> DataFrame:
     """Join on value text, NULL made a value of its own; the counts tell the hot values."""
-    keys = [by, "_absent", "_text"]
+    keys, names = [by, "_absent", "_text"], df.columns
 
     def keyed(frame: DataFrame, value: str) -> DataFrame:
         return frame.withColumns({"_absent": F.col(value).isNull(), "_text": F.coalesce(value, F.lit(""))})
@@ -112,7 +112,7 @@ def _index_by_shuffle(
         own = keyed(codes.where(is_own), VALUE).select(*keys, F.col(CODE).alias(f"{column}_index"))
         hot = hot_keys_from_counts(keyed(counts.where(is_own), VALUE), keys, n_sides=2)
         df = spread_left_join(keyed(df, column), [own], keys, hot=hot).drop("_absent", "_text")
-    return df
+    return df.select(*names, *[f"{column}_index" for column in columns])
 
 
 def string_index(

@@ -29,30 +29,31 @@ def write_layer(
     snapshots: Iterable | None = None,
     rebalance: bool = False,
 ) -> dict[dt.date, int]:
-    """Write a table by month and return the rows written per month of ``snapshots``.
+    """Write a table by month and return its rows per month of ``snapshots``.
 
     ``rebalance`` gathers the rows of a month into full-sized files and is for frames
     whose tasks hold rows of many months; Spark splits large months and merges small
     ones. Frames that come straight from a lake scan need no such shuffle.
 
-    The audit counts are taken by the writing tasks. With ``snapshots`` given, a month
-    that has no rows any more is emptied as well.
+    With ``snapshots`` given, a month that has no rows any more is emptied, and the rows
+    are counted from the footers of the files just written.
     """
     path = table_path(base, layer, table)
     if rebalance:
         df = df.hint("rebalance", SNAPSHOT)
-    days = as_dates(snapshots) if snapshots is not None else []
-    observation = Observation()
-    if days:
-        per_day = [F.count_if(F.col(SNAPSHOT) == day).alias(day.isoformat()) for day in days]
-        df = df.observe(observation, *per_day)
+    months = Observation()
+    if snapshots is not None:
+        df = df.observe(months, F.collect_set(SNAPSHOT).alias("written"))
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(SNAPSHOT).parquet(path)
-    if not days:
+    if snapshots is None:
         return {}
-    counts = {day: observation.get[day.isoformat()] for day in days}
-    _empty_months(df, path, [day for day, n in counts.items() if n == 0])
-    return counts
+    written = set(months.get["written"])
+    days = as_dates(snapshots)
+    _empty_months(df, path, [day for day in days if day not in written])
+    stored = slice_snapshot(df.sparkSession.read.schema(df.schema).parquet(path), sorted(written))
+    counts = {row[SNAPSHOT]: row.n for row in audit_counts(stored, table).collect()}
+    return {day: counts.get(day, 0) for day in days}
 
 
 def _empty_months(df: DataFrame, path: str, days: list[dt.date]) -> None:
