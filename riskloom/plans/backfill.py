@@ -9,7 +9,9 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
+from riskloom.operators.projection import fill_columns
 from riskloom.operators.snapshots import as_dates, slice_snapshot, snapshot_calendar
 from riskloom.operators.vocabulary import THRESHOLD, loan_type_columns
 from riskloom.plans.attributes import attributes_gold, attributes_silver
@@ -61,6 +63,24 @@ def build_silver(lake: Lake) -> None:
     lake.write(financials_silver(lake.read("bronze", "financials")), "silver", "financials")
 
 
+def read_loan_types(spark: SparkSession, base: str) -> DataFrame:
+    return read_layer(spark, base, "gold", "loan_types", schema=struct(LOAN_TYPE_COLUMNS))
+
+
+def read_features(spark: SparkSession, base: str, table: str = "combined", snapshots=None) -> DataFrame:
+    """Gold ``combined`` or ``financials`` with the indicator columns of every month.
+
+    Months written before a loan type was first frequent have no file column for it. It
+    reads as "not in the vocabulary" there: 0 in ``combined``, NULL in ``financials``.
+    """
+    known = read_layer(spark, base, "gold", table).schema
+    names = {row.column_name for row in read_loan_types(spark, base).select("column_name").distinct().collect()}
+    late = sorted(names - set(known.names))
+    schema = T.StructType([*known.fields, *[T.StructField(name, T.IntegerType()) for name in late]])
+    df = read_layer(spark, base, "gold", table, snapshots, schema)
+    return fill_columns(df, sorted(names), 0) if table == "combined" else df
+
+
 def build_gold(
     lake: Lake, dpd: int = 30, mob: int = 6, threshold: int = THRESHOLD, loan_types: list[str] | None = None
 ) -> None:
@@ -71,12 +91,11 @@ def build_gold(
     silver = lake.read("silver", "financials")
     vocabulary: DataFrame | list[str] | None = loan_types
     if vocabulary is None:
-        # Kept as a table: it tells which indicator columns each month has.
+        # Kept as a table: it tells which indicator columns each month has. The columns
+        # of all months known so far are used, so a narrow run writes the same ones.
         found = loan_type_columns(silver, threshold).select(*LOAN_TYPE_COLUMNS)
         write_layer(found, lake.base, "gold", "loan_types", lake.snapshots, rebalance=True)
-        vocabulary = read_layer(
-            lake.spark, lake.base, "gold", "loan_types", lake.snapshots, struct(LOAN_TYPE_COLUMNS)
-        )
+        vocabulary = read_loan_types(lake.spark, lake.base)
     lake.write(financials_gold(silver, vocabulary, threshold), "gold", "financials")
 
     combined = combined_features(

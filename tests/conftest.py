@@ -11,7 +11,7 @@ from riskloom.session import local_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     folder = tmp_path_factory.mktemp("checkpoints")
-    session = local_session(4, "tests", **{"spark.checkpoint.dir": str(folder)})
+    session = local_session(8, "tests", **{"spark.checkpoint.dir": str(folder)})
     yield session
     session.stop()
 

@@ -284,8 +284,13 @@ def test_index_equals_string_indexer(spark):
     assert out.where(F.col("v_index") != F.col("expected").cast("int")).count() == 0
 
 
-def test_hot_values_of_the_shuffled_index_are_spread(spark, monkeypatch):
-    monkeypatch.setattr(joins, "MIN_HOT_ROWS", 10)
+def test_hot_values_of_the_shuffled_index_are_spread(spark):
     counts = spark.createDataFrame([(JAN, False, "x", 900), (JAN, False, "y", 5)], "d date, a boolean, t string, n long")
-    hot = joins.hot_keys_from_counts(counts, ["d", "a", "t"], 2, min_rows=10)
-    assert [r.t for r in hot.collect()] == ["x"]
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "50")
+    try:
+        hot = joins.hot_keys_from_counts(counts, ["d", "a", "t"], 2, min_rows=100).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    assert [(r.t, r["_rows0"], r["_rows1"]) for r in hot] == [("x", 50, 1)]
+    assert joins.hot_keys_from_counts(counts, ["d", "a", "t"], 2) is None

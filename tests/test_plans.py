@@ -20,6 +20,7 @@ from riskloom import (
 )
 from riskloom import schemas as S
 from riskloom.plans import backfill as steps
+from riskloom.plans.backfill import read_features
 from riskloom.sources.lake import read_layer, write_layer
 from riskloom.sources.raw import read_raw, read_source
 
@@ -243,6 +244,24 @@ def test_backfill(spark, sources, tmp_path):
     assert bag(read_layer(spark, base, "gold", "combined").select(*combined.columns)) == first
 
 
+def test_columns_of_later_loan_types(spark, sources, tmp_path):
+    """A type first frequent in a later month is 0 in the features of earlier months."""
+    fins, clicks, attrs = sources
+    later = F.when(F.col("snapshot_date") == F.lit(FEB), F.lit("New Loan")).otherwise(F.col("Type_of_Loan"))
+    raw = write_csvs(spark, (fins.withColumn("Type_of_Loan", later), clicks, attrs), f"{tmp_path}/raw")
+    base = f"{tmp_path}/lake"
+    for month in ("2023-01-01", "2023-02-01"):
+        backfill(spark, raw, base, month, month, threshold=5)
+    features = read_features(spark, base).groupBy("snapshot_date").agg(
+        F.sum("Loan_New_Loan").alias("new"), F.sum("Loan_Auto_Loan").alias("auto"), F.count("*").alias("n")
+    )
+    rows = {r.snapshot_date: r for r in features.collect()}
+    assert rows[JAN].new == 0 and rows[JAN].auto > 0
+    assert rows[FEB].new == rows[FEB].n == 20 and rows[FEB].auto == 0
+    money = read_features(spark, base, "financials")
+    assert {r[0] for r in money.where(F.col("snapshot_date") == F.lit(JAN)).select("Loan_New_Loan").collect()} == {None}
+
+
 def test_source_without_snapshot_holds_for_every_month(spark, sources, tmp_path):
     raw = write_csvs(spark, sources, f"{tmp_path}/raw", undated_clicks=True)
     lake = steps.Lake(spark, f"{tmp_path}/lake", [JAN, FEB])
