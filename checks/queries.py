@@ -528,7 +528,7 @@ def loan_one_hot_long(spark, sf):
 @query
 def loan_one_hot_long_shuffled(spark, sf):
     """The same pairs by the route for vocabularies too large to broadcast."""
-    return _one_hot_long(spark, sf, broadcast_rows=0)
+    return _one_hot_long(spark, sf, broadcast_bytes=0)
 
 
 # --- clickstream ------------------------------------------------------------------------------------------
@@ -574,7 +574,7 @@ def string_index_broadcast(spark, sf):
 @query
 def string_index_shuffled(spark, sf):
     """The same codes by the route for label tables too large to broadcast."""
-    return _index_all(spark, sf, broadcast_rows=0)
+    return _index_all(spark, sf, broadcast_bytes=0)
 
 
 # --- combination ------------------------------------------------------------------------------------------------

@@ -5,9 +5,17 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+BROADCAST_BYTES = 64 << 20  # what a driver and every executor can hold without notice
+ROW_OVERHEAD = 64  # generous size of the fixed part of a small row
+
+
+def broadcast_size(text: str) -> Column:
+    """Aggregate: bytes of a table of short rows around one text column of any length."""
+    return F.coalesce(F.sum(F.coalesce(F.octet_length(text), F.lit(0)) + ROW_OVERHEAD), F.lit(0))
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -1,9 +1,11 @@
 """Frequency-ranked integer codes for text columns, fitted per month.
 
 All columns are counted in one pass over the rows; the label table has one row per
-(column, month, value). It is checkpointed and sized, and then used in one of three ways:
+(column, month, value). It is checkpointed and sized, and each column is then coded in
+one of three ways:
 
-* few labels per month: ranked, folded into one row of maps per month, broadcast once;
+* few labels per month: ranked, folded into one row of maps per month, broadcast once for
+  all such columns;
 * more, but few in total: ranked, broadcast once per column;
 * any number: ranked and joined by shuffles in which no task holds a whole month and
   frequent values are spread over several tasks.
@@ -14,12 +16,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.operators.durable import durable
+from riskloom.operators.durable import BROADCAST_BYTES, broadcast_size, durable
 from riskloom.operators.joins import hot_keys_from_counts, spread_left_join
 from riskloom.schemas import SNAPSHOT
 
 MAP_LABELS = 128  # labels per column and month that a linear map lookup handles well
-BROADCAST_ROWS = 200_000  # rows of the label table worth broadcasting
 COLUMN, VALUE, COUNT, CODE = "column_name", "value", "n", "code"
 
 
@@ -102,7 +103,7 @@ def _index_by_shuffle(
     df: DataFrame, codes: DataFrame, counts: DataFrame, columns: list[str], by: str
 ) -> DataFrame:
     """Join on value text, NULL made a value of its own; the counts tell the hot values."""
-    keys, names = [by, "_absent", "_text"], df.columns
+    keys = [by, "_absent", "_text"]
 
     def keyed(frame: DataFrame, value: str) -> DataFrame:
         return frame.withColumns({"_absent": F.col(value).isNull(), "_text": F.coalesce(value, F.lit(""))})
@@ -112,7 +113,7 @@ def _index_by_shuffle(
         own = keyed(codes.where(is_own), VALUE).select(*keys, F.col(CODE).alias(f"{column}_index"))
         hot = hot_keys_from_counts(keyed(counts.where(is_own), VALUE), keys, n_sides=2)
         df = spread_left_join(keyed(df, column), [own], keys, hot=hot).drop("_absent", "_text")
-    return df.select(*names, *[f"{column}_index" for column in columns])
+    return df
 
 
 def string_index(
@@ -120,19 +121,27 @@ def string_index(
     columns: list[str],
     by: str = SNAPSHOT,
     map_labels: int = MAP_LABELS,
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Add ``<column>_index`` for each column: its rank by frequency within ``by``.
 
     NULL gets the code after the last label; a column that is NULL throughout a month
     gets NULL there. The empty string is a label like any other.
     """
+    names = df.columns
     counts = durable(label_counts(df, columns, by))
-    per_month = counts.groupBy(COLUMN, by).agg(F.count("*").alias("labels"))
-    widest, total = per_month.agg(F.max("labels"), F.sum("labels")).first()
-    if (widest or 0) <= map_labels and (total or 0) <= broadcast_rows:
-        return _index_by_maps(df, rank_labels(counts, by), columns, by)
-    codes = durable(rank_labels_at_scale(counts, by))
-    if total <= broadcast_rows:
-        return _index_by_broadcast(df, codes, columns, by)
-    return _index_by_shuffle(df, codes, counts, columns, by)
+    per_month = counts.groupBy(COLUMN, by).agg(F.count("*").alias("labels"), broadcast_size(VALUE).alias("size"))
+    sizes = per_month.groupBy(COLUMN).agg(F.max("labels").alias("widest"), F.sum("size").alias("size")).collect()
+    large = [row[COLUMN] for row in sizes if row["size"] > broadcast_bytes]
+    medium = [row[COLUMN] for row in sizes if row.widest > map_labels and row[COLUMN] not in large]
+    narrow = [c for c in columns if c not in large and c not in medium]
+
+    if narrow:
+        df = _index_by_maps(df, rank_labels(counts.where(F.col(COLUMN).isin(narrow)), by), narrow, by)
+    if medium:
+        codes = durable(rank_labels(counts.where(F.col(COLUMN).isin(medium)), by))
+        df = _index_by_broadcast(df, codes, medium, by)
+    if large:
+        own = counts.where(F.col(COLUMN).isin(large))
+        df = _index_by_shuffle(df, durable(rank_labels_at_scale(own, by)), own, large, by)
+    return df.select(*names, *[f"{column}_index" for column in columns])

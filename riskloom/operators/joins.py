@@ -41,9 +41,12 @@ def hot_keys(
     keys: Sequence[str],
     min_rows: int = MIN_HOT_ROWS,
     partitions: int | None = None,
+    unique: Sequence[int] = (),
 ) -> DataFrame | None:
     """Keys too large for one task in some side, with the slices each side needs; else None.
 
+    Sides listed in ``unique`` have about one row per key and are not counted.
+
     First rows per key-hash bucket are counted: the partial aggregates are at most
     ``buckets`` rows per task whatever the number of keys. Only if a bucket exceeds the
     threshold are its keys counted one by one. At most ``partitions`` keys per side can
@@ -54,6 +57,7 @@ def hot_keys(
     narrow = [
         side.select(F.lit(i).alias("_side"), F.pmod(F.xxhash64(*keys), F.lit(buckets)).alias("_bucket"), *keys)
         for i, side in enumerate(sides)
+        if i not in unique
     ]
     stacked = reduce(DataFrame.unionByName, narrow)
     census = stacked.groupBy("_side", "_bucket").agg(F.count("*").alias("n")).collect()
@@ -126,19 +130,21 @@ def spread_left_join(
     keys: Sequence[str],
     hot: DataFrame | None | str = "auto",
     min_rows: int = MIN_HOT_ROWS,
+    unique: Sequence[int] = (),
 ) -> DataFrame:
     """``fact`` left joined with each feature table on ``keys``; duplicates fan out.
 
     ``hot`` is the answer of ``hot_keys`` for ``[fact, *features]``, None to take the
-    plain joins, or "auto" to count first. NULL keys match nothing, but may be hot in
-    the fact table and are spread like any other key.
+    plain joins, or "auto" to count first; ``unique`` names sides that need no count
+    (0 is the fact table). NULL keys match nothing, but may be hot in the fact table and
+    are spread like any other key.
     """
     keys = list(keys)
     known = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
     features = [f.where(known) for f in features]
     sides = [fact, *features]
     if isinstance(hot, str):
-        hot = hot_keys(sides, keys, min_rows)
+        hot = hot_keys(sides, keys, min_rows, unique=unique)
     if hot is None:
         return reduce(lambda left, right: left.join(right, keys, "left"), features, fact)
 

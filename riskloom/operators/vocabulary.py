@@ -10,14 +10,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.financials import loan_column_name, loan_tokens, loan_type_name, mentions
-from riskloom.operators.durable import durable
+from riskloom.operators.durable import BROADCAST_BYTES, broadcast_size, durable
 from riskloom.operators.joins import spread_left_join
 from riskloom.schemas import SNAPSHOT
 
 TEXT = "Type_of_Loan"
 THRESHOLD = 10
 MAX_COLUMNS = 2_000  # columns a Parquet table can reasonably carry
-BROADCAST_ROWS = 200_000  # vocabulary rows worth broadcasting
 
 
 def loan_type_tokens(df: DataFrame) -> DataFrame:
@@ -91,7 +90,7 @@ def one_hot_loans(df: DataFrame, vocabulary: DataFrame | list[str]) -> DataFrame
 
 
 def one_hot_loans_long(
-    df: DataFrame, vocabulary: DataFrame, columns: list[str], broadcast_rows: int = BROADCAST_ROWS
+    df: DataFrame, vocabulary: DataFrame, columns: list[str], broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """(``columns``, loan_type): one row per row and loan type of its month found in its text.
 
@@ -100,7 +99,7 @@ def one_hot_loans_long(
     length of some type, so that no text is paired with types it does not contain.
     """
     vocabulary = durable(vocabulary.select(SNAPSHOT, "loan_type"))
-    if vocabulary.count() <= broadcast_rows:
+    if vocabulary.agg(broadcast_size("loan_type")).first()[0] <= broadcast_bytes:
         by_month = vocabulary.groupBy(SNAPSHOT).agg(F.collect_set("loan_type").alias("_types"))
         found = F.filter("_types", lambda loan_type: F.contains(F.col(TEXT), loan_type))
         return df.join(F.broadcast(by_month), SNAPSHOT).select(*columns, F.explode(found).alias("loan_type"))

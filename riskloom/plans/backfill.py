@@ -84,7 +84,8 @@ def read_features(spark: SparkSession, base: str, table: str = "combined", snaps
 def build_gold(
     lake: Lake, dpd: int = 30, mob: int = 6, threshold: int = THRESHOLD, loan_types: list[str] | None = None
 ) -> None:
-    lake.write(label_store(lake.read("silver", "loans"), dpd, mob), "gold", "label_store")
+    # A tenth of the ledger's rows and a third of its columns: merge them into few files.
+    lake.write(label_store(lake.read("silver", "loans"), dpd, mob), "gold", "label_store", rebalance=True)
     lake.write(attributes_gold(lake.read("silver", "attributes")), "gold", "attributes")
     lake.write(clickstream_gold(lake.read("silver", "clickstream")), "gold", "clickstream")
 

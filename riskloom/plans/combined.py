@@ -20,15 +20,15 @@ def join_clickstream(financials: DataFrame, clickstream: DataFrame, hot="auto")
 
 
 def join_attributes(df: DataFrame, attributes: DataFrame, hot="auto") -> DataFrame:
-    """Left join with the attributes of the same month."""
-    return spread_left_join(df, [attributes], KEYS, hot)
+    """Left join with the attributes of the same month, which has a customer once."""
+    return spread_left_join(df, [attributes], KEYS, hot, unique=[1])
 
 
 def joined_features(
     financials: DataFrame, clickstream: DataFrame, attributes: DataFrame, hot="auto"
 ) -> DataFrame:
     """Both joins over one shuffle of the financials."""
-    return spread_left_join(financials, [clickstream, attributes], KEYS, hot)
+    return spread_left_join(financials, [clickstream, attributes], KEYS, hot, unique=[2])
 
 
 def combined_features(

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# Runtime SQL settings worth having on a cluster as well. ANSI mode is left as it is.
+# Settings worth having on a cluster as well. ANSI mode is left as it is.
 SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     # The financial tables are wide projections. A generated method beyond 8000 bytes is
     # never compiled by HotSpot; above that size Spark's per-operator code is faster.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # One run of the pipeline generates more classes than the default cache of 100 keeps;
+    # with room for all, a repeated plan finds its code compiled and warm. Set at start-up.
+    "spark.sql.codegen.cache.maxEntries": "2000",
 }
 
 

@@ -226,11 +226,11 @@ def test_one_hot_is_a_substring_test(spark):
     assert {(r.Type_of_Loan, r.Loan_Auto_Loan) for r in hot.collect()} == {("My Auto Loan Plus", 1), (None, 0), ("", 0)}
 
 
-@pytest.mark.parametrize("broadcast_rows", [1000, 0])
-def test_long_form_routes_agree(spark, broadcast_rows):
+@pytest.mark.parametrize("broadcast_bytes", [10_000, 0])
+def test_long_form_routes_agree(spark, broadcast_bytes):
     df = fin_text(spark, (JAN, "Auto Loan and Auto", 3), (JAN, "xAutox", 2), (FEB, "Auto Loan", 2), (JAN, None, 2), (JAN, "", 1))
     words = spark.createDataFrame([(JAN, "Auto"), (JAN, "Auto Loan"), (FEB, "Loan")], "snapshot_date date, loan_type string")
-    out = vocabulary.one_hot_loans_long(df, words, ["snapshot_date", "Type_of_Loan"], broadcast_rows)
+    out = vocabulary.one_hot_loans_long(df, words, ["snapshot_date", "Type_of_Loan"], broadcast_bytes)
     assert bag(out) == Counter(
         [(JAN, "Auto Loan and Auto", "Auto")] * 3
         + [(JAN, "Auto Loan and Auto", "Auto Loan")] * 3
@@ -248,7 +248,7 @@ def test_too_many_columns_is_an_error_not_a_cut(spark, monkeypatch):
 
 # --- index ------------------------------------------------------------------------------------------------
 
-ROUTES = {"maps": {}, "broadcast": {"map_labels": 0}, "shuffle": {"map_labels": 0, "broadcast_rows": 0}}
+ROUTES = {"maps": {}, "broadcast": {"map_labels": 0}, "shuffle": {"map_labels": 0, "broadcast_bytes": 0}}
 
 
 @pytest.mark.parametrize("route", ROUTES)
@@ -294,3 +294,17 @@ def test_hot_values_of_the_shuffled_index_are_spread(spark):
         spark.conf.set("spark.sql.shuffle.partitions", partitions)
     assert [(r.t, r["_rows0"], r["_rows1"]) for r in hot] == [("x", 50, 1)]
     assert joins.hot_keys_from_counts(counts, ["d", "a", "t"], 2) is None
+
+
+def test_string_index_of_an_empty_frame(spark):
+    df = spark.createDataFrame([], "snapshot_date date, v string")
+    assert indexing.string_index(df, ["v"]).columns == ["snapshot_date", "v", "v_index"]
+    assert indexing.string_index(df, ["v"]).count() == 0
+
+
+def test_long_labels_are_not_broadcast(spark):
+    """The bound is on bytes: few labels of great length take the shuffled route."""
+    df = spark.createDataFrame([(JAN, "x" * 3000), (JAN, "y" * 3000), (JAN, None)], "snapshot_date date, v string")
+    out = indexing.string_index(df, ["v"], broadcast_bytes=4000)
+    assert "_codes0" not in plan_of(out)
+    assert sorted(r.v_index for r in out.collect()) == [0, 1, 2]
