@@ -13,7 +13,12 @@ MONTHS_PATTERN = r"(\d+) Months?"
 UNKNOWN = "Unknown"
 MIN_PAYMENT_CODES = {"Yes": "1", "No": "0", "NM": "-1"}
 PAYMENT_BEHAVIOURS = [
-    f"{spent}_spent_{size}_value_payments" for spent in ("High", "Low") for size in ("Small", "Medium", "Large")
+    "High_spent_Small_value_payments",
+    "High_spent_Medium_value_payments",
+    "High_spent_Large_value_payments",
+    "Low_spent_Small_value_payments",
+    "Low_spent_Medium_value_payments",
+    "Low_spent_Large_value_payments",
 ]
 INCOME_SOURCES = [(0.1, "Primarily Salary"), (0.3, "Mixed Income")]
 OTHER_INCOME_SOURCE = "Significant Non-Salary Income"

@@ -7,7 +7,10 @@ every table. Running fewer months means passing fewer; their partitions are repl
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -19,10 +22,28 @@ from riskloom.plans.clickstream import clickstream_gold, clickstream_silver
 from riskloom.plans.combined import combined_features
 from riskloom.plans.financials import financials_gold, financials_silver
 from riskloom.plans.loans import label_store, loan_silver
-from riskloom.schemas import LOAN_TYPE_COLUMNS, SNAPSHOT, struct
+from riskloom.schemas import (
+    ATTRIBUTES_GOLD,
+    ATTRIBUTES_SILVER,
+    FINANCIALS_SILVER,
+    LABEL_STORE,
+    LOAN_SILVER,
+    LOAN_TYPE_COLUMNS,
+    SNAPSHOT,
+    struct,
+)
 from riskloom.sources.lake import read_layer, write_bronze, write_layer
 from riskloom.sources.raw import OPTIONAL_SNAPSHOT, RAW_TYPES, read_source
 
+# Tables whose columns do not depend on the data; they read back even without any row.
+FIXED_SCHEMAS = {
+    **{("bronze", source): struct(types) for source, types in RAW_TYPES.items() if source != "clickstream"},
+    ("silver", "loans"): struct(LOAN_SILVER),
+    ("silver", "attributes"): struct(ATTRIBUTES_SILVER),
+    ("silver", "financials"): struct(FINANCIALS_SILVER),
+    ("gold", "label_store"): struct(LABEL_STORE),
+    ("gold", "attributes"): struct(ATTRIBUTES_GOLD),
+}
 AUDIT_SCHEMA = "layer string, table string, snapshot_date date, n long"
 Audit = list[tuple]
 
@@ -33,34 +54,45 @@ class Lake:
     def __init__(self, spark: SparkSession, base: str, snapshots: Iterable):
         self.spark, self.base, self.snapshots = spark, base, as_dates(snapshots)
         self.audit: Audit = []
-        self._schemas: dict[tuple[str, str], object] = {}
+        self._schemas: dict[tuple[str, str], T.StructType] = dict(FIXED_SCHEMAS)
 
     def read(self, layer: str, table: str) -> DataFrame:
         schema = self._schemas.get((layer, table))
         return read_layer(self.spark, self.base, layer, table, self.snapshots, schema)
 
-    def write(self, df: DataFrame, layer: str, table: str, rebalance: bool = False) -> None:
+    def write(self, layer: str, tables: Mapping[str, DataFrame], rebalance: Iterable[str] = ()) -> None:
+        """Write independent tables of a layer side by side, so that the last tasks of one
+        leave no executors idle."""
+        submit = inheritable_thread_target(self.spark)(self._write_table)
+        with ThreadPoolExecutor(max_workers=len(tables)) as pool:
+            jobs = [pool.submit(submit, df, layer, table, table in rebalance) for table, df in tables.items()]
+        for job in jobs:
+            self.audit += job.result()
+
+    def _write_table(self, df: DataFrame, layer: str, table: str, rebalance: bool) -> Audit:
         if layer == "bronze":
             counts = write_bronze(df, self.base, table, self.snapshots)
         else:
             counts = write_layer(df, self.base, layer, table, self.snapshots, rebalance)
         self._schemas[layer, table] = df.schema
-        self.audit += [(layer, table, day, n) for day, n in counts.items()]
+        return [(layer, table, day, n) for day, n in counts.items()]
 
 
 def build_bronze(lake: Lake, raw_paths: Mapping[str, str]) -> None:
-    for source in RAW_TYPES:
-        raw = read_source(lake.spark, raw_paths[source], source)
-        required = source not in OPTIONAL_SNAPSHOT
-        lake.write(slice_snapshot(raw, lake.snapshots, required), "bronze", source)
+    raw = {source: read_source(lake.spark, raw_paths[source], source) for source in RAW_TYPES}
+    sliced = {s: slice_snapshot(df, lake.snapshots, s not in OPTIONAL_SNAPSHOT) for s, df in raw.items()}
+    lake.write("bronze", sliced)
 
 
 def build_silver(lake: Lake) -> None:
     """Only the attribute table regroups rows (to find one per customer); the others are map-only."""
-    lake.write(loan_silver(lake.read("bronze", "loans")), "silver", "loans")
-    lake.write(clickstream_silver(lake.read("bronze", "clickstream")), "silver", "clickstream")
-    lake.write(attributes_silver(lake.read("bronze", "attributes")), "silver", "attributes", rebalance=True)
-    lake.write(financials_silver(lake.read("bronze", "financials")), "silver", "financials")
+    plans = {
+        "loans": loan_silver,
+        "clickstream": clickstream_silver,
+        "attributes": attributes_silver,
+        "financials": financials_silver,
+    }
+    lake.write("silver", {table: plan(lake.read("bronze", table)) for table, plan in plans.items()}, ["attributes"])
 
 
 def read_loan_types(spark: SparkSession, base: str) -> DataFrame:
@@ -74,7 +106,11 @@ def read_features(spark: SparkSession, base: str, table: str = "combined", snaps
     reads as "not in the vocabulary" there: 0 in ``combined``, NULL in ``financials``.
     """
     known = read_layer(spark, base, "gold", table).schema
-    names = {row.column_name for row in read_loan_types(spark, base).select("column_name").distinct().collect()}
+    try:
+        vocabulary = read_loan_types(spark, base).select("column_name").distinct()
+    except AnalysisException:  # built with a fixed list of types: every file has every column
+        return read_layer(spark, base, "gold", table, snapshots)
+    names = {row.column_name for row in vocabulary.collect()}
     late = sorted(names - set(known.names))
     schema = T.StructType([*known.fields, *[T.StructField(name, T.IntegerType()) for name in late]])
     df = read_layer(spark, base, "gold", table, snapshots, schema)
@@ -84,11 +120,6 @@ def read_features(spark: SparkSession, base: str, table: str = "combined", snaps
 def build_gold(
     lake: Lake, dpd: int = 30, mob: int = 6, threshold: int = THRESHOLD, loan_types: list[str] | None = None
 ) -> None:
-    # A tenth of the ledger's rows and a third of its columns: merge them into few files.
-    lake.write(label_store(lake.read("silver", "loans"), dpd, mob), "gold", "label_store", rebalance=True)
-    lake.write(attributes_gold(lake.read("silver", "attributes")), "gold", "attributes")
-    lake.write(clickstream_gold(lake.read("silver", "clickstream")), "gold", "clickstream")
-
     silver = lake.read("silver", "financials")
     vocabulary: DataFrame | list[str] | None = loan_types
     if vocabulary is None:
@@ -97,12 +128,16 @@ def build_gold(
         found = loan_type_columns(silver, threshold).select(*LOAN_TYPE_COLUMNS)
         write_layer(found, lake.base, "gold", "loan_types", lake.snapshots, rebalance=True)
         vocabulary = read_loan_types(lake.spark, lake.base)
-    lake.write(financials_gold(silver, vocabulary, threshold), "gold", "financials")
-
-    combined = combined_features(
-        lake.read("gold", "financials"), lake.read("gold", "clickstream"), lake.read("gold", "attributes")
-    )
-    lake.write(combined, "gold", "combined", rebalance=True)
+    tables = {
+        "label_store": label_store(lake.read("silver", "loans"), dpd, mob),
+        "attributes": attributes_gold(lake.read("silver", "attributes")),
+        "clickstream": clickstream_gold(lake.read("silver", "clickstream")),
+        "financials": financials_gold(silver, vocabulary, threshold),
+    }
+    # Labels are a tenth of the ledger's rows: merge them into few files.
+    lake.write("gold", tables, rebalance=["label_store"])
+    combined = combined_features(*[lake.read("gold", t) for t in ("financials", "clickstream", "attributes")])
+    lake.write("gold", {"combined": combined}, rebalance=["combined"])
 
 
 def backfill(
@@ -119,8 +154,7 @@ def backfill(
     """Run all layers for the months from ``start`` to ``end``.
 
     ``raw_paths`` names the CSV of ``loans``, ``clickstream``, ``attributes`` and
-    ``financials``. Returns the audit (layer, table, snapshot_date, n), counted while
-    writing.
+    ``financials``. Returns the audit (layer, table, snapshot_date, n) of the rows stored.
     """
     months = [row[SNAPSHOT] for row in snapshot_calendar(spark, start, end).collect()]
     lake = Lake(spark, base, months)

@@ -9,7 +9,7 @@ from riskloom.operators.joins import spread_left_join
 from riskloom.operators.projection import classify_columns, fill_columns, select_except
 from riskloom.schemas import KEYS, SNAPSHOT
 
-# Categorical columns that leave an index behind, and those that are dropped as text.
+# Categorical columns without an index, and columns dropped from the result.
 UNINDEXED = ["Type_of_Loan", "Payment_of_Min_Amount_Category", "Credit_History_Age"]
 DROPPED = ["Payment_of_Min_Amount", "Payment_Behaviour", "Payment_of_Min_Amount_Category", "Age_Group", "Occupation"]
 

@@ -268,3 +268,15 @@ def test_source_without_snapshot_holds_for_every_month(spark, sources, tmp_path)
     steps.build_bronze(lake, raw)
     counts = {(table, day): n for layer, table, day, n in lake.audit}
     assert counts["clickstream", JAN] == counts["clickstream", FEB] == 11
+
+
+def test_fixed_loan_types_and_months_without_any_row(spark, sources, tmp_path):
+    raw = write_csvs(spark, sources, f"{tmp_path}/raw")
+    base = f"{tmp_path}/lake"
+    audit = backfill(spark, raw, base, JAN, FEB, loan_types=["Auto Loan", "Pay Loan"]).collect()
+    assert {(r.table, r.n) for r in audit if r.layer == "gold" and r.snapshot_date == FEB} == {
+        ("label_store", 0), ("attributes", 8), ("clickstream", 0), ("financials", 20), ("combined", 20)
+    }
+    features = read_features(spark, base, snapshots=[FEB])
+    assert {"Loan_Auto_Loan", "Loan_Pay_Loan", "fe_1"} <= set(features.columns) and features.count() == 20
+    assert steps.Lake(spark, base, [FEB]).read("gold", "label_store").count() == 0
