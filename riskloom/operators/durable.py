@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,28 +18,36 @@ def broadcast_size(text: str) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``, made active if it is not yet.
+    """The folder that ``spark.checkpoint.dir`` names, else one in the warehouse.
 
-    Only a local-mode session may fall back to a temporary folder.
+    All executors and the driver share both; no machine-local folder is ever used.
     """
     context = spark.sparkContext
-    active = context.getCheckpointDir()
     named = spark.conf.get(CHECKPOINT_DIR, None) or context.getConf().get(CHECKPOINT_DIR)
-    if active is None:
-        if named is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder all executors share")
-            named = tempfile.mkdtemp(prefix="riskloom-")
-        context.setCheckpointDir(named)
-    return named or active
+    return (named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch").rstrip("/")
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Compute once and cut the lineage with a reliable checkpoint."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/riskloom-{spark.sparkContext.applicationId}"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder for a written table."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def durable(df: DataFrame, name: str = "table") -> DataFrame:
+    """Compute once, write to the shared folder and read back, which cuts the lineage."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete what this application kept in the shared folder, at the end of a run.
+
+    Frames that still read such a table can no longer be computed afterwards.
+    """
+    context = spark.sparkContext
+    root = context._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    root.getFileSystem(context._jsc.hadoopConfiguration()).delete(root, True)

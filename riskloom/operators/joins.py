@@ -151,6 +151,8 @@ def spread_left_join(
     n = len(sides)
     axes = [_slice_name(i) for i in range(n)]
     counts = [_count_name(i) for i in range(n)]
+    # A NULL key meets no feature row, whatever the caller counted there.
+    hot = hot.withColumns({c: F.when(known, F.col(c)).otherwise(F.lit(1)).cast("int") for c in counts[1:]})
     out = _with_slices(fact, 0, n, keys, hot)
     for i, feature in enumerate(features, start=1):
         sliced = _with_slices(feature, i, n, keys, hot).drop(*counts).withColumn(f"_hit{i}", F.lit(True))

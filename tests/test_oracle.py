@@ -4,8 +4,10 @@ from pathlib import Path
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from checks import oracle
 from checks.compare import compare, connect
+from checks.queries import REGISTRY
 
 DATA = Path("/root/testdata")
 # The fixed columns of their SQL need a vocabulary that the smallest scale does not reach.
@@ -20,10 +22,10 @@ def databases():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(REGISTRY) == set(oracle.statements())
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(REGISTRY))
 def test_query(spark, databases, name):
     sf = "sf0.01" if name in LARGER else "sf0.001"
     assert compare(spark, databases[sf], name, str(DATA / sf)) == []
