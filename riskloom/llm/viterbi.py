@@ -8,8 +8,8 @@ that no one-character piece covers may also be unknown, at a penalty below the w
 score; neighbouring unknown characters are one piece, or their UTF-8 bytes if the
 vocabulary has byte pieces.
 
-No piece crosses from another character into a word mark unless the vocabulary has such
-pieces, so the text is cut there and the count of each cut is remembered. Scores are added
+Unless the vocabulary has pieces that cross from another character into a word mark, the
+text is cut before marks and the count of each cut is remembered. Scores are added
 as 64-bit floats from the start of a cut; with whole-numbered scores the sums are exact.
 """
 
@@ -46,9 +46,11 @@ class Vocabulary:
         return min(self.pieces.values(), default=0.0) - UNKNOWN_PENALTY
 
     @property
-    def crosses(self) -> bool:
-        """Whether a piece has a mark behind another character."""
-        return any(re.search(f"[^{MARK}]{MARK}", piece) for piece in self.pieces)
+    def separable(self) -> bool:
+        """Whether text may be cut before marks: no piece has a mark behind another character,
+        and a mark is never part of a run of unknown characters."""
+        known = MARK in self.pieces or self.bytes_known
+        return known and not any(re.search(f"[^{MARK}]{MARK}", piece) for piece in self.pieces)
 
 
 def load_vocabulary(path: str) -> Vocabulary:
@@ -73,7 +75,7 @@ class Counter:
                 self.automaton.add_word(piece, (len(piece), score))
         if len(self.automaton):
             self.automaton.make_automaton()
-        self.cut = None if vocabulary.crosses else re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
+        self.cut = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+") if vocabulary.separable else None
         self.known: dict[str, int] = {}
 
     def pieces(self, cut: str) -> int:
