@@ -236,10 +236,13 @@ def fit_span_model(texts: list[str]) -> SpanModel:
 
 
 def _threshold(chance: np.ndarray, labels: np.ndarray) -> float:
-    """The lowest probability of at least one half from which the precision holds."""
+    """The lowest probability of at least one half from which the precision holds, half-way
+    down to the next proposal below."""
+    below = None
     for cut in np.unique(chance[chance >= 0.5]):
         if labels[chance >= cut].mean() >= PRECISION:
-            return float(cut)
+            return 0.5 if below is None else float((below + cut) / 2)
+        below = cut
     return 2.0
 
 
