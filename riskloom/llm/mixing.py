@@ -77,7 +77,7 @@ def _position(schedule: Schedule, share: Column) -> Column:
         slope = (w1 - w0) / (t1 - t0)
         # The root of w0 x + slope x^2 / 2 = rest that stays exact for a flat line.
         root = F.sqrt(F.greatest(F.lit(0.0), F.lit(w0 * w0) + F.lit(2 * slope) * rest))
-        time = F.least(F.lit(t1), F.lit(t0) + F.try_divide(2 * rest, F.lit(w0) + root))
+        time = F.least(F.lit(t1), F.lit(t0) + F.coalesce(F.try_divide(2 * rest, F.lit(w0) + root), F.lit(0.0)))
         out = time if out is None else F.when(share * area <= reached, out).otherwise(time)
         reached += own
     return out
