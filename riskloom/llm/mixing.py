@@ -29,7 +29,8 @@ from riskloom.llm.shared import WORD_PATTERN
 from riskloom.operators.durable import durable
 
 Schedule = Sequence[tuple[float, float]]
-ROWS_PER_BUCKET = 4096
+ROWS_PER_BUCKET = 512
+MOST_DIGITS = 4  # at most 16^4 buckets per source, which one task adds up
 # The first source starts strong and fades, the third gains; their integrals are 5, 2, 1.
 SCHEDULES: list[Schedule] = [[(0.0, 7.5), (1.0, 2.5)], [(0.0, 2.0), (1.0, 2.0)], [(0.0, 0.5), (1.0, 1.5)]]
 BUDGET = 1.5
@@ -108,7 +109,7 @@ def mix_sources(
     )
     words = durable(words, "words")
     n = words.count()
-    digits = max(1, ceil(log(max(n / ROWS_PER_BUCKET, 1), 16)))
+    digits = min(MOST_DIGITS, max(1, ceil(log(max(n / ROWS_PER_BUCKET, 1), 16))))
     keyed = words.withColumns(
         {
             "key": F.coalesce(F.concat(F.lit("="), "source"), F.lit("")),
