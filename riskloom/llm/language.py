@@ -94,9 +94,10 @@ def learn_languages(
         return F.substring(F.col(text), (F.pmod(F.xxhash64(order, F.lit(seed)), room) + 1).cast("int"), F.lit(LEARN_CHARACTERS))
 
     pieces = rows.select(F.col(lang).alias("lang"), F.xxhash64(order, text).alias("order"), piece(1).alias("a"), piece(2).alias("b"))
-    chosen = learning_sample(pieces, "lang", per_language, [F.col("order"), F.col("a"), F.col("b")])
-    frequent = rows.groupBy(F.col(lang).alias("lang")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES)
-    found = chosen.join(F.broadcast(frequent.select("lang")), "lang").select("lang", "a", "b").collect()
+    frequent = rows.groupBy(F.col(lang).alias("lang")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang")
+    counts = {row.lang: row.n for row in frequent.limit(MOST_LANGUAGES).collect()}
+    order_by = [F.col("order"), F.col("a"), F.col("b")]
+    found = learning_sample(pieces, "lang", per_language, counts, order_by).select("lang", "a", "b").collect()
     labels = sorted({row.lang for row in found})
     net = gru.new_network(labels, UNITS)
     if len(labels) > 1:

@@ -154,9 +154,9 @@ def learn_quality(
     counts = {row["_label"]: row.n for row in known.groupBy("_label").agg(F.count("*").alias("n")).collect()}
     prior = counts.get(1, 0) / max(sum(counts.values()), 1) if counts else 0.5
     order = [F.xxhash64(id_column), F.col(id_column)]
-    chosen = learning_sample(known, "_label", per_label, order)
+    chosen = learning_sample(known, "_label", per_label, counts, order)
     met = docs.select(id_column, F.coalesce(F.col(text), F.lit("")).alias("_text")).join(F.broadcast(chosen), id_column)
-    met = learning_sample(met, "_label", per_label, [*order, F.xxhash64("_text")])
+    met = learning_sample(met, "_label", per_label, counts, [*order, F.xxhash64("_text")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "_text", 1 << 20):

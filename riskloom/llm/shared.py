@@ -27,15 +27,22 @@ def fresh(name: str, df: DataFrame) -> str:
     return name
 
 
-def learning_sample(df: DataFrame, label: str, per_label: int, order: list[Column]) -> DataFrame:
-    """At most ``per_label`` rows of each label, the first by ``order``.
+def learning_sample(df: DataFrame, label: str, per_label: int, counts: dict, order: list[Column]) -> DataFrame:
+    """At most ``per_label`` rows of each label in ``counts``, the first by ``order``, whose
+    first column is a 64-bit hash.
 
-    The limit is applied before the shuffle as well, so a label with most of the rows
-    costs no more than a rare one.
+    ``counts`` has the rows per label. Rows of a large label are thinned by that hash to a
+    few times the wanted number before any shuffle, so no label is ever gathered whole.
     """
+    if not counts:
+        return df.limit(0)
+    share = {y: min(1.0, (4 * per_label + 100) / max(n, 1)) for y, n in counts.items()}
+    entries = [F.lit(x) for y, p in share.items() for x in (y, int(p * (1 << 30)))]
+    most = F.element_at(F.create_map(*entries), F.col(label))
+    thin = df.where(F.col(label).isin(list(share)) & (F.pmod(order[0], F.lit(1 << 30)) < most))
     name = fresh("_place", df)
     place = F.row_number().over(Window.partitionBy(label).orderBy(*order))
-    return df.withColumn(name, place).where(F.col(name) <= per_label).drop(name)
+    return thin.withColumn(name, place).where(F.col(name) <= per_label).drop(name)
 
 
 def text_bytes(column: pa.Array) -> list[bytes | None]:
