@@ -207,6 +207,9 @@ def _joined(fin: str) -> str:
         LEFT JOIN attr_gold USING (Customer_ID, snapshot_date)"""
 
 
+CTE["fin_gaps"] = "SELECT * REPLACE (CASE WHEN Loan_Type_Count <> 2 THEN Customer_ID END AS Customer_ID) FROM fin"
+CTE["click_twice"] = "SELECT * FROM click UNION ALL SELECT * FROM click"
+CTE["fin_undated"] = "SELECT * REPLACE (CASE WHEN Credit_Mix <> 'Bad' THEN snapshot_date END AS snapshot_date) FROM fin"
 CTE["joined"] = _joined("fin_gold_fixed")
 CTE["joined_default"] = _joined("fin_gold_default")
 
@@ -288,8 +291,8 @@ def _combined() -> str:
         FROM {rows}"""
 
 
-def _index_query(columns: list[str], keep: list[str]) -> str:
-    items, rows = _indexed("fin", columns)
+def _index_query(columns: list[str], keep: list[str], source: str = "fin") -> str:
+    items, rows = _indexed(source, columns)
     kept = "".join(f"s.{c}, " for c in keep)
     return f"""SELECT s.Customer_ID, cast(s.snapshot_date as varchar) AS snapshot_date, {kept}{items}
         FROM {rows}"""
@@ -314,6 +317,12 @@ _BACKFILL = {
 }
 CTE["calendar"] = """SELECT cast(unnest(generate_series(min(snapshot_date), max(snapshot_date), INTERVAL 1 MONTH)) as date)
     AS snapshot_date FROM v_loan"""
+CTE["both_months"] = "SELECT snapshot_date FROM v_loan UNION ALL SELECT snapshot_date FROM v_fin"
+CTE["run_months"] = """SELECT cast(unnest(generate_series(min(snapshot_date), max(snapshot_date), INTERVAL 1 MONTH)) as date)
+    AS snapshot_date FROM both_months"""
+CTE["twins"] = """SELECT 'duplicate_customers' AS tbl, snapshot_date, count(*) AS n FROM (SELECT snapshot_date, Customer_ID
+    FROM v_attr_copies GROUP BY ALL HAVING count(*) > 1) GROUP BY ALL UNION ALL SELECT 'duplicate_ssn', snapshot_date, count(*)
+    FROM (SELECT snapshot_date, SSN FROM attr WHERE SSN IS NOT NULL GROUP BY ALL HAVING count(*) > 1) GROUP BY ALL"""
 CTE["row_counts"] = " UNION ALL ".join(
     f"SELECT '{layer}' AS layer, '{table}' AS tbl, snapshot_date, count(*) AS n FROM {source} GROUP BY snapshot_date"
     for (layer, table), source in _BACKFILL.items()
@@ -343,6 +352,9 @@ _JOIN_COLUMNS = f"{KEYS}, Outstanding_Debt, Loan_Type_Count"
 _ATTR_GOLD = ["Age", "Age_Group", "Occupation", "Occupation_Risk_Score"]
 _FIN_SILVER = f"""SELECT * EXCLUDE (snapshot_date), {TEXT_DATE} FROM fin"""
 _INDEX_ALL = f"SELECT * EXCLUDE ({', '.join(INDEXED)}) FROM ({_index_query(INDEXED, INDEXED)})"
+_INDEX_UNDATED = f"SELECT * EXCLUDE ({', '.join(INDEXED)}) FROM ({_index_query(INDEXED, INDEXED, 'fin_undated')})"
+_GAPS = f"""SELECT {_JOIN_COLUMNS}, {', '.join(_FE)}
+    FROM (SELECT * FROM fin_gaps LEFT JOIN click_twice USING (Customer_ID, snapshot_date))"""
 _LONG = f"""SELECT {KEYS}, loan_type FROM (SELECT * FROM v_fin JOIN vocabulary USING (snapshot_date))
     WHERE contains(Type_of_Loan, loan_type)"""
 
@@ -368,8 +380,16 @@ STATEMENTS: dict[str, str] = {
         cast(loan_start_date as varchar) AS loan_start_date FROM v_loan""",
     "idempotent_backfill": f"SELECT 'loans' AS \"table\", {TEXT_DATE}, count(*) AS n FROM v_loan GROUP BY ALL",
     "monthly_backfill_counts": f"""SELECT t.layer, t.tbl AS "table", cast(c.snapshot_date as varchar) AS snapshot_date,
-        coalesce(r.n, 0) AS n FROM calendar c CROSS JOIN (VALUES {_TABLES}) t(layer, tbl)
+        coalesce(r.n, 0) AS n FROM run_months c CROSS JOIN (VALUES {_TABLES}) t(layer, tbl)
         LEFT JOIN row_counts r ON r.layer = t.layer AND r.tbl = t.tbl AND r.snapshot_date = c.snapshot_date""",
+    "backfill_duplicates": """SELECT t.tbl AS "table", cast(c.snapshot_date as varchar) AS snapshot_date,
+        coalesce(r.n, 0) AS n FROM run_months c CROSS JOIN (VALUES ('duplicate_customers'), ('duplicate_ssn')) t(tbl)
+        LEFT JOIN twins r ON r.tbl = t.tbl AND r.snapshot_date = c.snapshot_date""",
+    "snapshot_calendar_range": """SELECT cast(c.snapshot_date as varchar) AS snapshot_date, count(l.loan_id) AS n
+        FROM (SELECT cast(unnest(generate_series(date '1995-03-01', date '1997-02-01', INTERVAL 1 MONTH)) as date)
+        AS snapshot_date) c LEFT JOIN v_loan l ON l.snapshot_date = c.snapshot_date GROUP BY 1""",
+    "raw_mixed_headers": f"""SELECT Customer_ID, {TEXT_DATE}, fe_1, fe_3, {', '.join(
+        f"CASE WHEN snapshot_date >= date '1998-02-01' THEN {c} END AS {c}" for c in ('fe_2', 'fe_4', 'fe_5'))} FROM v_click""",
     "loan_enforce_schema": f"SELECT {_LOAN_SELECT} FROM loan_typed",
     "attributes_enforce_schema": f"SELECT Customer_ID, Name, Age, SSN, {TEXT_DATE} FROM v_attr",
     "loan_installments_missed": """SELECT loan_id, coalesce(missed, 0) AS installments_missed,
@@ -437,14 +457,23 @@ STATEMENTS: dict[str, str] = {
         for t in LOAN_TYPE_LIST)} FROM v_fin""",
     "loan_one_hot_long": _LONG,
     "loan_one_hot_long_shuffled": _LONG,
+    "loan_types_present": f"""SELECT {KEYS}, coalesce(list_aggregate(list_sort(list_filter([{', '.join(
+        f"CASE WHEN contains(Type_of_Loan, '{t}') AND list_contains(types, '{t}') THEN '{_column(t)}' END" for t in LOAN_TYPE_LIST)}],
+        lambda t: t IS NOT NULL)), 'string_agg', ','), '') AS present FROM (SELECT v_fin.*, coalesce(m.types, []) AS types FROM v_fin
+        LEFT JOIN (SELECT snapshot_date, list(loan_type) AS types FROM vocabulary GROUP BY ALL) m USING (snapshot_date))""",
     "clickstream_silver": f"SELECT {KEYS}, {', '.join(_FE)} FROM click",
     "clickstream_gold": f"SELECT {KEYS}, {', '.join(_FE)} FROM click",
     "string_index_credit_mix": _index_query(["Credit_Mix"], ["Credit_Mix"]),
     "string_index_all": _INDEX_ALL,
     "string_index_broadcast": _INDEX_ALL,
     "string_index_shuffled": _INDEX_ALL,
+    "string_index_null_month": _INDEX_UNDATED,
+    "string_index_null_month_broadcast": _INDEX_UNDATED,
+    "string_index_null_month_shuffled": _INDEX_UNDATED,
     "combined_join_clickstream": f"""SELECT {_JOIN_COLUMNS}, {', '.join(_FE)}
         FROM (SELECT * FROM fin LEFT JOIN click USING (Customer_ID, snapshot_date))""",
+    "combined_join_null_keys": _GAPS,
+    "combined_join_null_keys_sliced": _GAPS,
     "combined_join_attributes": f"""SELECT {_JOIN_COLUMNS}, {', '.join(_ATTR_GOLD)}
         FROM (SELECT * FROM fin LEFT JOIN attr_gold USING (Customer_ID, snapshot_date))""",
     "combined_join_sliced": f"SELECT {_JOIN_COLUMNS}, {', '.join([*_FE, *_ATTR_GOLD])} FROM joined",
@@ -453,6 +482,8 @@ STATEMENTS: dict[str, str] = {
         {**{c: "categorical" for c in _CATEGORICAL}, **{c: "numeric" for c in _NUMERIC}}, with_kind=True
     ),
     "combined_features": _combined(),
+    # An empty text is NULL once it has been in a CSV file.
+    "backfill_features": f"SELECT * REPLACE (nullif(Type_of_Loan, '') AS Type_of_Loan) FROM ({_combined()})",
 }
 
 

@@ -5,6 +5,7 @@ Results use types every engine agrees on: 32-bit floats are widened, dates are I
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,14 +20,14 @@ from riskloom.operators import dedup, indexing, joins, projection, snapshots, vo
 from riskloom.operators.durable import scratch_path
 from riskloom.plans import combined as combine
 from riskloom.plans.attributes import attributes_gold, attributes_silver
-from riskloom.plans.backfill import backfill
+from riskloom.plans.backfill import backfill, read_features
 from riskloom.plans.clickstream import clickstream_gold, clickstream_silver
 from riskloom.plans.financials import bound_financials, financials_gold, financials_silver, parse_financials
 from riskloom.plans.loans import label_store, loan_silver
-from riskloom.schemas import ATTRIBUTES_RAW, FINANCIALS_RAW, KEYS, LOAN_TYPES, SNAPSHOT
+from riskloom.schemas import ATTRIBUTES_RAW, FINANCIALS_RAW, KEYS, LOAN_TYPES, LOAN_TYPES_PRESENT, SNAPSHOT
 from riskloom.sources import demo_views as views
 from riskloom.sources.lake import read_layer, write_bronze, write_layer
-from riskloom.sources.raw import read_raw
+from riskloom.sources.raw import read_raw, read_source
 
 # Vocabulary of the demo data, for the queries that fix it.
 LOAN_TYPE_LIST = [
@@ -48,6 +49,7 @@ INDEXED = [
 ]
 VOCABULARY_THRESHOLD = 30
 RUN_DATE = "1998-01-01"
+RUN_DAY = dt.date(1998, 1, 1)
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -78,8 +80,12 @@ def _fin_silver(spark, sf):
     return financials_silver(views.financials(spark, sf))
 
 
-def _fin_gold(spark, sf, threshold=vocabulary.THRESHOLD):
-    return financials_gold(_fin_silver(spark, sf), threshold=threshold)
+def _loan_types(spark, sf, threshold=vocabulary.THRESHOLD):
+    return vocabulary.loan_type_columns(_fin_silver(spark, sf), threshold)
+
+
+def _wide(df: DataFrame, loan_types: DataFrame, fill: int | None = None) -> DataFrame:
+    return vocabulary.widen_loan_types(df, loan_types, fill).drop(LOAN_TYPES_PRESENT)
 
 
 def _attr_gold(spark, sf):
@@ -119,6 +125,14 @@ def snapshot_calendar(spark, sf):
     return flat(months.join(counts, SNAPSHOT, "left").fillna(0, subset=["n"]))
 
 
+@query
+def snapshot_calendar_range(spark, sf):
+    """Loans of the months between two days inside months."""
+    months = snapshots.snapshot_calendar(spark, "1995-03-17", "1997-02-11")
+    counts = snapshots.audit_counts(views.loans(spark, sf), "loans").select(SNAPSHOT, "n")
+    return flat(months.join(counts, SNAPSHOT, "left").fillna(0, subset=["n"]))
+
+
 @query
 def snapshot_row_counts(spark, sf):
     tables = {
@@ -141,6 +155,17 @@ def raw_roundtrip(spark, sf):
     return flat(read_raw(spark, path, FINANCIALS_RAW))
 
 
+@query
+def raw_mixed_headers(spark, sf):
+    """One directory of files whose columns differ in order and number."""
+    path = scratch_path(spark, "raw-clicks")
+    clicks = views.clickstream(spark, sf)
+    new = F.col(SNAPSHOT) >= F.lit("1998-02-01").cast("date")
+    clicks.where(~new).select("fe_3", "snapshot_date", "fe_1", "Customer_ID").write.csv(path, header=True)
+    clicks.where(new).withColumn("other", F.lit("x")).write.mode("append").csv(path, header=True)
+    return flat(read_source(spark, path, "clickstream"))
+
+
 @query
 def bronze_roundtrip(spark, sf):
     base = scratch_path(spark, "bronze")
@@ -174,12 +199,24 @@ def write_raw_files(spark: SparkSession, sf: str) -> dict[str, str]:
     return {name: f"{base}/{name}" for name in sources}
 
 
+def _backfilled(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
+    """Base path and audit of a backfill of all months that any of the views has."""
+    months = [view(spark, sf).select(SNAPSHOT) for view in (views.loans, views.financials)]
+    span = months[0].unionAll(months[1]).agg(F.min(SNAPSHOT).alias("lo"), F.max(SNAPSHOT).alias("hi")).first()
+    base = scratch_path(spark, "lake")
+    return base, backfill(spark, write_raw_files(spark, sf), base, span.lo, span.hi)
+
+
 @query
 def monthly_backfill_counts(spark, sf):
     """CSV to gold for every month of the ledger; rows written per layer, table and month."""
-    span = views.loans(spark, sf).agg(F.min(SNAPSHOT).alias("lo"), F.max(SNAPSHOT).alias("hi")).first()
-    raw = write_raw_files(spark, sf)
-    return flat(backfill(spark, raw, scratch_path(spark, "lake"), span.lo, span.hi))
+    return flat(_backfilled(spark, sf)[1].where("layer <> 'audit'"))
+
+
+@query
+def backfill_duplicates(spark, sf):
+    """Customers and SSNs that occur more than once, per month of a backfill."""
+    return flat(_backfilled(spark, sf)[1].where("layer = 'audit'").select("table", SNAPSHOT, "n"))
 
 
 # --- loans ---------------------------------------------------------------------------------------
@@ -476,7 +513,8 @@ def _rounded_score(df: DataFrame) -> DataFrame:
 
 @query
 def financials_gold_table(spark, sf):
-    return flat(_rounded_score(_fin_gold(spark, sf, VOCABULARY_THRESHOLD)))
+    loan_types = _loan_types(spark, sf, VOCABULARY_THRESHOLD)
+    return flat(_rounded_score(_wide(financials_gold(_fin_silver(spark, sf), loan_types), loan_types)))
 
 
 
@@ -527,8 +565,17 @@ def loan_one_hot_long(spark, sf):
 
 @query
 def loan_one_hot_long_shuffled(spark, sf):
-    """The same pairs by the route for vocabularies too large to broadcast."""
-    return _one_hot_long(spark, sf, broadcast_bytes=0)
+    """The same pairs by the route for many types, with a vocabulary too large to broadcast."""
+    return _one_hot_long(spark, sf, few_types=0, broadcast_bytes=0)
+
+
+@query
+def loan_types_present(spark, sf):
+    """Indicator names per row as one text, by the route for many types."""
+    raw = views.financials(spark, sf).select(*KEYS, "Type_of_Loan")
+    loan_types = vocabulary.loan_type_columns(raw, VOCABULARY_THRESHOLD)
+    listed = vocabulary.with_loan_types(raw, loan_types, few_types=0)
+    return flat(listed.select(*KEYS, F.array_join(LOAN_TYPES_PRESENT, ",").alias("present")))
 
 
 # --- clickstream ------------------------------------------------------------------------------------------
@@ -577,6 +624,29 @@ def string_index_shuffled(spark, sf):
     return _index_all(spark, sf, broadcast_bytes=0)
 
 
+def _index_without_month(spark, sf, **options):
+    """Rows of a NULL month among the others; they are a month of their own."""
+    rows = _fin_silver(spark, sf).select(*KEYS, *INDEXED)
+    rows = rows.withColumn(SNAPSHOT, F.expr("case when Credit_Mix <> 'Bad' then snapshot_date end"))
+    indexed = indexing.string_index(rows, INDEXED, **options)
+    return flat(indexed.select(*KEYS, *[f"{c}_index" for c in INDEXED]))
+
+
+@query
+def string_index_null_month(spark, sf):
+    return _index_without_month(spark, sf)
+
+
+@query
+def string_index_null_month_broadcast(spark, sf):
+    return _index_without_month(spark, sf, map_labels=0)
+
+
+@query
+def string_index_null_month_shuffled(spark, sf):
+    return _index_without_month(spark, sf, broadcast_bytes=0)
+
+
 # --- combination ------------------------------------------------------------------------------------------------
 
 
@@ -593,13 +663,44 @@ def combined_join_attributes(spark, sf):
     return flat(combine.join_attributes(_fin_silver(spark, sf).select(*JOIN_COLUMNS), _attr_gold(spark, sf)))
 
 
+def _forced(spark: SparkSession, keys: list[tuple]) -> DataFrame:
+    """The given keys treated as hot in all three tables."""
+    rows = [(*key, 4, 3, 2) for key in keys]
+    return spark.createDataFrame(rows, "Customer_ID string, snapshot_date date, _rows0 int, _rows1 int, _rows2 int")
+
+
 @query
 def combined_join_sliced(spark, sf):
-    """Financials with both feature tables, every repeated key treated as hot in all tables."""
+    """Financials with both feature tables, the 8 most frequent keys treated as hot everywhere."""
+    fin = _fin_silver(spark, sf).select(*JOIN_COLUMNS)
+    often = fin.groupBy(*KEYS).count().orderBy(F.desc("count"), *KEYS).limit(8).collect()
+    hot = _forced(spark, [(row.Customer_ID, row[SNAPSHOT]) for row in often])
+    return flat(joins.spread_left_join(fin, [_click_gold(spark, sf), _attr_gold(spark, sf)], KEYS, hot))
+
+
+def _with_gaps(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Financials and clicks with NULL customers; every click row of a customer occurs twice."""
     fin = _fin_silver(spark, sf).select(*JOIN_COLUMNS)
-    sides = [fin, _click_gold(spark, sf), _attr_gold(spark, sf)]
-    hot = joins.hot_keys(sides, KEYS, min_rows=1, partitions=1 << 20)
-    return flat(joins.spread_left_join(fin, sides[1:], KEYS, hot))
+    fin = fin.withColumn("Customer_ID", F.expr("case when Loan_Type_Count <> 2 then Customer_ID end"))
+    clicks = _click_gold(spark, sf)
+    unknown = clicks.withColumn("Customer_ID", F.lit(None).cast("string"))
+    return fin, clicks.unionAll(clicks).unionAll(unknown)
+
+
+@query
+def combined_join_null_keys(spark, sf):
+    """NULL keys match nothing and lose nothing; repeated feature rows fan out."""
+    fin, clicks = _with_gaps(spark, sf)
+    return flat(combine.join_clickstream(fin, clicks))
+
+
+@query
+def combined_join_null_keys_sliced(spark, sf):
+    """The same rows with given hot keys, counted on both sides and NULL among them."""
+    fin, clicks = _with_gaps(spark, sf)
+    months = fin.where("Customer_ID IS NULL").select(SNAPSHOT).distinct().orderBy(SNAPSHOT).limit(100).collect()
+    hot = _forced(spark, [(None, row[SNAPSHOT]) for row in months] + [("CUS_1", RUN_DAY), (None, None)])
+    return flat(combine.join_clickstream(fin, clicks, hot=hot.drop("_rows2")))
 
 
 def _joined(spark, sf):
@@ -624,5 +725,14 @@ def column_classification(spark, sf):
 
 @query
 def combined_features_table(spark, sf):
-    combined = combine.combined_features(_fin_gold(spark, sf), _click_gold(spark, sf), _attr_gold(spark, sf))
-    return flat(_rounded_score(combined))
+    loan_types = _loan_types(spark, sf)
+    gold = financials_gold(_fin_silver(spark, sf), loan_types)
+    combined = combine.combined_features(gold, _click_gold(spark, sf), _attr_gold(spark, sf))
+    return flat(_rounded_score(_wide(combined, loan_types, fill=0)))
+
+
+@query
+def backfill_features(spark, sf):
+    """The values of ``combined`` that a backfill writes, from CSV to gold, for all months."""
+    base = _backfilled(spark, sf)[0]
+    return flat(_rounded_score(read_features(spark, base, wide=True)))

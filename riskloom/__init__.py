@@ -9,7 +9,7 @@ Layers
 """
 
 from riskloom.plans.attributes import attributes_gold, attributes_silver
-from riskloom.plans.backfill import backfill
+from riskloom.plans.backfill import Lake, backfill, build_bronze, build_gold, build_silver, read_features
 from riskloom.plans.clickstream import clickstream_gold, clickstream_silver
 from riskloom.plans.combined import combined_features
 from riskloom.plans.financials import financials_gold, financials_silver
@@ -18,7 +18,11 @@ from riskloom.plans.loans import label_store, loan_silver
 __all__ = [
     "attributes_gold",
     "attributes_silver",
+    "Lake",
     "backfill",
+    "build_bronze",
+    "build_gold",
+    "build_silver",
     "clickstream_gold",
     "clickstream_silver",
     "combined_features",
@@ -26,4 +30,5 @@ __all__ = [
     "financials_silver",
     "label_store",
     "loan_silver",
+    "read_features",
 ]

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,8 +30,11 @@ def shared_dir(spark: SparkSession) -> str:
     return (named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch").rstrip("/")
 
 
+_SCOPE: ContextVar[str] = ContextVar("scratch scope", default="")
+
+
 def _scratch_root(spark: SparkSession) -> str:
-    return f"{shared_dir(spark)}/riskloom-{spark.sparkContext.applicationId}"
+    return f"{shared_dir(spark)}/riskloom-{spark.sparkContext.applicationId}{_SCOPE.get()}"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -44,10 +50,21 @@ def durable(df: DataFrame, name: str = "table") -> DataFrame:
 
 
 def remove_scratch(spark: SparkSession) -> None:
-    """Delete what this application kept in the shared folder, at the end of a run.
+    """Delete what this application (inside a scope: the scope) kept in the shared folder.
 
     Frames that still read such a table can no longer be computed afterwards.
     """
     context = spark.sparkContext
     root = context._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
     root.getFileSystem(context._jsc.hadoopConfiguration()).delete(root, True)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Tables kept inside the block go with it. Its results must be stored or collected."""
+    token = _SCOPE.set(f"{_SCOPE.get()}/run-{uuid.uuid4().hex}")
+    try:
+        yield
+    finally:
+        remove_scratch(spark)
+        _SCOPE.reset(token)

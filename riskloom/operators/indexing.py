@@ -1,7 +1,7 @@
 """Frequency-ranked integer codes for text columns, fitted per month.
 
 All columns are counted in one pass over the rows; the label table has one row per
-(column, month, value). It is checkpointed and sized, and each column is then coded in
+(column, month, value). It is written once and sized, and each column is then coded in
 one of three ways:
 
 * few labels per month: ranked, folded into one row of maps per month, broadcast once for
@@ -9,6 +9,8 @@ one of three ways:
 * more, but few in total: ranked, broadcast once per column;
 * any number: ranked and joined by shuffles in which no task holds a whole month and
   frequent values are spread over several tasks.
+
+All broadcast tables together share one budget of bytes. The route never changes a code.
 """
 
 from __future__ import annotations
@@ -55,7 +57,7 @@ def rank_labels_at_scale(counts: DataFrame, by: str = SNAPSHOT) -> DataFrame:
     """
     group = [COLUMN, by]
     placed = counts.repartitionByRange(*group, *_rank_order()).withColumn("_part", F.spark_partition_id())
-    placed = durable(placed)  # fixes the sampled partition bounds
+    placed = durable(placed, "placed-labels")  # fixes the sampled partition bounds
     earlier = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         placed.groupBy(*group, "_part")
@@ -63,7 +65,9 @@ def rank_labels_at_scale(counts: DataFrame, by: str = SNAPSHOT) -> DataFrame:
         .select(*group, "_part", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset"))
     )
     place = F.row_number().over(Window.partitionBy(*group, "_part").orderBy(*_rank_order())) - 1
-    ranked = placed.withColumn("_place", place).join(offsets, [*group, "_part"])
+    offsets = offsets.select(*[F.col(c).alias(f"{c}_of") for c in group], F.col("_part").alias("_part_of"), "_offset")
+    same = [F.col(c).eqNullSafe(F.col(f"{c}_of")) for c in group]  # a month may be NULL
+    ranked = placed.withColumn("_place", place).join(offsets, same[0] & same[1] & (F.col("_part") == F.col("_part_of")))
     return ranked.select(*group, VALUE, _as_code(F.col("_offset") + F.col("_place")).alias(CODE))
 
 
@@ -102,18 +106,39 @@ def _index_by_broadcast(df: DataFrame, codes: DataFrame, columns: list[str], by:
 def _index_by_shuffle(
     df: DataFrame, codes: DataFrame, counts: DataFrame, columns: list[str], by: str
 ) -> DataFrame:
-    """Join on value text, NULL made a value of its own; the counts tell the hot values."""
-    keys = [by, "_absent", "_text"]
-
-    def keyed(frame: DataFrame, value: str) -> DataFrame:
-        return frame.withColumns({"_absent": F.col(value).isNull(), "_text": F.coalesce(value, F.lit(""))})
+    """Look the codes up for the distinct combinations of the columns, then join them back.
 
+    The wide rows are shuffled once, whatever the number of columns; the narrow table of
+    combinations once per column. NULL is made a key of its own for value and month, and
+    the counts tell the hot keys.
+    """
+    month_type = df.schema[by].dataType
+    some_month = F.lit("1970-01-01" if month_type.typeName() in ("date", "timestamp") else "0").cast(month_type)
+
+    def month(column: str) -> dict[str, Column]:
+        return {"_no_month": F.col(column).isNull(), "_month": F.coalesce(F.col(column), some_month)}
+
+    def value(column: str) -> dict[str, Column]:
+        return {"_absent": F.col(column).isNull(), "_text": F.coalesce(F.col(column), F.lit(""))}
+
+    own = [F.col(c).alias(f"_value{i}") for i, c in enumerate(columns)]
+    combination = F.md5(F.to_json(F.struct(*own), {"ignoreNullFields": "false"}).cast("binary")).alias("_combination")
+    rows = df.select("*", *[c.alias(k) for k, c in month(by).items()], combination)
+    key = ["_no_month", "_month", "_combination"]
+    distinct = rows.groupBy(*key).agg(F.count("*").alias("n"), *[F.first(c).alias(c) for c in columns])
+    distinct = durable(distinct, "combinations")
+    coded = distinct
     for column in columns:
         is_own = F.col(COLUMN) == column
-        own = keyed(codes.where(is_own), VALUE).select(*keys, F.col(CODE).alias(f"{column}_index"))
-        hot = hot_keys_from_counts(keyed(counts.where(is_own), VALUE), keys, n_sides=2)
-        df = spread_left_join(keyed(df, column), [own], keys, hot=hot).drop("_absent", "_text")
-    return df
+        on = ["_no_month", "_month", "_absent", "_text"]
+        table = codes.where(is_own).withColumns({**month(by), **value(VALUE)})
+        table = table.select(*on, F.col(CODE).alias(f"{column}_index"))
+        known = coded.withColumns(value(column))
+        hot = hot_keys_from_counts(known.groupBy(*on).agg(F.count("*").alias("n")), on, n_sides=2)
+        coded = spread_left_join(known, [table], on, hot=hot).drop("_absent", "_text")
+    index = coded.select(*key, *[f"{column}_index" for column in columns])
+    hot = hot_keys_from_counts(distinct.select(*key, "n"), key, n_sides=2)
+    return spread_left_join(rows, [index], key, hot=hot).drop(*key)
 
 
 def string_index(
@@ -132,7 +157,12 @@ def string_index(
     counts = durable(label_counts(df, columns, by))
     per_month = counts.groupBy(COLUMN, by).agg(F.count("*").alias("labels"), broadcast_size(VALUE).alias("size"))
     sizes = per_month.groupBy(COLUMN).agg(F.max("labels").alias("widest"), F.sum("size").alias("size")).collect()
-    large = [row[COLUMN] for row in sizes if row["size"] > broadcast_bytes]
+    # One budget for all tables that are broadcast together, filled from the smallest column up.
+    large, used = [], 0
+    for row in sorted(sizes, key=lambda row: (row["size"], row[COLUMN])):
+        used += row["size"]
+        if used > broadcast_bytes:
+            large.append(row[COLUMN])
     medium = [row[COLUMN] for row in sizes if row.widest > map_labels and row[COLUMN] not in large]
     narrow = [c for c in columns if c not in large and c not in medium]
 

@@ -54,8 +54,12 @@ def hot_keys(
     """
     partitions = partitions or shuffle_partitions(sides[0])
     buckets = min(max(4 * partitions, 1024), 65536)
+    # A NULL key matches nothing, so it can be hot in the fact table alone.
+    known = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
     narrow = [
-        side.select(F.lit(i).alias("_side"), F.pmod(F.xxhash64(*keys), F.lit(buckets)).alias("_bucket"), *keys)
+        side.where(known if i else F.lit(True)).select(
+            F.lit(i).alias("_side"), F.pmod(F.xxhash64(*keys), F.lit(buckets)).alias("_bucket"), *keys
+        )
         for i, side in enumerate(sides)
         if i not in unique
     ]
@@ -124,6 +128,22 @@ def _with_slices(df: DataFrame, side: int, n_sides: int, keys: Sequence[str], ho
     return out
 
 
+def _slices_that_exist(hot: DataFrame, features: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
+    """``hot`` with one slice for keys that a feature table (without NULL keys) does not have,
+    whatever the caller says: a copy of a fact row that meets no slice would be lost."""
+    rows = [row.asDict() for row in hot.collect()]  # few, as they are to be broadcast
+    for i, feature in enumerate(features, start=1):
+        name = _count_name(i)
+        if any(row[name] > 1 for row in rows):
+            listed = F.broadcast(hot.where(F.col(name) > 1).select(*keys))
+            found = feature.select(*keys).join(listed, keys, "left_semi").distinct().collect()
+            present = {tuple(row) for row in found}
+            for row in rows:
+                if tuple(row[k] for k in keys) not in present:
+                    row[name] = 1
+    return hot.sparkSession.createDataFrame([tuple(row[c] for c in hot.columns) for row in rows], hot.schema)
+
+
 def spread_left_join(
     fact: DataFrame,
     features: Sequence[DataFrame],
@@ -145,14 +165,14 @@ def spread_left_join(
     sides = [fact, *features]
     if isinstance(hot, str):
         hot = hot_keys(sides, keys, min_rows, unique=unique)
+    elif hot is not None:
+        hot = _slices_that_exist(hot, features, keys)
     if hot is None:
         return reduce(lambda left, right: left.join(right, keys, "left"), features, fact)
 
     n = len(sides)
     axes = [_slice_name(i) for i in range(n)]
     counts = [_count_name(i) for i in range(n)]
-    # A NULL key meets no feature row, whatever the caller counted there.
-    hot = hot.withColumns({c: F.when(known, F.col(c)).otherwise(F.lit(1)).cast("int") for c in counts[1:]})
     out = _with_slices(fact, 0, n, keys, hot)
     for i, feature in enumerate(features, start=1):
         sliced = _with_slices(feature, i, n, keys, hot).drop(*counts).withColumn(f"_hit{i}", F.lit(True))

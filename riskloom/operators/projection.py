@@ -44,7 +44,8 @@ def fill_columns(df: DataFrame, columns: list[str], value: float) -> DataFrame:
 
 
 def classify_columns(df: DataFrame, keys: Iterable[str]) -> tuple[list[str], list[str]]:
-    """(categorical, numeric) feature columns: text is categorical, everything else numeric.
+    """(categorical, numeric) feature columns: text is categorical, arrays are neither,
+    everything else is numeric.
 
     Decided from the schema when the plan is built; a frame of keys alone is an error.
     """
@@ -53,7 +54,7 @@ def classify_columns(df: DataFrame, keys: Iterable[str]) -> tuple[list[str], lis
     if not features:
         raise ValueError("no feature columns besides the keys")
     categorical = [f.name for f in features if isinstance(f.dataType, T.StringType)]
-    return categorical, [f.name for f in features if f.name not in categorical]
+    return categorical, [f.name for f in features if not isinstance(f.dataType, (T.StringType, T.ArrayType))]
 
 
 def non_null_counts(df: DataFrame, columns: list[str]) -> DataFrame:

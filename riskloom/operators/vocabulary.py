@@ -1,7 +1,10 @@
-"""Loan-type tokens, their monthly vocabulary and the indicator columns.
+"""Loan-type tokens, their monthly vocabulary and the loan types a text contains.
 
 The vocabulary of a month are the loan types named often enough in that month. Counting
 is one partially aggregated shuffle of (month, token); text columns alone are scanned.
+
+What a row mentions is kept as one sorted array of indicator names, for any number of
+types. Wide 0/1 columns are made from it on request.
 """
 
 from __future__ import annotations
@@ -9,14 +12,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.functions.financials import loan_column_name, loan_tokens, loan_type_name, mentions
+from riskloom.functions.financials import LOAN_COLUMN_PREFIX, loan_column_name, loan_tokens, loan_type_name
 from riskloom.operators.durable import BROADCAST_BYTES, broadcast_size, durable
-from riskloom.operators.joins import spread_left_join
-from riskloom.schemas import SNAPSHOT
+from riskloom.operators.joins import hot_keys_from_counts, spread_left_join
+from riskloom.schemas import LOAN_TYPES_PRESENT, SNAPSHOT
 
 TEXT = "Type_of_Loan"
 THRESHOLD = 10
-MAX_COLUMNS = 2_000  # columns a Parquet table can reasonably carry
+FEW_TYPES = 48  # types per month that are quicker tested one by one than joined
+SALTS = 16  # parts of a piece of text that a common type is joined in
 
 
 def loan_type_tokens(df: DataFrame) -> DataFrame:
@@ -59,16 +63,113 @@ def loan_type_columns(df: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     )
 
 
-def _months_by_type(columns: DataFrame) -> list:
-    """Collected (column_name, loan_type, months), at most MAX_COLUMNS rows."""
-    per_type = columns.groupBy("column_name", "loan_type").agg(F.sort_array(F.collect_set(SNAPSHOT)).alias("months"))
-    rows = per_type.limit(MAX_COLUMNS + 1).collect()
-    if len(rows) > MAX_COLUMNS:
-        raise ValueError(
-            f"more than {MAX_COLUMNS} loan types reach the threshold: raise it, pass the wanted "
-            "types, or use one_hot_loans_long, which has no such bound"
-        )
-    return sorted(rows, key=lambda r: (r.column_name.lower(), r.column_name, r.loan_type))
+def listed_columns(loan_types: list[str]) -> dict[str, str]:
+    """Indicator name -> loan type of a given list; of names equal but for case the last one stays."""
+    named = {}
+    for loan_type in loan_types:
+        name = LOAN_COLUMN_PREFIX + loan_type.translate(str.maketrans(" -", "__"))
+        named[name.lower()] = (name, loan_type)
+    return dict(named.values())
+
+
+def _pieces(texts: DataFrame, classes: list[int]) -> DataFrame:
+    """(month, text_id, class, key, rest): the text from each of its positions.
+
+    A type of class c has 2^c to 2^(c+1) - 1 characters; ``key`` are the first 2^c of the
+    text there, ``rest`` as many as a type of the class can have.
+    """
+    starts = texts.select(SNAPSHOT, "_text_id", TEXT, F.explode(F.sequence(F.lit(1), F.length(TEXT))).alias("_start"))
+    sized = starts.withColumn("_class", F.explode(F.array(*[F.lit(c) for c in classes])))
+    width = F.expr("shiftleft(1, _class)")
+    rest = F.substring(F.col(TEXT), F.col("_start"), 2 * width - 1)
+    pieces = sized.select(SNAPSHOT, "_text_id", "_class", "_start", rest.alias("_rest"), width.alias("_width"))
+    pieces = pieces.where(F.length("_rest") >= F.col("_width"))
+    return pieces.withColumn("_key", F.substring(F.col("_rest"), F.lit(1), F.col("_width"))).drop("_width")
+
+
+def matches(texts: DataFrame, vocabulary: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """(month, text_id, loan_type): the types of its month that each distinct text contains.
+
+    Every position of a text meets the types that start with the characters there, by an
+    equality join, so the cost follows the text and not the number of types. ``texts`` is
+    (month, text, text_id), ``vocabulary`` (month, loan_type).
+    """
+    size = F.length("loan_type")
+    sized = vocabulary.where(size > 0).withColumn("_class", F.floor(F.log2(size.cast("double"))).cast("int"))
+    key = F.substring(F.col("loan_type"), F.lit(1), F.expr("shiftleft(1, _class)"))
+    types = sized.withColumn("_key", key)
+    classes = [row[0] for row in types.select("_class").distinct().collect()]  # 31 at most
+    if not classes:
+        classes = [0]
+    pieces = _pieces(texts.where(F.length(TEXT) > 0), sorted(classes))
+    on = [SNAPSHOT, "_class", "_key"]
+    if types.agg(broadcast_size("loan_type")).first()[0] <= broadcast_bytes:
+        met = pieces.join(F.broadcast(types), on)
+    else:
+        salted = types.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        own = F.pmod(F.xxhash64("_text_id", "_start"), F.lit(SALTS)).cast("int")
+        met = pieces.withColumn("_salt", own).join(salted, [*on, "_salt"])
+    return met.where(F.startswith("_rest", F.col("loan_type"))).select(SNAPSHOT, "_text_id", "loan_type").distinct()
+
+
+def _text_id() -> Column:
+    return F.md5(F.col(TEXT).cast("binary"))
+
+
+def _by_text(df: DataFrame, vocabulary: DataFrame, broadcast_bytes: int) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """Rows with their text id, matches of the distinct texts, and the hot texts."""
+    rows = df.withColumn("_text_id", _text_id())
+    texts = rows.where(F.col(TEXT).isNotNull()).groupBy(SNAPSHOT, "_text_id").agg(F.count("*").alias("n"), F.first(TEXT).alias(TEXT))
+    texts = durable(texts, "loan-texts")
+    found = durable(matches(texts, vocabulary, broadcast_bytes), "loan-matches")
+    return rows, found, hot_keys_from_counts(texts.select(SNAPSHOT, "_text_id", "n"), [SNAPSHOT, "_text_id"], 2)
+
+
+def _few(vocabulary: DataFrame, few_types: int) -> bool:
+    widest = vocabulary.groupBy(SNAPSHOT).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
+    return (widest or 0) <= few_types
+
+
+def with_loan_types(
+    df: DataFrame, vocabulary: DataFrame, few_types: int = FEW_TYPES, broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """Add ``Loan_Types``: the sorted indicator names of the month's types the text contains.
+
+    ``vocabulary`` is a frame of ``loan_type_columns``. Missing text and months without a
+    vocabulary have an empty array.
+    """
+    vocabulary = durable(vocabulary.select(SNAPSHOT, "column_name", "loan_type"), "loan-vocabulary")
+    none = F.array().cast("array<string>")
+    if _few(vocabulary, few_types):
+        entry = F.struct("column_name", "loan_type")
+        by_month = vocabulary.groupBy(SNAPSHOT).agg(F.array_sort(F.collect_list(entry)).alias("_entries"))
+        present = F.filter("_entries", lambda e: F.contains(F.col(TEXT), e["loan_type"]))
+        names = F.coalesce(F.transform(present, lambda e: e["column_name"]), none)
+        joined = df.join(F.broadcast(by_month), SNAPSHOT, "left")
+        return joined.withColumn(LOAN_TYPES_PRESENT, names).select(*df.columns, LOAN_TYPES_PRESENT)
+    rows, found, hot = _by_text(df, vocabulary, broadcast_bytes)
+    named = found.join(vocabulary, [SNAPSHOT, "loan_type"])
+    lists = named.groupBy(SNAPSHOT, "_text_id").agg(F.array_sort(F.collect_set("column_name")).alias("_names"))
+    joined = spread_left_join(rows, [lists], [SNAPSHOT, "_text_id"], hot=hot)
+    return joined.withColumn(LOAN_TYPES_PRESENT, F.coalesce("_names", none)).select(*df.columns, LOAN_TYPES_PRESENT)
+
+
+def widen_loan_types(df: DataFrame, vocabulary: DataFrame, fill: int | None = None) -> DataFrame:
+    """One 0/1 column per indicator of ``vocabulary`` from ``Loan_Types``.
+
+    A column is ``fill`` (by default NULL) in months whose vocabulary lacks the type. One
+    column per type is what the caller asks for here: the names are collected.
+    """
+    months = F.sort_array(F.collect_set(SNAPSHOT)).alias("months")
+    rows = vocabulary.groupBy("column_name").agg(months).collect()
+    flags: dict[str, tuple[str, Column]] = {}
+    for row in sorted(rows, key=lambda r: (r.column_name.lower(), r.column_name)):
+        present = F.array_contains(LOAN_TYPES_PRESENT, row.column_name).cast("int")
+        flag = F.when(F.col(SNAPSHOT).isin(row.months), present)
+        name, earlier = flags.get(row.column_name.lower(), (row.column_name, None))
+        flags[row.column_name.lower()] = (name, flag if earlier is None else F.coalesce(earlier, flag))
+    wide = {name: flag if fill is None else F.coalesce(flag, F.lit(fill)) for name, flag in flags.values()}
+    return df.withColumns(wide)
 
 
 def one_hot_loans(df: DataFrame, vocabulary: DataFrame | list[str]) -> DataFrame:
@@ -76,45 +177,31 @@ def one_hot_loans(df: DataFrame, vocabulary: DataFrame | list[str]) -> DataFrame
 
     ``vocabulary`` is a list of types valid in every month, or the frame of
     ``loan_type_columns``; then a column is NULL in months that do not have the type.
-    All indicators come from a single projection.
     """
     if isinstance(vocabulary, DataFrame):
-        flags: dict[str, tuple[str, Column]] = {}
-        for row in _months_by_type(vocabulary):
-            flag = F.when(F.col(SNAPSHOT).isin(row.months), mentions(TEXT, row.loan_type))
-            name, earlier = flags.get(row.column_name.lower(), (row.column_name, None))
-            flags[row.column_name.lower()] = (name, flag if earlier is None else F.coalesce(earlier, flag))
-        return df.withColumns(dict(flags.values()))
-    names = [f"Loan_{loan_type.translate(str.maketrans(' -', '__'))}" for loan_type in vocabulary]
-    return df.withColumns({name: mentions(TEXT, loan_type) for name, loan_type in zip(names, vocabulary)})
+        vocabulary = durable(vocabulary, "loan-vocabulary")
+        return widen_loan_types(with_loan_types(df, vocabulary), vocabulary).drop(LOAN_TYPES_PRESENT)
+    contains = {name: F.contains(F.col(TEXT), F.lit(t)) for name, t in listed_columns(vocabulary).items()}
+    return df.withColumns({name: F.coalesce(flag.cast("int"), F.lit(0)) for name, flag in contains.items()})
 
 
 def one_hot_loans_long(
-    df: DataFrame, vocabulary: DataFrame, columns: list[str], broadcast_bytes: int = BROADCAST_BYTES
+    df: DataFrame,
+    vocabulary: DataFrame,
+    columns: list[str],
+    few_types: int = FEW_TYPES,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """(``columns``, loan_type): one row per row and loan type of its month found in its text.
 
-    A small vocabulary travels as one array per month and is tested row by row. A larger
-    one is matched on distinct texts only, by equality with the substrings that have the
-    length of some type, so that no text is paired with types it does not contain.
+    A few types per month are tested row by row. More are matched on distinct texts only,
+    so the cost does not grow with the types of the month.
     """
-    vocabulary = durable(vocabulary.select(SNAPSHOT, "loan_type"))
-    if vocabulary.agg(broadcast_size("loan_type")).first()[0] <= broadcast_bytes:
+    vocabulary = durable(vocabulary.select(SNAPSHOT, "loan_type").distinct(), "loan-vocabulary")
+    if _few(vocabulary, few_types):
         by_month = vocabulary.groupBy(SNAPSHOT).agg(F.collect_set("loan_type").alias("_types"))
         found = F.filter("_types", lambda loan_type: F.contains(F.col(TEXT), loan_type))
         return df.join(F.broadcast(by_month), SNAPSHOT).select(*columns, F.explode(found).alias("loan_type"))
-
-    lengths = sorted(row.n for row in vocabulary.select(F.length("loan_type").alias("n")).distinct().collect())
-    texts = df.where(F.col(TEXT).isNotNull()).select(SNAPSHOT, TEXT).distinct()
-    pieces = F.array_distinct(F.concat(*[_substrings(F.col(TEXT), n) for n in lengths]))
-    candidates = texts.select(SNAPSHOT, TEXT, F.explode(pieces).alias("loan_type"))
-    matches = candidates.join(vocabulary, [SNAPSHOT, "loan_type"])
-    found = spread_left_join(df, [matches], [SNAPSHOT, TEXT])
-    return found.where(F.col("loan_type").isNotNull()).select(*columns, "loan_type")
-
-
-def _substrings(text: Column, length: int) -> Column:
-    """Every substring of that length, as an array; none if the text is shorter."""
-    starts = F.sequence(F.lit(1), F.length(text) - (length - 1))
-    starts = F.when(F.length(text) >= length, starts).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda start: F.substr(text, start, F.lit(length)))
+    rows, found, hot = _by_text(df, vocabulary, broadcast_bytes)
+    joined = spread_left_join(rows, [found], [SNAPSHOT, "_text_id"], hot=hot)
+    return joined.where(F.col("loan_type").isNotNull()).select(*columns, "loan_type")

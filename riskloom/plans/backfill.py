@@ -10,13 +10,14 @@ from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.operators.projection import fill_columns
+from riskloom.operators.dedup import duplicate_summary
+from riskloom.operators.durable import durable, scratch_scope
 from riskloom.operators.snapshots import as_dates, slice_snapshot, snapshot_calendar
-from riskloom.operators.vocabulary import THRESHOLD, loan_type_columns
+from riskloom.operators.vocabulary import THRESHOLD, listed_columns, loan_type_columns, widen_loan_types
 from riskloom.plans.attributes import attributes_gold, attributes_silver
 from riskloom.plans.clickstream import clickstream_gold, clickstream_silver
 from riskloom.plans.combined import combined_features
@@ -25,10 +26,12 @@ from riskloom.plans.loans import label_store, loan_silver
 from riskloom.schemas import (
     ATTRIBUTES_GOLD,
     ATTRIBUTES_SILVER,
+    CUSTOMER,
     FINANCIALS_SILVER,
     LABEL_STORE,
     LOAN_SILVER,
     LOAN_TYPE_COLUMNS,
+    LOAN_TYPES_PRESENT,
     SNAPSHOT,
     struct,
 )
@@ -99,45 +102,60 @@ def read_loan_types(spark: SparkSession, base: str) -> DataFrame:
     return read_layer(spark, base, "gold", "loan_types", schema=struct(LOAN_TYPE_COLUMNS))
 
 
-def read_features(spark: SparkSession, base: str, table: str = "combined", snapshots=None) -> DataFrame:
-    """Gold ``combined`` or ``financials`` with the indicator columns of every month.
+def read_features(
+    spark: SparkSession, base: str, table: str = "combined", snapshots=None, wide: bool = False
+) -> DataFrame:
+    """Gold ``combined`` or ``financials``, with the loan types of a row as an array.
 
-    Months written before a loan type was first frequent have no file column for it. It
-    reads as "not in the vocabulary" there: 0 in ``combined``, NULL in ``financials``.
+    ``wide`` asks for one 0/1 column per loan type known to the lake instead. A type that is
+    not in the vocabulary of a month is 0 there in ``combined`` and NULL in ``financials``.
     """
-    known = read_layer(spark, base, "gold", table).schema
-    try:
-        vocabulary = read_loan_types(spark, base).select("column_name").distinct()
-    except AnalysisException:  # built with a fixed list of types: every file has every column
-        return read_layer(spark, base, "gold", table, snapshots)
-    names = {row.column_name for row in vocabulary.collect()}
-    late = sorted(names - set(known.names))
-    schema = T.StructType([*known.fields, *[T.StructField(name, T.IntegerType()) for name in late]])
-    df = read_layer(spark, base, "gold", table, snapshots, schema)
-    return fill_columns(df, sorted(names), 0) if table == "combined" else df
+    df = read_layer(spark, base, "gold", table, snapshots)
+    if not wide:
+        return df
+    fill = 0 if table == "combined" else None
+    return widen_loan_types(df, read_loan_types(spark, base), fill).drop(LOAN_TYPES_PRESENT)
+
+
+def month_vocabulary(lake: Lake, silver: DataFrame, threshold: int, loan_types: list[str] | None) -> DataFrame:
+    """(snapshot_date, column_name, loan_type) of the run's months: counted, or the given list."""
+    if loan_types is None:
+        return loan_type_columns(silver, threshold).select(*LOAN_TYPE_COLUMNS)
+    rows = [(day, name, t) for day in lake.snapshots for name, t in listed_columns(loan_types).items()]
+    return lake.spark.createDataFrame(rows, struct(LOAN_TYPE_COLUMNS))
 
 
 def build_gold(
     lake: Lake, dpd: int = 30, mob: int = 6, threshold: int = THRESHOLD, loan_types: list[str] | None = None
 ) -> None:
+    """Gold tables of the run's months. The vocabulary of a month is kept as a table in any
+    case; it tells which types were looked for."""
     silver = lake.read("silver", "financials")
-    vocabulary: DataFrame | list[str] | None = loan_types
-    if vocabulary is None:
-        # Kept as a table: it tells which indicator columns each month has. The columns
-        # of all months known so far are used, so a narrow run writes the same ones.
-        found = loan_type_columns(silver, threshold).select(*LOAN_TYPE_COLUMNS)
-        write_layer(found, lake.base, "gold", "loan_types", lake.snapshots, rebalance=True)
-        vocabulary = read_loan_types(lake.spark, lake.base)
+    vocabulary = durable(month_vocabulary(lake, silver, threshold, loan_types), "vocabulary")
+    write_layer(vocabulary, lake.base, "gold", "loan_types", lake.snapshots, rebalance=True)
     tables = {
         "label_store": label_store(lake.read("silver", "loans"), dpd, mob),
         "attributes": attributes_gold(lake.read("silver", "attributes")),
         "clickstream": clickstream_gold(lake.read("silver", "clickstream")),
-        "financials": financials_gold(silver, vocabulary, threshold),
+        "financials": financials_gold(silver, vocabulary),
     }
     # Labels are a tenth of the ledger's rows: merge them into few files.
     lake.write("gold", tables, rebalance=["label_store"])
-    combined = combined_features(*[lake.read("gold", t) for t in ("financials", "clickstream", "attributes")])
-    lake.write("gold", {"combined": combined}, rebalance=["combined"])
+    sources = [lake.read("gold", t) for t in ("financials", "clickstream", "attributes")]
+    lake.write("gold", {"combined": combined_features(*sources, cluster=True)})
+
+
+def audit_duplicates(lake: Lake) -> Audit:
+    """Per month, customers with several raw rows and SSNs that several customers have."""
+    sides = {
+        "duplicate_customers": (lake.read("bronze", "attributes"), CUSTOMER),
+        "duplicate_ssn": (lake.read("silver", "attributes").where(F.col("SSN").isNotNull()), "SSN"),
+    }
+    out: Audit = []
+    for table, (rows, key) in sides.items():
+        counts = {r[SNAPSHOT]: r.duplicated for r in duplicate_summary(rows, key, key).collect()}
+        out += [("audit", table, day, counts.get(day, 0)) for day in lake.snapshots]
+    return out
 
 
 def backfill(
@@ -154,11 +172,15 @@ def backfill(
     """Run all layers for the months from ``start`` to ``end``.
 
     ``raw_paths`` names the CSV of ``loans``, ``clickstream``, ``attributes`` and
-    ``financials``. Returns the audit (layer, table, snapshot_date, n) of the rows stored.
+    ``financials``. Returns the audit (layer, table, snapshot_date, n): the rows stored, and
+    under the layer ``audit`` the customers and SSNs that occur more than once. What the run
+    kept in the shared folder meanwhile is removed.
     """
     months = [row[SNAPSHOT] for row in snapshot_calendar(spark, start, end).collect()]
     lake = Lake(spark, base, months)
-    build_bronze(lake, raw_paths)
-    build_silver(lake)
-    build_gold(lake, dpd, mob, threshold, loan_types)
+    with scratch_scope(spark):
+        build_bronze(lake, raw_paths)
+        build_silver(lake)
+        build_gold(lake, dpd, mob, threshold, loan_types)
+        lake.audit += audit_duplicates(lake)
     return spark.createDataFrame(lake.audit, AUDIT_SCHEMA)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from riskloom.operators.durable import durable
 from riskloom.operators.indexing import string_index
 from riskloom.operators.joins import spread_left_join
 from riskloom.operators.projection import classify_columns, fill_columns, select_except
@@ -37,14 +38,16 @@ def combined_features(
     attributes: DataFrame,
     hot="auto",
     index_by: str = SNAPSHOT,
+    cluster: bool = False,
 ) -> DataFrame:
     """The model table: numeric gaps 0, text columns indexed by frequency within the month.
 
-    The joined rows are used twice, for the label counts and for the result. Counting
-    reads the keys and the indexed columns only, which costs less than writing the wide
-    rows out and back.
+    The joined rows are written once to the shared folder, in month order, so the sources
+    are read once for the label counts and the result, and a write by month that follows
+    needs no shuffle of its own.
     """
     joined = joined_features(financials, clickstream, attributes, hot)
+    joined = durable(joined.hint("rebalance", SNAPSHOT) if cluster else joined, "joined-features")
     categorical, numeric = classify_columns(joined, KEYS)
     filled = fill_columns(joined, numeric, 0)
     indexed = string_index(filled, [c for c in categorical if c not in UNINDEXED], index_by)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from riskloom.functions import cleaning as clean
 from riskloom.functions import financials as rules
 from riskloom.operators.projection import enforce_schema, select_except
-from riskloom.operators.vocabulary import THRESHOLD, loan_type_columns, one_hot_loans
+from riskloom.operators.vocabulary import THRESHOLD, loan_type_columns, one_hot_loans, with_loan_types
 from riskloom.schemas import CUSTOMER, DATE, FINANCIALS_CLEAN, FINANCIALS_SILVER, SNAPSHOT, STRING
 
 # The permitted range of each field.
@@ -83,10 +83,12 @@ def financials_silver(raw: DataFrame) -> DataFrame:
 def financials_gold(
     silver: DataFrame, loan_types: list[str] | DataFrame | None = None, threshold: int = THRESHOLD
 ) -> DataFrame:
-    """Debt ratio, behaviour score and one indicator column per loan type.
+    """Debt ratio, behaviour score and the loan types of each row.
 
-    ``loan_types`` fixes the vocabulary: a list for every month alike, or a frame of
-    ``loan_type_columns`` per month. By default it is counted from ``silver``.
+    A list of ``loan_types`` asks for one 0/1 column per type, alike in every month. By
+    default the types of each month are counted from ``silver``, or taken from a frame of
+    ``loan_type_columns``, and kept as the array ``Loan_Types``, which holds any number;
+    ``widen_loan_types`` makes columns of it.
     """
     scored = silver.withColumns(
         {
@@ -96,6 +98,7 @@ def financials_gold(
             ),
         }
     )
-    if loan_types is None:
-        loan_types = loan_type_columns(silver, threshold)
-    return select_except(one_hot_loans(scored, loan_types), TEMPORARY)
+    if isinstance(loan_types, list):
+        return select_except(one_hot_loans(scored, loan_types), TEMPORARY)
+    vocabulary = loan_type_columns(silver, threshold) if loan_types is None else loan_types
+    return select_except(with_loan_types(scored, vocabulary), TEMPORARY)

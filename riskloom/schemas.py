@@ -120,5 +120,7 @@ FINANCIALS_GOLD = {
     "Credit_Behavior_Score": DOUBLE,
 }
 
+LOAN_TYPES_PRESENT = "Loan_Types"  # gold: sorted indicator names of the types a row mentions
+
 # Vocabulary of the one-hot columns of gold financials, one row per month and column.
 LOAN_TYPE_COLUMNS = {SNAPSHOT: DATE, "column_name": STRING, "loan_type": STRING}

@@ -1,14 +1,18 @@
-"""Raw CSV scan with declared types."""
+"""Raw CSV scan with declared types, columns found by the header of each file."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+from urllib.parse import unquote
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from riskloom.operators.projection import enforce_schema
-from riskloom.schemas import ATTRIBUTES_RAW, CLICK_KEYS, FEATURE_PREFIX, FINANCIALS_RAW, LOAN_RAW
+from riskloom.schemas import ATTRIBUTES_RAW, CLICK_KEYS, FEATURE_PREFIX, FINANCIALS_RAW, LOAN_RAW, SNAPSHOT
 
 RAW_TYPES = {
     "loans": LOAN_RAW,
@@ -18,23 +22,54 @@ RAW_TYPES = {
 }
 # Sources whose file may lack a snapshot column; then the file holds for every month.
 OPTIONAL_SNAPSHOT = {"clickstream", "attributes", "financials"}
+HEADER_READERS = 16
+
+
+def files_by_header(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """Files below ``path`` grouped by their header line, which is all that is read of them."""
+    files = sorted(unquote(file) for file in spark.read.text(path).inputFiles())
+
+    def header(file: str) -> tuple[str, ...]:
+        return tuple(spark.read.option("header", True).option("inferSchema", False).csv(file).columns)
+
+    groups: dict[tuple[str, ...], list[str]] = {}
+    with ThreadPoolExecutor(max_workers=HEADER_READERS) as pool:
+        for file, columns in zip(files, pool.map(inheritable_thread_target(spark)(header), files)):
+            if columns:  # a file without a line has no rows either
+                groups.setdefault(columns, []).append(file)
+    return groups
 
 
 def read_raw(
-    spark: SparkSession, path: str, types: Mapping[str, T.DataType], prefix: str | None = None
+    spark: SparkSession,
+    path: str,
+    types: Mapping[str, T.DataType],
+    prefix: str | None = None,
+    optional: frozenset[str] | set[str] = frozenset(),
 ) -> DataFrame:
-    """CSV with a header, columns found by name and read as the declared types.
+    """CSV files with headers, columns found by name and read as the declared types.
 
-    Only the header line is read ahead; there is no inference pass over the data.
-    Columns starting with ``prefix`` are read as doubles, others are left out.
+    Files may order their columns differently. Columns starting with ``prefix`` are read as
+    doubles and are NULL in files that lack them; other undeclared columns are left out. A
+    file without a declared column raises, unless the column is ``optional``; an optional
+    column that some files have is NULL in the others.
     """
-    text = spark.read.option("header", True).option("inferSchema", False).csv(path)
-    wanted = {name: dtype for name, dtype in types.items() if name in text.columns}
-    if prefix:
-        wanted |= {name: T.DoubleType() for name in text.columns if name.startswith(prefix)}
-    return enforce_schema(text.select(*wanted), wanted)
+    parts = []
+    for columns, files in files_by_header(spark, path).items():
+        missing = [name for name in types if name not in columns and name not in optional]
+        if missing:
+            raise ValueError(f"{files[0]} has no column {', '.join(missing)}")
+        wanted = {name: dtype for name, dtype in types.items() if name in columns}
+        if prefix:
+            wanted |= {name: T.DoubleType() for name in columns if name.startswith(prefix)}
+        text = spark.read.option("header", True).option("inferSchema", False).csv(files)
+        parts.append(enforce_schema(text.select(*wanted), wanted))
+    if not parts:
+        raise ValueError(f"{path} has no file with a header")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def read_source(spark: SparkSession, path: str, source: str) -> DataFrame:
     prefix = FEATURE_PREFIX if source == "clickstream" else None
-    return read_raw(spark, path, RAW_TYPES[source], prefix)
+    optional = {SNAPSHOT} if source in OPTIONAL_SNAPSHOT else set()
+    return read_raw(spark, path, RAW_TYPES[source], prefix, optional)

@@ -226,11 +226,14 @@ def test_one_hot_is_a_substring_test(spark):
     assert {(r.Type_of_Loan, r.Loan_Auto_Loan) for r in hot.collect()} == {("My Auto Loan Plus", 1), (None, 0), ("", 0)}
 
 
-@pytest.mark.parametrize("broadcast_bytes", [10_000, 0])
-def test_long_form_routes_agree(spark, broadcast_bytes):
+LONG_ROUTES = [{}, {"few_types": 0}, {"few_types": 0, "broadcast_bytes": 0}]
+
+
+@pytest.mark.parametrize("route", LONG_ROUTES)
+def test_long_form_routes_agree(spark, route):
     df = fin_text(spark, (JAN, "Auto Loan and Auto", 3), (JAN, "xAutox", 2), (FEB, "Auto Loan", 2), (JAN, None, 2), (JAN, "", 1))
     words = spark.createDataFrame([(JAN, "Auto"), (JAN, "Auto Loan"), (FEB, "Loan")], "snapshot_date date, loan_type string")
-    out = vocabulary.one_hot_loans_long(df, words, ["snapshot_date", "Type_of_Loan"], broadcast_bytes)
+    out = vocabulary.one_hot_loans_long(df, words, ["snapshot_date", "Type_of_Loan"], **route)
     assert bag(out) == Counter(
         [(JAN, "Auto Loan and Auto", "Auto")] * 3
         + [(JAN, "Auto Loan and Auto", "Auto Loan")] * 3
@@ -239,21 +242,48 @@ def test_long_form_routes_agree(spark, broadcast_bytes):
     )
 
 
-def test_too_many_columns_is_an_error_not_a_cut(spark, monkeypatch):
-    monkeypatch.setattr(vocabulary, "MAX_COLUMNS", 1)
-    df = fin_text(spark, (JAN, "A", 10), (JAN, "B", 10))
-    with pytest.raises(ValueError, match="one_hot_loans_long"):
-        vocabulary.one_hot_loans(df, vocabulary.loan_type_columns(df))
+@pytest.mark.parametrize("route", LONG_ROUTES)
+def test_present_types_of_odd_texts(spark, route):
+    """Types inside other types, at the ends of a text, of one character and of two sizes."""
+    texts = ["a", "ab", "xabab", "éa", "Loan of a Loan", "x" * 5000 + "abc", "", None]
+    df = fin_text(spark, *[(JAN, t, 2) for t in texts], (FEB, "ab", 1))
+    types = ["a", "ab", "abab", "é", "Loan", "Loan of a Loan", "abc", "never"]
+    words = spark.createDataFrame([(JAN, f"Loan_{t}", t) for t in types], "snapshot_date date, column_name string, loan_type string")
+    found = vocabulary.with_loan_types(df, words, **route).collect()
+    want = [(t, sorted(f"Loan_{w}" for w in types if t and w in t)) for t in texts for _ in (0, 1)] + [("ab", [])]
+    assert Counter((r.Type_of_Loan, tuple(r.Loan_Types)) for r in found) == Counter((t, tuple(w)) for t, w in want)
+
+
+def test_list_names_that_are_equal_but_for_case(spark):
+    df = fin_text(spark, (JAN, "pay day", 1), (JAN, "Pay-Day", 1))
+    hot = vocabulary.one_hot_loans(df, ["Pay-Day", "pay day"])
+    assert hot.columns[-1] == "Loan_pay_day" and {(r.Type_of_Loan, r.Loan_pay_day) for r in hot.collect()} == {("pay day", 1), ("Pay-Day", 0)}
 
 
 # --- index ------------------------------------------------------------------------------------------------
 
+@pytest.mark.parametrize("min_rows", [100, 10**6])
+@pytest.mark.parametrize("hot_null", [True, False])
+def test_given_hot_keys_lose_no_row(spark, min_rows, hot_null):
+    """NULL keys on both sides, and given keys that a table does not have."""
+    fact = spark.createDataFrame([("a", JAN, 1), ("b", JAN, 2), (None, JAN, 3), ("a", None, 4)], "Customer_ID string, snapshot_date date, x int")
+    rows = [(None, JAN, i) for i in range(50)] + [("a", JAN, i) for i in range(200)] + [(None, None, 1)]
+    click = spark.createDataFrame(rows, "Customer_ID string, snapshot_date date, fe int")
+    plain = bag(fact.join(click, KEYS, "left"))
+    counted = joins.hot_keys([fact, click], KEYS, min_rows=min_rows, partitions=50)
+    assert bag(joins.spread_left_join(fact, [click], KEYS, counted)) == plain
+    keys = [("b", JAN), ("a", JAN), ("nobody", JAN), ("a", FEB)] + ([(None, JAN), (None, None), ("a", None)] if hot_null else [])
+    given = spark.createDataFrame([(*k, 3, 4) for k in keys], "Customer_ID string, snapshot_date date, _rows0 int, _rows1 int")
+    assert bag(joins.spread_left_join(fact, [click], KEYS, given)) == plain
+
+
 ROUTES = {"maps": {}, "broadcast": {"map_labels": 0}, "shuffle": {"map_labels": 0, "broadcast_bytes": 0}}
 
 
 @pytest.mark.parametrize("route", ROUTES)
 def test_string_index(spark, route):
     rows = [(JAN, v, None) for v in ["b", "a", "c", "c", None, ""]] + [(FEB, "a", "z"), (FEB, None, "z")]
+    rows += [(None, v, None) for v in ["b", "b", None]]  # rows without a month are a month of their own
     df = spark.createDataFrame(rows, "snapshot_date date, v string, w string")
     out = indexing.string_index(df, ["v", "w"], **ROUTES[route])
     assert out.columns == ["snapshot_date", "v", "w", "v_index", "w_index"]
@@ -261,6 +291,7 @@ def test_string_index(spark, route):
     assert bag(out.drop("w")) == Counter(
         [(JAN, "b", 3, None), (JAN, "a", 2, None), (JAN, "c", 0, None), (JAN, "c", 0, None), (JAN, None, 4, None)]
         + [(JAN, "", 1, None), (FEB, "a", 0, 0), (FEB, None, 1, 0)]
+        + [(None, "b", 0, None), (None, "b", 0, None), (None, None, 1, None)]
     )
 
 
@@ -308,3 +339,24 @@ def test_long_labels_are_not_broadcast(spark):
     out = indexing.string_index(df, ["v"], broadcast_bytes=4000)
     assert "_codes0" not in plan_of(out)
     assert sorted(r.v_index for r in out.collect()) == [0, 1, 2]
+
+
+def test_broadcast_tables_share_one_budget(spark):
+    """Each column is small; together they exceed the budget, so some are joined by shuffles."""
+    columns = [f"v{i}" for i in range(6)]
+    df = spark.range(300).select(F.lit(JAN).alias("snapshot_date"), *[F.concat(F.lit(c), F.col("id") % 40).alias(c) for c in columns])
+    one = 40 * (64 + 5)
+    routes = [indexing.string_index(df, columns, map_labels=0, broadcast_bytes=b) for b in (one * 12, one * 3)]
+    assert [plan_of(df).count("_combination") > 0 for df in routes] == [False, True]
+    assert bag(routes[0]) == bag(routes[1])
+
+
+def test_scratch_goes_with_its_scope(spark):
+    from riskloom.operators import durable as kept
+
+    with kept.scratch_scope(spark):
+        path = kept.scratch_path(spark, "x")
+        spark.range(3).write.parquet(path)
+        assert spark.read.parquet(path).count() == 3
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)

@@ -28,7 +28,7 @@ JAN, FEB, MAR, JUL = (dt.date(2023, m, 1) for m in (1, 2, 3, 7))
 
 
 def bag(df):
-    return Counter(map(tuple, df.collect()))
+    return Counter(tuple(tuple(v) if isinstance(v, list) else v for v in row) for row in df.collect())
 
 
 def loan(spark, **values):
@@ -211,8 +211,44 @@ def test_raw_scan_by_name(spark, tmp_path):
     df = read_source(spark, str(path), "clickstream")
     assert df.dtypes == [("Customer_ID", "string"), ("snapshot_date", "date"), ("fe_2", "double"), ("fe_1", "double")]
     assert bag(df) == Counter([("a", JAN, 1.5, None), ("b", None, None, 2.0)])
-    with pytest.raises(ValueError):
-        loan_silver(read_raw(spark, str(path), S.LOAN_RAW))
+    with pytest.raises(ValueError, match="loan_id"):
+        read_raw(spark, str(path), S.LOAN_RAW)
+
+
+def test_files_of_a_directory_may_differ(spark, tmp_path):
+    (tmp_path / "a b.csv").write_text("Customer_ID,snapshot_date,fe_1\na,2023-01-01,1\n")
+    (tmp_path / "b.csv").write_text("fe_2,fe_1,snapshot_date,Customer_ID\n5,6,2023-02-01,b\n")
+    (tmp_path / "c.csv").write_text("")
+    (tmp_path / "d.csv").write_text("fe_1,Customer_ID\n7,c\n")
+    df = read_source(spark, str(tmp_path), "clickstream").select("Customer_ID", "snapshot_date", "fe_1", "fe_2")
+    assert bag(df) == Counter([("a", JAN, 1.0, None), ("b", FEB, 6.0, 5.0), ("c", None, 7.0, None)])
+    (tmp_path / "e.csv").write_text("fe_1,snapshot_date\n1,2023-01-01\n")
+    with pytest.raises(ValueError, match="Customer_ID"):
+        read_source(spark, str(tmp_path), "clickstream")
+
+
+def test_any_number_of_loan_types(spark, sources, tmp_path):
+    """Thousands of types in a month are a longer vocabulary, not more columns."""
+    fins, clicks, attrs = sources
+    many = spark.range(5000).select(F.explode(F.array(F.lit(0), F.lit(1))).alias("copy"), F.col("id")).select(
+        F.concat(F.lit("m"), F.col("id")).alias("Customer_ID"), F.lit(JAN).alias("snapshot_date"),
+        F.concat(F.lit("Type "), F.col("id"), F.lit(" Loan")).alias("Type_of_Loan"),
+    )
+    raw = write_csvs(spark, (fins.unionByName(many, allowMissingColumns=True), clicks, attrs), f"{tmp_path}/raw")
+    base = f"{tmp_path}/lake"
+    backfill(spark, raw, base, JAN, JAN, threshold=2)
+    assert steps.read_loan_types(spark, base).count() >= 5000
+    listed = read_features(spark, base).where("Customer_ID = 'm77'").select("Loan_Types").collect()
+    assert [r.Loan_Types for r in listed] == [["Loan_Type_77_Loan"]] * 2
+
+
+def test_a_fixed_list_replaces_the_months_vocabulary(spark, sources, tmp_path):
+    raw = write_csvs(spark, sources, f"{tmp_path}/raw")
+    base = f"{tmp_path}/lake"
+    backfill(spark, raw, base, JAN, FEB, threshold=5)
+    backfill(spark, raw, base, JAN, FEB, loan_types=["Pay Loan", "pay loan"])
+    names = [c for c in read_features(spark, base, wide=True).columns if c.startswith("Loan_")]
+    assert sorted(names) == ["Loan_Type_Count", "Loan_pay_loan"]
 
 
 def write_csvs(spark, sources, base, undated_clicks=False):
@@ -229,7 +265,8 @@ def test_backfill(spark, sources, tmp_path):
     raw = write_csvs(spark, sources, f"{tmp_path}/raw")
     base = f"{tmp_path}/lake"
     audit = {tuple(r)[:3]: r.n for r in backfill(spark, raw, base, "2023-01-10", "2023-03-05", threshold=5).collect()}
-    assert len(audit) == 13 * 3
+    assert len(audit) == 15 * 3
+    assert audit["audit", "duplicate_customers", JAN] == audit["audit", "duplicate_ssn", JAN] == 0
     assert audit["bronze", "loans", JAN] == 1 and audit["gold", "label_store", FEB] == 0
     assert audit["silver", "financials", JAN] == 40 and audit["gold", "combined", FEB] == 20
     combined = read_layer(spark, base, "gold", "combined")
@@ -252,13 +289,13 @@ def test_columns_of_later_loan_types(spark, sources, tmp_path):
     base = f"{tmp_path}/lake"
     for month in ("2023-01-01", "2023-02-01"):
         backfill(spark, raw, base, month, month, threshold=5)
-    features = read_features(spark, base).groupBy("snapshot_date").agg(
+    features = read_features(spark, base, wide=True).groupBy("snapshot_date").agg(
         F.sum("Loan_New_Loan").alias("new"), F.sum("Loan_Auto_Loan").alias("auto"), F.count("*").alias("n")
     )
     rows = {r.snapshot_date: r for r in features.collect()}
     assert rows[JAN].new == 0 and rows[JAN].auto > 0
     assert rows[FEB].new == rows[FEB].n == 20 and rows[FEB].auto == 0
-    money = read_features(spark, base, "financials")
+    money = read_features(spark, base, "financials", wide=True)
     assert {r[0] for r in money.where(F.col("snapshot_date") == F.lit(JAN)).select("Loan_New_Loan").collect()} == {None}
 
 
@@ -277,6 +314,6 @@ def test_fixed_loan_types_and_months_without_any_row(spark, sources, tmp_path):
     assert {(r.table, r.n) for r in audit if r.layer == "gold" and r.snapshot_date == FEB} == {
         ("label_store", 0), ("attributes", 8), ("clickstream", 0), ("financials", 20), ("combined", 20)
     }
-    features = read_features(spark, base, snapshots=[FEB])
+    features = read_features(spark, base, snapshots=[FEB], wide=True)
     assert {"Loan_Auto_Loan", "Loan_Pay_Loan", "fe_1"} <= set(features.columns) and features.count() == 20
     assert steps.Lake(spark, base, [FEB]).read("gold", "label_store").count() == 0
