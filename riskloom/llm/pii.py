@@ -54,6 +54,7 @@ ANY_CANDIDATE = re.compile(CANDIDATE)
 
 SAMPLE_DOCS = 4000  # documents the trees learn from, at most
 PIECE = 1600  # characters of each
+DOCS_PER_SAMPLE = 64  # so many documents are looked at per document wanted
 PRECISION = 0.99
 MASK = {kind: f"[{kind.upper()}]" for kind in KINDS}
 SPAN_TYPE = T.ArrayType(
@@ -278,11 +279,14 @@ def _free(span, taken) -> bool:
 
 def learn_span_model(docs: DataFrame, text: str = "text", sample: int = SAMPLE_DOCS) -> SpanModel:
     """Learn from at most ``sample`` documents that have candidates, chosen by hash; of each
-    the text around the first candidate."""
-    first = F.regexp_instr(text, F.lit(CANDIDATE))
-    piece = F.substring(text, F.greatest(first - 80, F.lit(1)), F.lit(PIECE))
-    some = docs.where(F.col(text).rlike(CANDIDATE)).select(piece.alias("text"))
-    rows = some.orderBy(F.xxhash64("text"), "text").limit(sample).collect()
+    the text around the first candidate. Large tables are thinned by that hash first, to a
+    number of documents that does not grow with the table."""
+    share = min(1.0, DOCS_PER_SAMPLE * sample / max(docs.count(), 1))
+    first = F.regexp_instr("_text", F.lit(CANDIDATE))
+    piece = F.substring(F.col("_text"), F.greatest(first - 80, F.lit(1)), F.lit(PIECE))
+    own = docs.select(F.col(text).alias("_text"), F.xxhash64(text).alias("_order"))
+    own = own.where(F.pmod("_order", F.lit(1 << 30)) < int(share * (1 << 30))).where(F.col("_text").rlike(CANDIDATE))
+    rows = own.select("_order", piece.alias("text")).distinct().orderBy("_order", "text").limit(sample).collect()
     return fit_span_model([row.text for row in rows])
 
 

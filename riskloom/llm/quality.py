@@ -156,14 +156,16 @@ def learn_quality(
     order = [F.xxhash64(id_column), F.col(id_column)]
     chosen = learning_sample(known, "_label", per_label, counts, order)
     met = docs.select(id_column, F.coalesce(F.col(text), F.lit("")).alias("_text")).join(F.broadcast(chosen), id_column)
-    met = learning_sample(met, "_label", per_label, counts, [*order, F.xxhash64("_text")])
+    # One text per id, however often the id occurs.
+    one = F.min(F.struct(F.xxhash64("_text").alias("hash"), "_text")).alias("_one")
+    met = met.groupBy(id_column, "_label").agg(one).select("_label", "_one._text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "_text", 1 << 20):
             rows = term_counts(text_bytes(batch.column(1)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in rows], pa.binary())], names=["label", "terms"])
 
-    found = met.select("_label", "_text").mapInArrow(run, "label int, terms binary").toArrow()
+    found = met.mapInArrow(run, "label int, terms binary").toArrow()
     rows = np.frombuffer(b"".join(found.column("terms").to_pylist()), np.float32).reshape(-1, TERMS)
     own = np.array(found.column("label").to_pylist(), np.int64)
     drawn = np.bincount(own, minlength=2) if len(own) else np.zeros(2)

@@ -32,14 +32,15 @@ def learning_sample(df: DataFrame, label: str, per_label: int, counts: dict, ord
     first column is a 64-bit hash.
 
     ``counts`` has the rows per label. Rows of a large label are thinned by that hash to a
-    few times the wanted number before any shuffle, so no label is ever gathered whole.
+    few times the wanted number before any shuffle, and repeated rows are one, so no label
+    is ever gathered whole.
     """
     if not counts:
         return df.limit(0)
     share = {y: min(1.0, (4 * per_label + 100) / max(n, 1)) for y, n in counts.items()}
     entries = [F.lit(x) for y, p in share.items() for x in (y, int(p * (1 << 30)))]
     most = F.element_at(F.create_map(*entries), F.col(label))
-    thin = df.where(F.col(label).isin(list(share)) & (F.pmod(order[0], F.lit(1 << 30)) < most))
+    thin = df.where(F.col(label).isin(list(share)) & (F.pmod(order[0], F.lit(1 << 30)) < most)).distinct()
     name = fresh("_place", df)
     place = F.row_number().over(Window.partitionBy(label).orderBy(*order))
     return thin.withColumn(name, place).where(F.col(name) <= per_label).drop(name)
