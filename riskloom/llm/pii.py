@@ -54,7 +54,7 @@ ANY_CANDIDATE = re.compile(CANDIDATE)
 
 SAMPLE_DOCS = 4000  # documents the trees learn from, at most
 PIECE = 1600  # characters of each
-DOCS_PER_SAMPLE = 64  # so many documents are looked at per document wanted
+DOCS_PER_SAMPLE = 24  # so many documents are looked at per document wanted
 PRECISION = 0.99
 MASK = {kind: f"[{kind.upper()}]" for kind in KINDS}
 SPAN_TYPE = T.ArrayType(
