@@ -31,7 +31,7 @@ WINDOW = 5
 COVERAGE = 0.8
 RUN_TOKENS = 13  # so many consistent template tokens in a row are contamination as well
 BITMAP_BITS = 1 << 23
-TOKEN = re.compile(r"[+-]?\d+(?:[.,]\d+)*|[^\W\d_]+|[%$€£°]|[.!?:\n]")
+TOKEN = re.compile(r"[^\W\d_]+|[.!?:\n]|[+-]?\d+(?:[.,]\d+)*|[%$€£°]")
 WORD, CAPITAL, NUMBER, UNIT, STOP = range(5)
 NUMBER_WORDS = """two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen
 sixteen seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred
@@ -46,34 +46,65 @@ PLACEHOLDERS = {
     NUMBER: np.uint64(xxhash.xxh64_intdigest(b"<number>")),
     UNIT: np.uint64(xxhash.xxh64_intdigest(b"<unit>")),
 }
-MOST_MEMORY = 200_000  # token forms a worker remembers
+MOST_MEMORY = 400_000  # parts of texts that a worker remembers
+KNOWN_KINDS = {**dict.fromkeys(NUMBER_WORDS, NUMBER), **dict.fromkeys(UNITS, UNIT)}
+
+
+def token_code(token: str) -> int:
+    """hash << 3 | kind of a token, as an unsigned 64-bit number."""
+    first, lowered = token[0], token.lower()
+    if token in ".!?:\n":
+        kind = STOP
+    elif lowered in KNOWN_KINDS:
+        kind = KNOWN_KINDS[lowered]
+    elif not first.isalpha():
+        kind = NUMBER
+    elif first.isupper() and len(token) > 1 and token[1:].islower():
+        kind = CAPITAL
+    else:
+        kind = WORD
+    return (xxhash.xxh64_intdigest(lowered) & ~7) | kind
 
 
 class Forms(dict):
-    """Token text -> (hash << 3 | kind) as an unsigned 64-bit number."""
-
-    def __missing__(self, token: str) -> int:
-        first = token[0]
-        if token in ".!?:\n":
-            kind = STOP
-        elif first in "+-0123456789" or first.isdigit() or token.lower() in NUMBER_WORDS:
-            kind = NUMBER
-        elif token.lower() in UNITS:
-            kind = UNIT
-        elif len(token) > 1 and first.isupper() and token[1:].islower():
-            kind = CAPITAL
-        else:
-            kind = WORD
-        value = (xxhash.xxh64_intdigest(token.lower()) & ~7) | kind
-        if len(self) < MOST_MEMORY and len(token) <= 64:
-            self[token] = value
-        return value
+    """What stands between blanks -> its number; ``codes`` looks up the tokens in it.
+
+    No token spans a blank, so the tokens of a text are those of its parts, and a part is
+    taken apart once.
+    """
+
+    def __init__(self):
+        super().__init__()
+        self.starts, self.pool = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.uint64)
+
+    def __missing__(self, part: str) -> int:
+        at = len(self)
+        codes = [token_code(token) for token in TOKEN.findall(part)]
+        begin = int(self.starts[at])
+        end = begin + len(codes)
+        if at + 2 > len(self.starts):
+            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
+        while end > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
+        self.pool[begin:end] = codes
+        self.starts[at + 1] = end
+        self[part] = at
+        return at
+
+    def codes(self, text: str) -> np.ndarray:
+        if len(self) > MOST_MEMORY:
+            self.clear()
+        parts = text.replace("\n", " \n ").split(" ")
+        at = np.fromiter(map(self.__getitem__, parts), np.int64, len(parts))
+        begin = self.starts[at]
+        sizes = self.starts[at + 1] - begin
+        ends = np.cumsum(sizes)
+        return self.pool[np.arange(ends[-1]) + np.repeat(begin - (ends - sizes), sizes)]
 
 
 def template(text: str, forms: Forms) -> tuple[np.ndarray, np.ndarray]:
     """(template token hashes, slot values): the value is 0 where a token is no placeholder."""
-    tokens = TOKEN.findall(text)
-    coded = np.fromiter(map(forms.__getitem__, tokens), np.uint64, len(tokens))
+    coded = forms.codes(text)
     kinds = (coded & np.uint64(7)).astype(np.int8)
     before = np.concatenate([[STOP], kinds[:-1]]) if len(kinds) else kinds
     kinds = np.where((kinds == CAPITAL) & (before == STOP), WORD, kinds)
