@@ -17,7 +17,7 @@ from riskloom.functions import cleaning as clean
 from riskloom.functions import financials as fin_rules
 from riskloom.functions import loans as loan_rules
 from riskloom.operators import dedup, indexing, joins, projection, snapshots, vocabulary
-from riskloom.operators.durable import scratch_path
+from riskloom.operators.durable import durable, scratch_path
 from riskloom.plans import combined as combine
 from riskloom.plans.attributes import attributes_gold, attributes_silver
 from riskloom.plans.backfill import backfill, read_features
@@ -81,7 +81,7 @@ def _fin_silver(spark, sf):
 
 
 def _loan_types(spark, sf, threshold=vocabulary.THRESHOLD):
-    return vocabulary.loan_type_columns(_fin_silver(spark, sf), threshold)
+    return durable(vocabulary.loan_type_columns(_fin_silver(spark, sf), threshold), "loan-types")
 
 
 def _wide(df: DataFrame, loan_types: DataFrame, fill: int | None = None) -> DataFrame:
