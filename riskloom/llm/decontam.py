@@ -14,125 +14,22 @@ passes it is joined by equality of the whole hash, so the bitmap never decides a
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.llm.shared import fresh, slices
+from riskloom.llm.templates import template, tokens, window_hashes
 from riskloom.operators.durable import BROADCAST_BYTES, durable
 
 WINDOW = 5
 COVERAGE = 0.8
 RUN_TOKENS = 13  # so many consistent template tokens in a row are contamination as well
 BITMAP_BITS = 1 << 23
-TOKEN = re.compile(r"[^\W\d_]+|[.!?:\n]|[+-]?\d+(?:[.,]\d+)*|[%$€£°]")
-WORD, CAPITAL, NUMBER, UNIT, STOP = range(5)
-NUMBER_WORDS = """two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen
-sixteen seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred
-thousand million billion""".split()
-UNITS = """% $ € £ ° mm cm m km inch inches foot feet yard yards mile miles g kg mg ton tons pound pounds
-ounce ounces l ml liter liters litre litres gallon gallons second seconds minute minutes hour hours day
-days week weeks month months year years cent cents dollar dollars euro euros percent degree degrees meter
-meters metre metres kilometer kilometers kilometre kilometres gram grams kilogram kilograms mph kmh""".split()
-MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
-PLACEHOLDERS = {
-    CAPITAL: np.uint64(xxhash.xxh64_intdigest(b"<name>")),
-    NUMBER: np.uint64(xxhash.xxh64_intdigest(b"<number>")),
-    UNIT: np.uint64(xxhash.xxh64_intdigest(b"<unit>")),
-}
-MOST_MEMORY = 400_000  # parts of texts that a worker remembers
-KNOWN_KINDS = {**dict.fromkeys(NUMBER_WORDS, NUMBER), **dict.fromkeys(UNITS, UNIT)}
-
-
-def token_code(token: str) -> int:
-    """hash << 3 | kind of a token, as an unsigned 64-bit number."""
-    first, lowered = token[0], token.lower()
-    if token in ".!?:\n":
-        kind = STOP
-    elif lowered in KNOWN_KINDS:
-        kind = KNOWN_KINDS[lowered]
-    elif not first.isalpha():
-        kind = NUMBER
-    elif first.isupper() and len(token) > 1 and token[1:].islower():
-        kind = CAPITAL
-    else:
-        kind = WORD
-    return (xxhash.xxh64_intdigest(lowered) & ~7) | kind
-
-
-class Forms(dict):
-    """What stands between blanks -> its number; ``codes`` looks up the tokens in it.
-
-    No token spans a blank, so the tokens of a text are those of its parts, and a part is
-    taken apart once.
-    """
-
-    def __init__(self):
-        super().__init__()
-        self.starts, self.pool = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.uint64)
-
-    def __missing__(self, part: str) -> int:
-        at = len(self)
-        codes = [token_code(token) for token in TOKEN.findall(part)]
-        begin = int(self.starts[at])
-        end = begin + len(codes)
-        if at + 2 > len(self.starts):
-            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
-        while end > len(self.pool):
-            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
-        self.pool[begin:end] = codes
-        self.starts[at + 1] = end
-        self[part] = at
-        return at
-
-    def codes(self, text: str) -> np.ndarray:
-        if len(self) > MOST_MEMORY:
-            self.clear()
-        parts = text.replace("\n", " \n ").split(" ")
-        at = np.fromiter(map(self.__getitem__, parts), np.int64, len(parts))
-        begin = self.starts[at]
-        sizes = self.starts[at + 1] - begin
-        ends = np.cumsum(sizes)
-        return self.pool[np.arange(ends[-1]) + np.repeat(begin - (ends - sizes), sizes)]
-
-
-def template(text: str, forms: Forms) -> tuple[np.ndarray, np.ndarray]:
-    """(template token hashes, slot values): the value is 0 where a token is no placeholder."""
-    coded = forms.codes(text)
-    kinds = (coded & np.uint64(7)).astype(np.int8)
-    before = np.concatenate([[STOP], kinds[:-1]]) if len(kinds) else kinds
-    kinds = np.where((kinds == CAPITAL) & (before == STOP), WORD, kinds)
-    kinds = np.where((kinds == UNIT) & (before != NUMBER), WORD, kinds)
-    coded, kinds = coded[kinds != STOP], kinds[kinds != STOP]
-    # Neighbouring names across a stop cannot be: the second one starts a sentence.
-    starts = np.flatnonzero(~((kinds == CAPITAL) & (np.concatenate([[WORD], kinds[:-1]]) == CAPITAL)))
-    if not len(starts):
-        return np.empty(0, np.uint64), np.empty(0, np.uint64)
-    place = np.arange(len(coded)) - np.repeat(starts, np.diff(np.append(starts, len(coded))))
-    values = np.add.reduceat((coded >> np.uint64(3)) * (2 * place + 1).astype(np.uint64), starts)
-    kinds = kinds[starts]
-    hashes = coded[starts] >> np.uint64(3)
-    for kind, code in PLACEHOLDERS.items():
-        hashes[kinds == kind] = code
-    return hashes, np.where(kinds == WORD, np.uint64(0), values)
-
-
-def window_hashes(hashes: np.ndarray, window: int) -> np.ndarray:
-    """Hash of every ``window`` tokens in a row; a shorter text is one window."""
-    if not len(hashes):
-        return hashes
-    window = min(window, len(hashes))
-    n = len(hashes) - window + 1
-    out = np.zeros(n, np.uint64)
-    for j in range(window):
-        out = out * MULTIPLIER + hashes[j : j + n]
-    return (out ^ (out >> np.uint64(29))) * MULTIPLIER + np.uint64(window)
 
 
 def _slot(hashes: np.ndarray) -> np.ndarray:
@@ -146,12 +43,12 @@ def template_windows(df: DataFrame, keys: list[str], text: str, window: int, bit
     schema = schema.add("slots", T.ArrayType(T.LongType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        forms = Forms()
         wanted = None if bitmap is None else np.unpackbits(np.frombuffer(bitmap, np.uint8), bitorder="little")
         for batch in slices(batches, "_text", 1 << 20):
             rows, found, places, sizes, slots = [], [], [], [], []
-            for i, value in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
-                hashes, values = template(value or "", forms)
+            coded, ends = tokens([text or "" for text in batch.column(batch.num_columns - 1).to_pylist()])
+            for i, end in enumerate(ends):
+                hashes, values = template(coded[ends[i - 1] if i else 0 : end])
                 windows = window_hashes(hashes, window)
                 at = np.arange(len(windows)) if wanted is None else np.flatnonzero(wanted[_slot(windows)])
                 if not len(at):

@@ -4,9 +4,11 @@ import random
 import re
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from riskloom.llm import decontam
+from riskloom.llm import decontam, templates
 
 ITEMS = [
     (1, "A train leaves at noon. If Alice buys 12 apples for 3 dollars and sells 5 of them to Bob, how many apples does Alice keep in the end?"),
@@ -95,6 +97,33 @@ def test_repeats_clashing_names_and_empty_tables(spark, documents):
 
 @pytest.mark.parametrize("text", ["a" * 500_000, "a " * 200_000, "A " * 100_000, "1 km " * 50_000, "Xy. " * 50_000])
 def test_long_texts(text):
-    hashes, values = decontam.template(text, decontam.Forms())
+    hashes, values = templates.template(templates.tokens([text])[0])
     assert len(hashes) == len(values) > 0
-    assert len(decontam.window_hashes(hashes, 5)) == max(1, len(hashes) - 4)
+    assert len(templates.window_hashes(hashes, 5)) == max(1, len(hashes) - 4)
+
+
+PATTERN = re.compile(r"[^\W\d_]+|[.!?:\n]|[+-]?\d+(?:[.,]\d+)*|[%$€£°]")
+
+
+def plain_kind(token):
+    known = dict.fromkeys(templates.NUMBER_WORDS, templates.NUMBER) | dict.fromkeys(templates.UNITS, templates.UNIT)
+    if token in ".!?:\n":
+        return templates.STOP
+    if token.lower() in known:
+        return known[token.lower()]
+    if not token[0].isalpha():
+        return templates.NUMBER
+    return templates.CAPITAL if len(token) > 1 and token[0].isupper() and token[1:].islower() else templates.WORD
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.text(alphabet="aBéÑ𝒜日 .,!\n15+-%€\t_kKmM", max_size=30), max_size=4))
+def test_tokens(texts):
+    """Kinds, and equal hashes for equal lower-cased tokens only, against a plain pattern."""
+    coded, ends = templates.tokens(texts)
+    for i, text in enumerate(texts):
+        own = coded[ends[i - 1] if i else 0 : ends[i]].tolist()
+        want = [t for t in PATTERN.findall(text + "\n")]
+        assert [c & 7 for c in own] == [plain_kind(t) for t in want]
+        names = {}
+        assert all(names.setdefault(c >> 3, t.lower()) == t.lower() for c, t in zip(own, want))
