@@ -19,7 +19,7 @@ from riskloom.schemas import LOAN_TYPES_PRESENT, SNAPSHOT
 
 TEXT = "Type_of_Loan"
 THRESHOLD = 10
-FEW_TYPES = 48  # types per month that are quicker tested one by one than joined
+FEW_TYPES = 48  # types that are quicker tested one by one than joined
 SALTS = 16  # parts of a piece of text that a common type is joined in
 
 
@@ -136,17 +136,18 @@ def with_loan_types(
     """Add ``Loan_Types``: the sorted indicator names of the month's types the text contains.
 
     ``vocabulary`` is a frame of ``loan_type_columns``. Missing text and months without a
-    vocabulary have an empty array.
+    vocabulary have an empty array. Up to ``few_types`` types are one projection.
     """
-    vocabulary = durable(vocabulary.select(SNAPSHOT, "column_name", "loan_type"), "loan-vocabulary")
     none = F.array().cast("array<string>")
-    if _few(vocabulary, few_types):
-        entry = F.struct("column_name", "loan_type")
-        by_month = vocabulary.groupBy(SNAPSHOT).agg(F.array_sort(F.collect_list(entry)).alias("_entries"))
-        present = F.filter("_entries", lambda e: F.contains(F.col(TEXT), e["loan_type"]))
-        names = F.coalesce(F.transform(present, lambda e: e["column_name"]), none)
-        joined = df.join(F.broadcast(by_month), SNAPSHOT, "left")
-        return joined.withColumn(LOAN_TYPES_PRESENT, names).select(*df.columns, LOAN_TYPES_PRESENT)
+    entries = vocabulary.groupBy("column_name", "loan_type").agg(F.collect_set(SNAPSHOT).alias("months"))
+    rows = entries.limit(few_types + 1).collect()
+    if len(rows) <= few_types:
+        listed = []
+        for row in sorted(rows, key=lambda r: r.column_name):
+            present = F.col(SNAPSHOT).isin(row.months) & F.contains(F.col(TEXT), F.lit(row.loan_type))
+            listed.append(F.when(present, F.array(F.lit(row.column_name))).otherwise(none))
+        return df.withColumn(LOAN_TYPES_PRESENT, F.concat(*listed) if listed else none)
+    vocabulary = durable(vocabulary.select(SNAPSHOT, "column_name", "loan_type"), "loan-vocabulary")
     rows, found, hot = _by_text(df, vocabulary, broadcast_bytes)
     named = found.join(vocabulary, [SNAPSHOT, "loan_type"])
     lists = named.groupBy(SNAPSHOT, "_text_id").agg(F.array_sort(F.collect_set("column_name")).alias("_names"))
