@@ -131,16 +131,16 @@ def _cut(bits: list[int], parts: int) -> list[list[int]]:
     return [list(map(int, part)) for part in np.array_split(bits, parts)]
 
 
+def _finer(own: tuple[int, ...], radius: int) -> list[tuple[int, ...]]:
+    """``own`` with each block of the other bits, as sorted bit sets."""
+    return [tuple(sorted((*own, *p))) for p in _cut([b for b in range(BITS) if b not in own], radius + 1) if p]
+
+
 def _masks(radius: int, level: int) -> list[tuple[int, ...]]:
-    """Bit sets of which two fingerprints within the radius agree on at least one."""
+    """Distinct bit sets of which two fingerprints within the radius agree on at least one."""
     chosen: list[tuple[int, ...]] = [()]
     for _ in range(level + 1):
-        chosen = [
-            (*own, *part)
-            for own in chosen
-            for part in _cut([b for b in range(BITS) if b not in own], radius + 1)
-            if part
-        ]
+        chosen = list(dict.fromkeys(part for own in chosen for part in _finer(own, radius)))
     return chosen
 
 
@@ -212,13 +212,14 @@ def _links(prints: DataFrame, radius: int) -> DataFrame:
         ready.append(rows.join(hot, ["mask", "key"], "left_anti"))
         finer, by_mask = [], []
         for own in masks:
-            parts = [(*own, *p) for p in _cut([b for b in range(BITS) if b not in own], radius + 1) if p]
+            parts = _finer(own, radius)
             finer += parts
             by_mask += [F.lit(_signed(own)), F.array(*[F.lit(_signed(p)) for p in parts])]
         split = rows.join(hot, ["mask", "key"], "left_semi")
         split = split.select("fp", F.explode(F.element_at(F.create_map(*by_mask), F.col("mask"))).alias("mask"))
+        split = split.distinct()  # blocks taken in another order give the same bits
         rows = split.withColumn("key", F.col("fp").bitwiseAND(F.col("mask"))).select("fp", "mask", "key")
-        masks = finer
+        masks = list(dict.fromkeys(finer))
     out = None
     for part in ready:
         placed = part.select("mask", "key", "fp").repartition("mask", "key").sortWithinPartitions("mask", "key", "fp")

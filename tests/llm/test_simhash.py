@@ -91,6 +91,21 @@ def test_links_of_hot_shards(spark, monkeypatch, most, members):
     assert len(set(zip(got, want))) == len(set(want))
 
 
+def test_shards_hot_at_every_level(spark, monkeypatch):
+    """Near copies that differ in 14 bits only: blocks in another order give the same bits at level 2."""
+    monkeypatch.setattr(simhash, "MOST_MEMBERS", 8)
+    assert all(len(set(masks)) == len(masks) for masks in (simhash._masks(2, level) for level in range(4)))
+    rng = random.Random(5)
+    centre = rng.getrandbits(63)
+    prints = sorted({centre ^ rng.getrandbits(14) for _ in range(120)} | {rng.getrandbits(63) for _ in range(50)})
+    kept = [tuple(row) for row in simhash._links(spark.createDataFrame([(p,) for p in prints], "fp long"), 2).collect()]
+    assert all((u ^ v).bit_count() <= 2 for u, v in kept)
+    roots = {row.node: row.root for row in components.connected_components(spark.createDataFrame(kept, "u long, v long")).collect()}
+    got = [roots.get(p, p) for p in prints]
+    want = plain_components(list(range(len(prints))), prints)
+    assert len(set(got)) == len(set(want)) == len(set(zip(got, want)))
+
+
 def test_components_of_a_path(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, 100), (101, 102), (102, 101)]
     found = components.connected_components(spark.createDataFrame(edges, "u long, v long"))
