@@ -4,8 +4,11 @@ Texts become templates: numbers, names (capitalised words inside a sentence; a r
 is one name) and units (after a number) turn into typed placeholders, other words are
 lower-cased. Equal windows of template tokens join documents with benchmark items, so a
 question that was re-parameterised still meets its original. An aligned occurrence (same
-document, item and offset) must use its slots consistently: one value of the item always
-stands for one value of the document, else its windows with slots do not count.
+document, item and offset) must use its slots consistently: one value of the item stands
+for one value of the document, the one that most of its mentions have (the item's own on a
+tie). A window counts if its slots are the item's, or if all stand for what they should. If
+a value has no such partner, being replaced in several ways equally often, the other
+windows with slots do not count, and runs are of windows without slots.
 
 Document windows are hashed where the document is read and first tested against a bitmap
 of the benchmark's window hashes. The bitmap has a fixed size, whatever the benchmark; what
@@ -14,6 +17,7 @@ passes it is joined by equality of the whole hash, so the bitmap never decides a
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -75,6 +79,52 @@ def template_windows(df: DataFrame, keys: list[str], text: str, window: int, bit
     return df.select(*keys, F.col(text).alias("_text")).mapInArrow(run, schema)
 
 
+def _consistent(windows: list[dict]) -> tuple[list[int], list[int], int]:
+    """(places that count, places that count in runs, changed slots) of an occurrence."""
+    found = []
+    for w in windows:
+        pairs = [(w["item_pos"] + i, a, b) for i, (a, b) in enumerate(zip(w["item_slots"], w["slots"])) if a != 0]
+        found.append((w["item_pos"], pairs))
+    # Each mention once, however many windows hold it.
+    mentions = {pair for _, pairs in found for pair in pairs}
+    counts: dict[int, Counter] = {}
+    for _, a, b in mentions:
+        counts.setdefault(a, Counter())[b] += 1
+    stands: dict[int, int | None] = {}
+    for a, own in counts.items():
+        most = max(own.values())
+        first = [b for b, n in own.items() if n == most]
+        stands[a] = first[0] if len(first) == 1 else a if own[a] else None
+    decided = None not in stands.values()
+    places, in_runs = set(), set()
+    for place, pairs in found:
+        same = all(a == b for _, a, b in pairs)
+        if same or (decided and all(stands[a] == b for _, a, b in pairs)):
+            places.add(place)
+            if decided or not pairs:
+                in_runs.add(place)
+    changed = sum(a != b for a, b in stands.items()) if decided else 0
+    return sorted(places), sorted(in_runs), changed
+
+
+def _counted_places(met: DataFrame, own: list[str]) -> DataFrame:
+    """(``own``, _places, _in_runs, _changed) of every occurrence in rows that met by hash."""
+    schema = T.StructType([met.schema[k] for k in own])
+    places = T.ArrayType(T.IntegerType())
+    schema = schema.add("_places", places).add("_in_runs", places).add("_changed", T.IntegerType())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.int32())
+        for batch in batches:
+            found = [_consistent(windows) for windows in batch.column(batch.num_columns - 1).to_pylist()]
+            columns = [pa.array([f[i] for f in found], t) for i, t in enumerate((kind, kind, pa.int32()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], names=schema.names)
+
+    met = met.withColumn("_offset", F.col("pos") - F.col("item_pos")).groupBy(*own, "_offset")
+    grouped = met.agg(F.collect_set(F.struct("item_pos", "item_slots", "slots")).alias("_windows"))
+    return grouped.select(*own, "_windows").mapInArrow(run, schema)
+
+
 def _bitmap(windows: DataFrame) -> bytes:
     """Bits of the window hashes; at most ``BITMAP_BITS / 32`` rows reach the driver."""
     slot = F.shiftrightunsigned("hash", 41)
@@ -120,30 +170,14 @@ def contaminated(
     met = found.join(F.broadcast(items) if small else items, "hash")
 
     own = [*keyed.values(), "item_id", "_version"]
-    pairs = F.filter(F.arrays_zip("item_slots", "slots"), lambda s: s["item_slots"] != 0)
-    occurrence = (
-        met.withColumn("_offset", F.col("pos") - F.col("item_pos"))
-        .groupBy(*own, "_offset", "n_windows")
-        .agg(
-            F.collect_set("item_pos").alias("_all"),
-            F.collect_set(F.when(F.size(pairs) == 0, F.col("item_pos"))).alias("_plain"),
-            F.array_distinct(F.flatten(F.collect_set(pairs))).alias("_pairs"),
-        )
-    )
-    one_value = F.size(F.array_distinct(F.transform("_pairs", lambda p: p["item_slots"]))) == F.size("_pairs")
-    changed = F.size(F.filter("_pairs", lambda p: p["item_slots"] != p["slots"]))
-    places = occurrence.select(
-        *own,
-        "n_windows",
-        F.when(one_value, F.col("_all")).otherwise(F.col("_plain")).alias("_places"),
-        F.when(one_value, changed).otherwise(0).alias("_changed"),
-    )
+    places = _counted_places(met, [*own, "n_windows"])
     merged = places.groupBy(*own, "n_windows").agg(
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("_places")))).alias("_places"),
+        F.array_distinct(F.flatten(F.collect_list("_places"))).alias("_places"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("_in_runs")))).alias("_in_runs"),
         F.max("_changed").alias("changed_slots"),
     )
     # Longest run of neighbouring windows: positions minus their rank are equal inside a run.
-    runs = F.transform("_places", lambda p, i: p - i)
+    runs = F.transform("_in_runs", lambda p, i: p - i)
     longest = F.coalesce(F.array_max(F.transform(F.array_distinct(runs), lambda r: F.size(F.filter(runs, lambda x: x == r)))), F.lit(0))
     matched = F.size("_places")
     scored = merged.select(

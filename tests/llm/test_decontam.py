@@ -45,6 +45,31 @@ def test_slots_must_be_consistent(spark, documents):
     assert set(hits(spark, documents, ITEMS[0][1].replace("Alice", "Maria"))) == {(0, 1)}
 
 
+NAMED = (
+    "A market opens early each day. On the first morning Alice carries a basket of green pears down the narrow lane and meets a farmer. "
+    "Later that week the baker gives Alice warm bread in exchange for some of the fruit that nobody else wanted. "
+    "If the rest is shared among friends at the gate, what does Alice bring back home?"
+)
+
+
+def test_one_edited_mention(spark, documents):
+    """A near-verbatim copy stays a hit: only windows with the edited mention are lost."""
+    copy = NAMED.replace("does Alice", "does Alicia")
+    other = NAMED.replace("Alice", "Maria").replace("does Maria", "does Peter")
+    found = hits(spark, documents, copy, other, items=[(1, NAMED)], run_tokens=1000)
+    assert set(found) == {(0, 1), (1, 1)}
+    assert all(0.85 < r.coverage < 1 for r in found.values()) and [found[i, 1].changed_slots for i in (0, 1)] == [0, 1]
+
+
+def test_values_replaced_in_several_ways():
+    """Windows that are the item's own cover it, but make no run."""
+    windows = [{"item_pos": p, "item_slots": [7, 0], "slots": [d, 0]} for p, d in ((0, 1), (5, 2))]
+    windows += [{"item_pos": 9, "item_slots": [8, 0], "slots": [8, 0]}, {"item_pos": 20, "item_slots": [0, 0], "slots": [0, 0]}]
+    assert decontam._consistent(windows) == ([9, 20], [20], 0)
+    windows[1]["slots"] = [1, 0]
+    assert decontam._consistent(windows) == ([0, 5, 9, 20], [0, 5, 9, 20], 1)
+
+
 def test_coverage_and_runs(spark, documents):
     words = ITEMS[1][1].split()
     assert set(hits(spark, documents, " ".join(words[:14]))) == {(0, 2)}  # a run of 13 tokens and more
