@@ -10,6 +10,10 @@ tie). A window counts if its slots are the item's, or if all stand for what they
 a value has no such partner, being replaced in several ways equally often, the other
 windows with slots do not count, and runs are of windows without slots.
 
+Case decides what a name is, so every text is hashed in a second, caseless template too, with
+names as plain words. It judges the occurrences whose case differs from the item's, and items
+that are shorter than a window as templates; all others are left to the first template.
+
 Document windows are hashed where the document is read and first tested against a bitmap
 of the benchmark's window hashes. The bitmap has a fixed size, whatever the benchmark; what
 passes it is joined by equality of the whole hash, so the bitmap never decides alone.
@@ -27,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.llm.shared import fresh, slices
-from riskloom.llm.templates import template, tokens, window_hashes
+from riskloom.llm.templates import caseless_template, template, tokens, window_hashes
 from riskloom.operators.durable import BROADCAST_BYTES, durable
 
 WINDOW = 5
@@ -36,32 +40,49 @@ RUN_TOKENS = 13  # so many consistent template tokens in a row are contamination
 BITMAP_BITS = 1 << 23
 
 
+CASELESS = np.uint64(0x5BD1E9955BD1E995)  # tells the windows of the two templates apart
+SHORT = -1  # the case of items that have no whole window in the first template
+
+
 def _slot(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(41)).astype(np.int64)
 
 
 def template_windows(df: DataFrame, keys: list[str], text: str, window: int, bitmap: bytes | None = None) -> DataFrame:
-    """(``keys``, hash, pos, n_windows, slots) of the windows, with a bitmap only of those in it."""
+    """(``keys``, hash, pos, n_windows, case, slots) of the windows of both templates, with a
+    bitmap only of those in it. ``case`` is 0 in the first template, else tells names by case."""
     fields = [df.schema[k] for k in keys]
     schema = T.StructType(fields).add("hash", T.LongType()).add("pos", T.IntegerType()).add("n_windows", T.IntegerType())
-    schema = schema.add("slots", T.ArrayType(T.LongType()))
+    schema = schema.add("case", T.LongType()).add("slots", T.ArrayType(T.LongType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = None if bitmap is None else np.unpackbits(np.frombuffer(bitmap, np.uint8), bitorder="little")
         for batch in slices(batches, "_text", 1 << 20):
-            rows, found, places, sizes, slots = [], [], [], [], []
-            coded, ends = tokens([text or "" for text in batch.column(batch.num_columns - 1).to_pylist()])
-            for i, end in enumerate(ends):
-                hashes, values = template(coded[ends[i - 1] if i else 0 : end])
-                windows = window_hashes(hashes, window)
+            rows, found, places, sizes, cases, slots = [], [], [], [], [], []
+
+            def add(i: int, windows: np.ndarray, values: np.ndarray, case: np.ndarray) -> None:
                 at = np.arange(len(windows)) if wanted is None else np.flatnonzero(wanted[_slot(windows)])
                 if not len(at):
-                    continue
+                    return
                 rows.append(np.full(len(at), i))
                 found.append(windows[at])
                 places.append(at)
                 sizes.append(np.full(len(at), len(windows)))
-                slots += [values[p : p + window].view(np.int64).tolist() for p in at]
+                cases.append(case[at])
+                slots.extend(values[p : p + window].view(np.int64).tolist() for p in at)
+
+            coded, ends = tokens([text or "" for text in batch.column(batch.num_columns - 1).to_pylist()])
+            for i, end in enumerate(ends):
+                own = coded[ends[i - 1] if i else 0 : end]
+                hashes, values = template(own)
+                windows = window_hashes(hashes, window)
+                add(i, windows, values, np.zeros(len(windows), np.int64))
+                words, values, name = caseless_template(own)
+                if len(words) >= window:
+                    case = window_hashes(name.astype(np.uint64) + np.uint64(1), window).view(np.int64)
+                    if wanted is None and len(hashes) < window:
+                        case = np.full(len(case), SHORT)
+                    add(i, window_hashes(words, window) ^ CASELESS, values, case)
             if not rows:
                 continue
             picked = pa.array(np.concatenate(rows))
@@ -71,6 +92,7 @@ def template_windows(df: DataFrame, keys: list[str], text: str, window: int, bit
                     pa.array(np.concatenate(found).view(np.int64)),
                     pa.array(np.concatenate(places).astype(np.int32)),
                     pa.array(np.concatenate(sizes).astype(np.int32)),
+                    pa.array(np.concatenate(cases)),
                     pa.array(slots, pa.list_(pa.int64())),
                 ],
                 names=schema.names,
@@ -121,7 +143,10 @@ def _counted_places(met: DataFrame, own: list[str]) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], names=schema.names)
 
     met = met.withColumn("_offset", F.col("pos") - F.col("item_pos")).groupBy(*own, "_offset")
-    grouped = met.agg(F.collect_set(F.struct("item_pos", "item_slots", "slots")).alias("_windows"))
+    grouped = met.agg(
+        F.collect_set(F.struct("item_pos", "item_slots", "slots")).alias("_windows"),
+        F.bool_or((F.col("item_case") == 0) | (F.col("item_case") != F.col("case"))).alias("_own_case"),
+    ).where("_own_case")
     return grouped.select(*own, "_windows").mapInArrow(run, schema)
 
 
@@ -160,16 +185,17 @@ def contaminated(
     item = item.dropDuplicates(["item_id", "_version"])
     items = durable(template_windows(item, ["item_id", "_version"], "_item", window), "item-windows")
     items = items.select(
-        "item_id", "_version", F.col("hash"), F.col("pos").alias("item_pos"), F.col("n_windows"), F.col("slots").alias("item_slots")
+        "item_id", "_version", F.col("hash"), F.col("pos").alias("item_pos"), F.col("n_windows"), F.col("slots").alias("item_slots"), F.col("case").alias("item_case"),
+        (F.col("case") != 0).alias("_caseless"),
     )
     keyed = {k: f"_key{i}" for i, k in enumerate(keys)}
     source = docs.select(*[F.col(f"`{k}`").alias(v) for k, v in keyed.items()], F.col(text).alias("_doc"))
     found = template_windows(source, list(keyed.values()), "_doc", window, _bitmap(items)).drop("n_windows")
-    row_bytes = 64 + 8 * window
+    row_bytes = 80 + 8 * window
     small = items.count() * row_bytes <= BROADCAST_BYTES
     met = found.join(F.broadcast(items) if small else items, "hash")
 
-    own = [*keyed.values(), "item_id", "_version"]
+    own = [*keyed.values(), "item_id", "_version", "_caseless"]
     places = _counted_places(met, [*own, "n_windows"])
     merged = places.groupBy(*own, "n_windows").agg(
         F.array_distinct(F.flatten(F.collect_list("_places"))).alias("_places"),
@@ -188,9 +214,9 @@ def contaminated(
         F.when(longest > 0, longest + (window - 1)).otherwise(0).alias("run_tokens"),
         "changed_slots",
     ).where((F.col("coverage") >= coverage) | (F.col("run_tokens") >= run_tokens))
-    # Several texts under one item id: the best covered counts.
+    # Several texts under one item id, or both templates: the best covered counts.
     best = F.max_by(
-        F.struct("matched", "item_windows", "coverage", "run_tokens", "changed_slots"), F.struct("coverage", "matched", "_version")
+        F.struct("matched", "item_windows", "coverage", "run_tokens", "changed_slots"), F.struct("coverage", "matched", "_version", ~F.col("_caseless"))
     )
     out = scored.groupBy(*keyed.values(), "item_id").agg(best.alias("_best"))
     return out.select(*[F.col(v).alias(k) for k, v in keyed.items()], "item_id", "_best.*")

@@ -117,19 +117,34 @@ def template(coded: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     A value is 0 where a token is no placeholder. A name is a capitalised word inside a
     sentence, a run of names is one; a unit counts behind a number only.
     """
-    kinds = (coded & np.uint64(7)).astype(np.int8)
-    before = np.concatenate([[STOP], kinds[:-1]]) if len(kinds) else kinds
-    kinds = np.where((kinds == CAPITAL) & (before == STOP), WORD, kinds)
-    kinds = np.where((kinds == UNIT) & (before != NUMBER), WORD, kinds)
-    coded, kinds = coded[kinds != STOP], kinds[kinds != STOP]
+    coded, kinds = _without_stops(coded)
     # Neighbouring names across a stop cannot be: the second one starts a sentence.
     starts = np.flatnonzero((kinds != CAPITAL) | (np.concatenate([[WORD], kinds[:-1]]) != CAPITAL))
     if not len(starts):
         return np.empty(0, np.uint64), np.empty(0, np.uint64)
     place = np.arange(len(coded)) - np.repeat(starts, np.diff(np.append(starts, len(coded))))
     values = np.add.reduceat((coded >> np.uint64(3)) * (2 * place + 1).astype(np.uint64), starts)
-    kinds = kinds[starts]
-    hashes = coded[starts] >> np.uint64(3)
+    return _placed(coded[starts], kinds[starts], values)
+
+
+def caseless_template(coded: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(template token hashes, slot values, whether it is a name by its case) with names as
+    plain words, so that case changes neither hashes nor values."""
+    coded, kinds = _without_stops(coded)
+    name = kinds == CAPITAL
+    return *_placed(coded, np.where(name, WORD, kinds), coded >> np.uint64(3)), name
+
+
+def _without_stops(coded: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    kinds = (coded & np.uint64(7)).astype(np.int8)
+    before = np.concatenate([[STOP], kinds[:-1]]) if len(kinds) else kinds
+    kinds = np.where((kinds == CAPITAL) & (before == STOP), WORD, kinds)
+    kinds = np.where((kinds == UNIT) & (before != NUMBER), WORD, kinds)
+    return coded[kinds != STOP], kinds[kinds != STOP]
+
+
+def _placed(coded: np.ndarray, kinds: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    hashes = coded >> np.uint64(3)
     for kind, code in PLACEHOLDERS.items():
         hashes[kinds == kind] = code
     return hashes, np.where(kinds == WORD, np.uint64(0), values)

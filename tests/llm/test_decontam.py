@@ -61,6 +61,13 @@ def test_one_edited_mention(spark, documents):
     assert all(0.85 < r.coverage < 1 for r in found.values()) and [found[i, 1].changed_slots for i in (0, 1)] == [0, 1]
 
 
+def test_copies_in_another_case(spark, documents):
+    copies = [f"so they said {form} and so on" for form in (NAMED.lower(), NAMED.upper(), NAMED.title(), NAMED)]
+    found = hits(spark, documents, *copies, "other words of no item at all", items=[(1, NAMED), (2, "Where Did John Jacob Astor Smith Live Then?")])
+    assert set(found) == {(i, 1) for i in range(4)} and all(r.coverage == 1 and r.changed_slots == 0 for r in found.values())
+    assert set(hits(spark, documents, "Ask: where did john jacob astor smith live then? Nobody knew it.", items=[(2, "Where Did John Jacob Astor Smith Live Then?")])) == {(0, 2)}
+
+
 def test_values_replaced_in_several_ways():
     """Windows that are the item's own cover it, but make no run."""
     windows = [{"item_pos": p, "item_slots": [7, 0], "slots": [d, 0]} for p, d in ((0, 1), (5, 2))]
