@@ -47,7 +47,6 @@ SPELLED = re.compile(
     r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63} ?(?:\(at\)|\[at\]|@) ?[A-Za-z0-9-]{1,63}(?: ?(?:\.|\(dot\)|\[dot\]) ?[A-Za-z0-9-]{1,63}){1,8}"
 )
 JOINT = re.compile(r"[\x20().-]{1,3}")
-MOST_GROUPS = 6
 CUES = re.compile(r"(?i)\b(?:tel|phone|fax|call|mobile|mail|card|visa|ip|host|addr)|(token|key|secret|hash|id)\b")
 CANDIDATE = r"[0-9@]|\(at\)|\[at\]"
 ANY_CANDIDATE = re.compile(CANDIDATE)
@@ -56,6 +55,7 @@ SAMPLE_DOCS = 4000  # documents the trees learn from, at most
 PIECE = 1600  # characters of each
 DOCS_PER_SAMPLE = 24  # so many documents are looked at per document wanted
 PRECISION = 0.99
+SCORED_AT_ONCE = 4096  # proposals; long rows of short numbers give many
 MASK = {kind: f"[{kind.upper()}]" for kind in KINDS}
 SPAN_TYPE = T.ArrayType(
     T.StructType()
@@ -127,14 +127,16 @@ def proposals(text: str) -> list[tuple[str, int, int]]:
         total = 0
         opens = start - 1 if start and text[start - 1] == "(" else start
         plus = opens - 1 if opens and text[opens - 1] == "+" else None
-        for j in range(i, min(i + MOST_GROUPS, len(groups))):
+        in_card = True
+        for j in range(i, len(groups)):  # 19 digits at most, so 19 groups
             a, b = groups[j]
             if j > i and not (a - groups[j - 1][1] <= 3 and JOINT.fullmatch(text, groups[j - 1][1], a)):
                 break
             total += b - a
             if total > 19:
                 break
-            if total >= 12 and j - i < 5 and all(text[groups[g][1] : groups[g + 1][0]] in " -" for g in range(i, j)):
+            in_card = in_card and (j == i or text[groups[j - 1][1] : a] in " -")
+            if total >= 12 and in_card:
                 found.append(("card", start, b))
             if 9 <= total <= 15 and (plus is not None or j > i):
                 found.append(("phone", start if plus is None else plus, b))
@@ -257,16 +259,31 @@ def find_spans(text: str | None, model: SpanModel) -> list[tuple[str, int, int,
         starts, reach = [span[1] for span in base], list(accumulate((span[2] for span in base), max))
         fresh = [span for span in proposals(text) if not _touches(span, starts, reach)]
         if fresh:
-            chance = model.trees.probability(np.array([features(text, *span) for span in fresh]))
-            ranked = sorted(zip(chance, fresh), key=lambda x: (-round(x[0], 6), x[1][1] - x[1][2], *_span_order(x[1])))
+            blocks = [fresh[i : i + SCORED_AT_ONCE] for i in range(0, len(fresh), SCORED_AT_ONCE)]
+            chance = np.concatenate([model.trees.probability(np.array([features(text, *span) for span in b])) for b in blocks])
+            chosen = [(score, span) for score, span in zip(chance, fresh) if score >= model.threshold[span[0]]]
+            ranked = sorted(_whole(text, chosen), key=lambda x: (-round(x[0], 6), x[1][1] - x[1][2], *_span_order(x[1])))
             taken: dict[int, tuple[int, int]] = {}
             for score, span in ranked:
-                if score >= model.threshold[span[0]] and _free(span, taken):
+                if _free(span, taken):
                     taken.update(dict.fromkeys(range(span[1], span[2])))
                     found.append((*span, False, float(score)))
     return sorted(found, key=_span_order)
 
 
+def _whole(text: str, chosen: list[tuple[float, tuple[str, int, int]]]) -> list[tuple[float, tuple[str, int, int]]]:
+    """Without pieces of a well-formed span of the same kind that was chosen too: like the
+    base patterns, a number goes as far as it can."""
+    kept, reach = [], dict.fromkeys(KINDS, 0)
+    for score, span in sorted(chosen, key=lambda x: (x[1][1], -x[1][2])):
+        if span[2] <= reach[span[0]]:
+            continue
+        kept.append((score, span))
+        if _well_formed(text, *span):
+            reach[span[0]] = span[2]
+    return kept
+
+
 def _touches(span, starts: list[int], reach: list[int]) -> bool:
     """Whether one of the sorted spans that start before the end reaches beyond the start."""
     at = bisect_left(starts, span[2])

@@ -78,6 +78,15 @@ def test_model_leaves_other_numbers_alone(model):
         assert [s for s in pii.find_spans(text, model) if not s[3]] == []
 
 
+def test_numbers_of_many_groups_that_run_together(model):
+    phone, card = "+33 (0)6 12 34 56 78", "41 11 11 11 11 11 11 11"
+    text = f"Tel {phone} 10.0.0.1 du {card} 2024 anviou, {card.replace(' ', '-')} 2024."
+    found = {(kind, text[a:b]) for kind, a, b in pii.proposals(text)}
+    assert {("phone", phone), ("card", card), ("card", card.replace(" ", "-"))} <= found
+    spans = [(kind, text[a:b]) for kind, a, b, base, _ in pii.find_spans(text, model) if not base]
+    assert spans == [("phone", phone), ("card", card), ("card", card.replace(" ", "-"))]
+
+
 def test_nothing_to_learn():
     model = pii.fit_span_model([])
     assert model.trees is None
