@@ -8,7 +8,21 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import decontam, language, linkgraph, mixing, pii, quality, simhash, topk, viterbi, warc
+from riskloom.llm import (
+    alignment,
+    decontam,
+    dedup,
+    language,
+    linkgraph,
+    mixing,
+    pii,
+    quality,
+    simhash,
+    spelling,
+    topk,
+    viterbi,
+    warc,
+)
 from riskloom.llm.shared import id_remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +30,7 @@ REGISTRY: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
 TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
+READINGS = alignment.Readings("/opt/tokenizers/byte_bpe_50k.json", TOKENIZER)
 QUALITY_CUT = 0.3
 URL_RULES: list[linkgraph.Rule] = [
     ("allow", "org", "/"),
@@ -194,3 +209,80 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     net = language.learn_languages(docs, where=F.coalesce(remainder != 2, F.lit(False)))
     found = language.identify_languages(docs, net, ["doc_id"])
     return found.select("doc_id", F.coalesce(remainder == 2, F.lit(False)).alias("held_out"), "lang_pred", "score", "positions", "agreeing")
+
+
+@query
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group of equal texts of every document, and the one that stays."""
+    docs = dedup.exact_copies(table(spark, sf_dir, "documents"))
+    return docs.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+ORACLE["op11_exact_dedup"] = r"""
+WITH normal AS (
+    SELECT doc_id, length(coalesce(text, '')) AS size,
+        regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS content FROM documents
+), ranked AS (
+    SELECT *, first_value(doc_id) OVER w AS keep_id, first_value(size) OVER w AS keep_size,
+        count(*) OVER (PARTITION BY content) AS group_size
+    FROM normal WINDOW w AS (PARTITION BY content ORDER BY size DESC, doc_id NULLS LAST)
+)
+SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AND size = keep_size AS kept,
+    sha256(content) AS text_sha256 FROM ranked
+"""
+
+
+@query
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with the more frequent spelling next to each."""
+    return spelling.group_spellings(table(spark, sf_dir, "documents"))
+
+
+# The checksum is folded over the bytes of id and run, letters beyond ASCII being two bytes.
+ORACLE["op12_spelling"] = r"""
+WITH RECURSIVE steps AS (
+    SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+), runs AS (
+    SELECT doc_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run
+    FROM documents
+), per_doc AS (
+    SELECT doc_id, run, count(*) AS n FROM runs WHERE length(run) >= 7 GROUP BY doc_id, run
+), hashed AS (
+    SELECT run, n, xor(4294967295, list_reduce(
+        list_prepend(4294967295, flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''),
+            lambda c: CASE WHEN unicode(c) < 128 THEN [CAST(unicode(c) AS BIGINT)] ELSE [195, unicode(c) - 64] END))),
+        lambda h, b: xor(h >> 8, list_extract(t, CAST((xor(h, b) & 255) + 1 AS BIGINT))))) AS h
+    FROM per_doc, steps
+), altered AS (
+    SELECT CASE WHEN h % 31 = 0 THEN substring(run, 1, CAST(h % length(run) AS BIGINT)) || substring(run, CAST(h % length(run) AS BIGINT) + 2)
+        ELSE run END AS word, n FROM hashed
+), words AS (
+    SELECT word, CAST(sum(n) AS BIGINT) AS n FROM altered WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+), shorter AS (
+    SELECT word, n, i, substring(word, 1, i - 1) || substring(word, i + 1) AS rest
+    FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+), pairs AS (
+    SELECT a.word, b.word AS near, b.n AS near_n FROM shorter a JOIN shorter b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+    UNION SELECT l.word, s.word, s.n FROM shorter l JOIN words s ON l.rest = s.word
+    UNION SELECT s.word, l.word, l.n FROM shorter l JOIN words s ON l.rest = s.word
+), best AS (
+    SELECT word, count(*) AS n_near, first(near ORDER BY near_n DESC, near) AS near, max(near_n) AS near_n FROM pairs GROUP BY word
+), judged AS (
+    SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.near_n >= 10 * w.n THEN b.near END AS form,
+        CASE WHEN b.near_n >= 10 * w.n THEN b.near_n END AS form_n
+    FROM words w LEFT JOIN best b ON w.word = b.word
+), chain AS (
+    SELECT word, word AS root FROM judged
+    UNION ALL SELECT c.word, j.form FROM chain c JOIN judged j ON c.root = j.word WHERE j.form IS NOT NULL
+)
+SELECT j.word, j.form, c.root, j.n, j.n_near, j.form_n FROM judged j JOIN chain c ON c.word = j.word
+WHERE c.root NOT IN (SELECT word FROM judged WHERE form IS NOT NULL)
+"""
+
+
+@query
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of two tokenizers' readings of every document."""
+    return alignment.align_tokenizers(table(spark, sf_dir, "documents"), READINGS, ["doc_id"])
