@@ -31,12 +31,14 @@ from riskloom.llm.shared import slices
 from riskloom.operators.durable import durable
 
 MARK = "▁"  # fixed value: stands for a space
-PIECE_CHARS = 1 << 16  # a longer text is encoded in pieces of about this size
+MOST_MEMORY = 400_000  # segments a worker remembers
+MOST_LENGTH = 64  # characters of a remembered segment
 HEAD_PAIRS = 1_000_000  # pairs whose counts every task is given
 BATCH_BYTES = 1 << 20  # text that is aligned at once
 
-# A cut before this space changes neither reading: one that pieces of both only start with.
-SAFE_CUT = re.compile(r"(?<=[0-9A-Za-z.,;:!?]) (?=[A-Za-z])")
+# Texts are read in segments. A cut at this space changes neither reading, as tokens of both can
+# only start with it; each segment is read behind a space, which stands for it.
+SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
 # --- readings ---------------------------------------------------------------------------------
@@ -123,29 +125,58 @@ class Readings:
 _OPEN: dict[Readings, tuple[ByteReading, PieceReading]] = {}
 
 
-def _cut(text: str, size: int) -> list[str]:
-    """The text at safe cuts, each before a space that is left out, as both readings add it."""
-    parts, start = [], 0
-    while len(text) - start > size and (found := SAFE_CUT.search(text, start + size)):
-        parts.append(text[start : found.start()])
-        start = found.end()
-    return [*parts, text[start:]]
-
-
-def read_both(
-    texts: list[str], a: ByteReading, b: PieceReading, size: int = PIECE_CHARS
-) -> list[tuple[list[int], list[int]]]:
-    """Ids of both readings of each text; two empty lists where they do not spell it."""
-    parts = [_cut(text, size) if b.cuttable and len(text) > size else [text] for text in texts]
-    flat = [part for own in parts for part in own]
-    encoded = zip(a.encode(flat), b.encode(flat))
-    out = []
-    for text, own in zip(texts, parts):
-        both = [next(encoded) for _ in own]
-        ids = [i for x, _ in both for i in x], [i for _, y in both for i in y]
+class Reader:
+    """Both readings of texts, segment by segment; those of short segments are remembered."""
+
+    def __init__(self, a: ByteReading, b: PieceReading):
+        self.a, self.b = a, b
+        self.known: dict[str, tuple[bytes, bytes] | None] = {}
+
+    def _learn(self, segments: list[str]) -> dict[str, tuple[bytes, bytes] | None]:
+        """Ids of both readings as 32-bit numbers; None where they do not spell the segment."""
+        plain = [s for s in segments if s and not (s[0].isspace() or s[-1].isspace())]
+        read = self._read_joined(plain) if self.b.cuttable and plain else None
+        if read is None:
+            read, plain = {}, []
+        rest = list(set(segments).difference(plain))
+        for segment, x, y in zip(rest, self.a.encode(rest), self.b.encode(rest)):
+            spelled = (" " + segment).encode()
+            both = self.a.spelled(x) == spelled == self.b.spelled(y)
+            read[segment] = (np.array(x, np.int32).tobytes(), np.array(y, np.int32).tobytes()) if both else None
+        return read
+
+    def _read_joined(self, segments: list[str]) -> dict[str, tuple[bytes, bytes]] | None:
+        """Read the segments as one text, which has safe cuts between them, and take its ids apart;
+        None if the text is not spelled."""
+        text = " ".join(segments)
         spelled = (" " + text).encode()
-        out.append(ids if text and all(r.spelled(x) == spelled for r, x in zip((a, b), ids)) else ([], []))
-    return out
+        ends = np.cumsum([len(segment.encode()) + 1 for segment in segments])
+        parts = []
+        for reading in (self.a, self.b):
+            (ids,) = reading.encode([text])
+            if reading.spelled(ids) != spelled:
+                return None
+            array = np.array(ids, np.int32)
+            stops = ((np.searchsorted(np.cumsum(reading.sizes[array]), ends) + 1) * array.itemsize).tolist()
+            raw = array.tobytes()
+            parts.append([raw[i:j] for i, j in zip([0, *stops], stops)])
+        return dict(zip(segments, zip(*parts)))
+
+    def read(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
+        """Ids of both readings of each text; empty where they do not spell it."""
+        cut = [SAFE_CUT.split(text) if self.b.cuttable else [text] for text in texts]
+        known = self.known
+        new = self._learn(list({segment for own in cut for segment in own if segment not in known}))
+        if len(known) + len(new) > MOST_MEMORY:
+            known.clear()
+            new |= self._learn(list({segment for own in cut for segment in own if segment not in new}))
+        out = []
+        for text, own in zip(texts, cut):
+            found = [known[segment] if segment in known else new[segment] for segment in own]
+            spelled = bool(text) and None not in found
+            out.append((b"".join([x for x, _ in found]), b"".join([y for _, y in found])) if spelled else (b"", b""))
+        known.update((segment, ids) for segment, ids in new.items() if len(segment) <= MOST_LENGTH)
+        return out
 
 
 # --- divide and conquer -----------------------------------------------------------------------
@@ -221,21 +252,22 @@ class Aligner:
 
     def __init__(self, readings: Readings):
         self.a, self.b = readings.open()
+        self.reader = Reader(self.a, self.b)
         self.rendering = Rendering(max(len(self.a.token_bytes), len(self.b.token_bytes)))
 
-    def align(self, texts: list[str | None], size: int = PIECE_CHARS) -> dict[str, list]:
+    def align(self, texts: list[str | None]) -> dict[str, pa.Array]:
         """Per text the counts, the groups' digest, and its distinct pairs with their links."""
         n = len(texts)
         out = {c: np.zeros(n, np.int64) for c in COUNTS}
         digests = [""] * n
-        both = read_both([t or "" for t in texts], self.a, self.b, size)
-        out["n_a"][:], out["n_b"][:] = [len(x) for x, _ in both], [len(y) for _, y in both]
+        both = self.reader.read([t or "" for t in texts])
+        for name, ids in zip(("n_a", "n_b"), zip(*both)):
+            out[name][:] = [len(x) // 4 for x in ids]
         known = np.flatnonzero(out["n_a"])
         pair_starts = np.zeros(n + 1, np.int64)
         pairs, times = np.zeros(0, np.int64), np.zeros(0, np.int64)
         if len(known):
-            ids_a = np.concatenate([np.array(both[i][0], np.int64) for i in known])
-            ids_b = np.concatenate([np.array(both[i][1], np.int64) for i in known])
+            ids_a, ids_b = (np.frombuffer(b"".join(ids), np.int32).astype(np.int64) for ids in zip(*both))
             ends_a, ends_b = np.cumsum(self.a.sizes[ids_a]), np.cumsum(self.b.sizes[ids_b])
             bounds_a, bounds_b = np.cumsum(out["n_a"][known]) - 1, np.cumsum(out["n_b"][known]) - 1
             cuts_a = shared_cuts(ends_a, ends_b, bounds_a)
@@ -375,8 +407,8 @@ def align_tokenizers(
 
     Texts that are NULL or empty, or that a reading does not spell byte for byte, have no
     tokens: zeros and an empty digest. Repeated rows count as documents of their own; if pairs
-    of an id tie for the most documents, all are best. A long text is encoded in pieces,
-    between words, that change no token. Other columns are not looked at, keys may have any
+    of an id tie for the most documents, all are best. Long texts are read in
+    segments that change no token, and aligned whole. Other columns are not looked at, keys may have any
     names; no rows give no rows.
     """
     own = {f"_key{i}": name for i, name in enumerate(keys)}
