@@ -39,7 +39,8 @@ FORM_RATIO = 10
 
 GROUPS = 16
 SHARD_WORDS = 20_000
-LEAF_WORDS = 4
+LEAF_WORDS = 16
+DEPTHS_TRIED = 4  # in one job
 MOST_COUNTED = 200_000  # words a task counts before it passes them on
 BLOCK = 1 << 20  # characters of a text that are read at a time
 
@@ -203,14 +204,19 @@ class CountTrie:
         surplus alone the shorter word finds the longer. So each pair is found once.
         """
         word, counts = query.word, (*query.counts, 0)
+        half = len(word) // 2
+        head, tail = word[:half], word[half:]  # one edit leaves one of them as it is
         stack = [(self.root, self.level, surplus, deficit)]
         while stack:
             node, depth, over, under = stack.pop()
             if isinstance(node, list):
                 for entry in node:
-                    if over and under and (entry.counts, entry.word) <= (query.counts, word):
+                    other = entry.word
+                    if not (other.startswith(head) or other.endswith(tail)):
                         continue
-                    if one_edit(word, entry.word):
+                    if over and under and (entry.counts, other) <= (query.counts, word):
+                        continue
+                    if one_edit(word, other):
                         yield entry
                 continue
             own, below = counts[depth], depth + 1
@@ -256,11 +262,15 @@ def _batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
 def shard_depth(words: DataFrame, most: int) -> int:
     """The least number of counts in a shard's name by which no shard has more than ``most`` words,
     or all of them."""
-    depths = F.explode(F.sequence(F.lit(0), F.lit(GROUPS))).alias("depth")
-    prefixes = words.select(F.length("word").alias("length"), "counts", depths)
-    sizes = prefixes.groupBy("depth", "length", F.expr("slice(counts, 1, depth)").alias("first")).agg(F.count("*").alias("n"))
-    widest = {row.depth: row.widest for row in sizes.groupBy("depth").agg(F.max("n").alias("widest")).collect()}
-    return next((depth for depth in sorted(widest) if widest[depth] <= most), GROUPS)
+    for start in range(0, GROUPS + 1, DEPTHS_TRIED):
+        depths = F.explode(F.sequence(F.lit(start), F.lit(min(start + DEPTHS_TRIED - 1, GROUPS)))).alias("depth")
+        prefixes = words.select(F.length("word").alias("length"), "counts", depths)
+        first = F.expr("slice(counts, 1, depth)").alias("first")
+        sizes = prefixes.groupBy("depth", "length", first).agg(F.count("*").alias("n"))
+        widest = sizes.groupBy("depth").agg(F.max("n").alias("widest"))
+        if enough := [row.depth for row in widest.collect() if row.widest <= most]:
+            return min(enough)
+    return GROUPS
 
 
 def with_counts(words: DataFrame, group_of: dict[str, int]) -> DataFrame:
