@@ -20,6 +20,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,7 @@ from riskloom.llm.shared import slices
 from riskloom.operators.durable import durable
 
 MARK = "▁"  # fixed value: stands for a space
-MOST_MEMORY = 400_000  # segments a worker remembers
+MOST_MEMORY = 250_000  # segments of a generation that a worker remembers
 MOST_LENGTH = 64  # characters of a remembered segment
 HEAD_PAIRS = 1_000_000  # pairs whose counts every task is given
 BATCH_BYTES = 1 << 20  # text that is aligned at once
@@ -126,11 +127,14 @@ _OPEN: dict[Readings, tuple[ByteReading, PieceReading]] = {}
 
 
 class Reader:
-    """Both readings of texts, segment by segment; those of short segments are remembered."""
+    """Both readings of texts, segment by segment. Those of segments are remembered in two
+    generations: when the younger is full it becomes the older one, whose segments are taken
+    over as they occur again."""
 
     def __init__(self, a: ByteReading, b: PieceReading):
         self.a, self.b = a, b
         self.known: dict[str, tuple[bytes, bytes] | None] = {}
+        self.earlier: dict[str, tuple[bytes, bytes] | None] = {}
 
     def _learn(self, segments: list[str]) -> dict[str, tuple[bytes, bytes] | None]:
         """Ids of both readings as 32-bit numbers; None where they do not spell the segment."""
@@ -165,17 +169,21 @@ class Reader:
     def read(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
         """Ids of both readings of each text; empty where they do not spell it."""
         cut = [SAFE_CUT.split(text) if self.b.cuttable else [text] for text in texts]
-        known = self.known
-        new = self._learn(list({segment for own in cut for segment in own if segment not in known}))
-        if len(known) + len(new) > MOST_MEMORY:
-            known.clear()
-            new |= self._learn(list({segment for own in cut for segment in own if segment not in new}))
+        if len(self.known) > MOST_MEMORY:
+            self.known, self.earlier = {}, self.known
+        known, earlier = self.known, self.earlier
+        missing = set(chain.from_iterable(cut)).difference(known)
+        again = missing.intersection(earlier)
+        known.update((segment, earlier[segment]) for segment in again)
+        known.update(self._learn(list(missing - again)))
         out = []
         for text, own in zip(texts, cut):
-            found = [known[segment] if segment in known else new[segment] for segment in own]
+            found = [known[segment] for segment in own]
             spelled = bool(text) and None not in found
             out.append((b"".join([x for x, _ in found]), b"".join([y for _, y in found])) if spelled else (b"", b""))
-        known.update((segment, ids) for segment, ids in new.items() if len(segment) <= MOST_LENGTH)
+        for segment in missing:
+            if len(segment) > MOST_LENGTH:
+                del known[segment]
         return out
 
 
@@ -272,7 +280,8 @@ class Aligner:
             bounds_a, bounds_b = np.cumsum(out["n_a"][known]) - 1, np.cumsum(out["n_b"][known]) - 1
             cuts_a = shared_cuts(ends_a, ends_b, bounds_a)
             cuts_b = np.searchsorted(ends_b, ends_a[cuts_a])
-            text_of_cut = np.searchsorted(bounds_a, cuts_a)
+            text_of_a = np.repeat(np.arange(len(known)), out["n_a"][known])
+            text_of_cut = text_of_a[cuts_a]
             out["n_groups"][known] = np.bincount(text_of_cut, minlength=len(known))
 
             # Groups as text: a's ids, b's ids, group by group.
@@ -290,7 +299,7 @@ class Aligner:
                 digests[i] = hashlib.sha256(memoryview(text)[start : stop - 1]).hexdigest()
 
             in_a, in_b = linked_tokens(ends_a, ends_b)
-            text_of_link = np.searchsorted(bounds_a, in_a)
+            text_of_link = text_of_a[in_a]
             out["n_links"][known] = np.bincount(text_of_link, minlength=len(known))
             key = ids_a[in_a] * len(self.b.token_bytes) + ids_b[in_b]
             span = len(self.a.token_bytes) * len(self.b.token_bytes)
