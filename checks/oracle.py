@@ -8,7 +8,15 @@ from __future__ import annotations
 
 import re
 
-from checks.queries import INDEXED, LOAN_TYPE_LIST, RUN_DATE, VOCABULARY_THRESHOLD
+from checks.queries import (
+    FITTED_UNTIL,
+    INDEXED,
+    LATE_MONTH,
+    LOAN_TYPE_LIST,
+    RUN_DATE,
+    SECOND_RUN,
+    VOCABULARY_THRESHOLD,
+)
 from riskloom.sources import demo_views as views
 
 KEYS = "Customer_ID, cast(snapshot_date as varchar) AS snapshot_date"
@@ -358,7 +366,55 @@ _GAPS = f"""SELECT {_JOIN_COLUMNS}, {', '.join(_FE)}
 _LONG = f"""SELECT {KEYS}, loan_type FROM (SELECT * FROM v_fin JOIN vocabulary USING (snapshot_date))
     WHERE contains(Type_of_Loan, loan_type)"""
 
+# A model of all months up to one, without the rows of one credit mix.
+_FITTED = f"(SELECT * FROM fin WHERE snapshot_date <= date '{FITTED_UNTIL}' AND Credit_Mix IS DISTINCT FROM 'Bad')"
+CTE["model"] = f"""SELECT *, row_number() OVER (PARTITION BY column_name ORDER BY n DESC, value) - 1 AS code FROM ({
+    ' UNION ALL '.join(f"SELECT '{c}' AS column_name, {c} AS value, count(*) AS n FROM {_FITTED} WHERE {c} IS NOT NULL GROUP BY ALL"
+    for c in INDEXED)})"""
+
+
+def _coded(columns: list[str], keep: bool) -> str:
+    unknown = "(SELECT count(*) FROM model WHERE column_name = '{0}')" if keep else "NULL"
+    items = ", ".join(f"cast(coalesce(m{i}.code, {unknown.format(c)}) as int) AS {c}_index" for i, c in enumerate(columns))
+    lookups = " ".join(
+        f"LEFT JOIN model m{i} ON m{i}.column_name = '{c}' AND m{i}.value = fin.{c}" for i, c in enumerate(columns)
+    )
+    known = " AND ".join(f"m{i}.code IS NOT NULL" for i in range(len(columns)))
+    return f"SELECT {KEYS}, {items} FROM fin {lookups}" + ("" if keep else f" WHERE {known}")
+
+
+# What a resumed run makes anew: one month, its clicks twice.
+_CLICKS_MET = "(SELECT count(*) FROM click c WHERE c.Customer_ID = fin.Customer_ID AND c.snapshot_date = fin.snapshot_date)"
+CTE["late_audit"] = f"""SELECT t.layer, t.tbl, CASE WHEN t.tbl = 'clickstream' THEN 2 * n WHEN t.tbl = 'combined'
+        THEN (SELECT cast(sum(greatest(1, 2 * {_CLICKS_MET})) as bigint) FROM fin WHERE snapshot_date = date '{LATE_MONTH}')
+        ELSE coalesce(n, 0) END AS n FROM (VALUES {_TABLES}) t(layer, tbl)
+        LEFT JOIN row_counts r ON r.layer = t.layer AND r.tbl = t.tbl AND r.snapshot_date = date '{LATE_MONTH}'
+    UNION ALL SELECT 'audit', t.tbl, coalesce(w.n, 0) FROM (VALUES ('duplicate_customers'), ('duplicate_ssn'),
+        ('attributes_repeated_keys'), ('attributes_repeated_rows')) t(tbl)
+        LEFT JOIN twins w ON w.tbl = t.tbl AND w.snapshot_date = date '{LATE_MONTH}'
+    UNION ALL SELECT 'audit', 'clickstream_repeated_keys', count(*) FROM click WHERE snapshot_date = date '{LATE_MONTH}'
+    UNION ALL SELECT 'audit', 'clickstream_repeated_rows', count(*) FROM fin
+        WHERE snapshot_date = date '{LATE_MONTH}' AND {_CLICKS_MET} > 0"""
+
 STATEMENTS: dict[str, str] = {
+    "raw_many_files": f"""SELECT * EXCLUDE (snapshot_date, loan_start_date), {TEXT_DATE},
+        cast(loan_start_date as varchar) AS loan_start_date FROM v_loan""",
+    "attributes_dedup_counts": f"""SELECT * EXCLUDE (snapshot_date), {TEXT_DATE} FROM attr_unique JOIN (SELECT Customer_ID,
+        snapshot_date, count(*) AS n_rows FROM v_attr_copies GROUP BY ALL) USING (Customer_ID, snapshot_date)""",
+    "attributes_latest_counts": f"""SELECT * EXCLUDE (snapshot_date), {TEXT_DATE} FROM (SELECT *, count(*) OVER
+        (PARTITION BY Customer_ID) AS n_rows FROM v_attr_copies) t QUALIFY row_number()
+        OVER (PARTITION BY Customer_ID ORDER BY t.snapshot_date DESC, {_TIES}) = 1""",
+    "join_fan_out": f"""SELECT {TEXT_DATE}, count(*) AS repeated_keys, cast(sum(f) as bigint) AS fact_rows,
+        cast(sum(f * c) as bigint) AS joined_rows FROM (SELECT Customer_ID, snapshot_date, count(*) AS c,
+        (SELECT count(*) FROM fin_gaps g WHERE g.Customer_ID = k.Customer_ID AND g.snapshot_date = k.snapshot_date) AS f
+        FROM click_twice k GROUP BY Customer_ID, snapshot_date HAVING count(*) > 1) GROUP BY ALL""",
+    "string_index_model": _coded(INDEXED, keep=True),
+    "string_index_model_skip": _coded(["Credit_Mix", "Payment_Behaviour"], keep=False),
+    "string_index_model_labels": "SELECT column_name, value, cast(n as bigint) AS n, cast(code as int) AS code FROM model",
+    "backfill_resumed": f"SELECT layer, tbl AS \"table\", '{LATE_MONTH}' AS snapshot_date, n FROM late_audit",
+    "backfill_two_runs": f"""SELECT * REPLACE (nullif(Type_of_Loan, '') AS Type_of_Loan,
+        CASE WHEN snapshot_date < '{SECOND_RUN}' THEN fe_1 END AS fe_1,
+        CASE WHEN snapshot_date >= '{SECOND_RUN}' THEN fe_5 END AS fe_5) FROM ({_combined()})""",
     "snapshot_slice": f"SELECT loan_id, {KEYS} FROM v_loan WHERE snapshot_date = date '1998-03-01'",
     "snapshot_slice_optional": """SELECT Customer_ID, Name, snapshot_date FROM
         (SELECT DISTINCT Customer_ID, Name FROM v_attr),

@@ -17,11 +17,12 @@ from riskloom.functions import cleaning as clean
 from riskloom.functions import financials as fin_rules
 from riskloom.functions import loans as loan_rules
 from riskloom.operators import dedup, indexing, joins, projection, snapshots, vocabulary
-from riskloom.operators.durable import durable, scratch_path
+from riskloom.operators.durable import scratch_path
 from riskloom.plans import combined as combine
 from riskloom.plans.attributes import attributes_gold, attributes_silver
 from riskloom.plans.backfill import backfill, read_features
 from riskloom.plans.clickstream import clickstream_gold, clickstream_silver
+from riskloom.plans.index_model import IndexModel
 from riskloom.plans.financials import bound_financials, financials_gold, financials_silver, parse_financials
 from riskloom.plans.loans import label_store, loan_silver
 from riskloom.schemas import ATTRIBUTES_RAW, FINANCIALS_RAW, KEYS, LOAN_TYPES, LOAN_TYPES_PRESENT, SNAPSHOT
@@ -49,6 +50,9 @@ INDEXED = [
 ]
 VOCABULARY_THRESHOLD = 30
 RUN_DATE = "1998-01-01"
+LATE_MONTH = "1998-03-01"  # whose clicks arrive twice
+SECOND_RUN = "1998-06-01"  # from here on a second run has other click columns
+FITTED_UNTIL = "1996-06-01"
 RUN_DAY = dt.date(1998, 1, 1)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,11 +85,7 @@ def _fin_silver(spark, sf):
 
 
 def _loan_types(spark, sf, threshold=vocabulary.THRESHOLD):
-    return durable(vocabulary.loan_type_columns(_fin_silver(spark, sf), threshold), "loan-types")
-
-
-def _wide(df: DataFrame, loan_types: DataFrame, fill: int | None = None) -> DataFrame:
-    return vocabulary.widen_loan_types(df, loan_types, fill).drop(LOAN_TYPES_PRESENT)
+    return vocabulary.store_vocabulary(vocabulary.loan_type_columns(views.financials(spark, sf), threshold))
 
 
 def _attr_gold(spark, sf):
@@ -166,6 +166,17 @@ def raw_mixed_headers(spark, sf):
     return flat(read_source(spark, path, "clickstream"))
 
 
+@query
+def raw_many_files(spark, sf):
+    """The ledger in some hundred files, half of them with the columns in another order."""
+    path = scratch_path(spark, "raw-loans")
+    loans = views.loans(spark, sf)
+    even = F.pmod(F.xxhash64("loan_id"), F.lit(2)) == 0
+    loans.where(even).repartition(150).write.csv(path, header=True)
+    loans.where(~even).select(*reversed(loans.columns)).repartition(150).write.mode("append").csv(path, header=True)
+    return flat(read_source(spark, path, "loans"))
+
+
 @query
 def bronze_roundtrip(spark, sf):
     base = scratch_path(spark, "bronze")
@@ -184,12 +195,12 @@ def idempotent_backfill(spark, sf):
     return flat(snapshots.audit_counts(read_layer(spark, base, "silver", "loans"), "loans"))
 
 
-def write_raw_files(spark: SparkSession, sf: str) -> dict[str, str]:
+def write_raw_files(spark: SparkSession, sf: str, without_clicks: tuple[str, ...] = ()) -> dict[str, str]:
     """The four views as CSV directories."""
     base = scratch_path(spark, "raw")
     sources = {
         "loans": views.loans(spark, sf),
-        "clickstream": views.clickstream(spark, sf),
+        "clickstream": views.clickstream(spark, sf).drop(*without_clicks),
         "attributes": views.attributes_with_copies(spark, sf),
         "financials": views.financials(spark, sf),
     }
@@ -199,12 +210,16 @@ def write_raw_files(spark: SparkSession, sf: str) -> dict[str, str]:
     return {name: f"{base}/{name}" for name in sources}
 
 
-def _backfilled(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
-    """Base path and audit of a backfill of all months that any of the views has."""
+def _span(spark: SparkSession, sf: str) -> tuple[dt.date, dt.date]:
+    """First and last month that any of the views has."""
     months = [view(spark, sf).select(SNAPSHOT) for view in (views.loans, views.financials)]
-    span = months[0].unionAll(months[1]).agg(F.min(SNAPSHOT).alias("lo"), F.max(SNAPSHOT).alias("hi")).first()
+    return tuple(months[0].unionAll(months[1]).agg(F.min(SNAPSHOT), F.max(SNAPSHOT)).first())
+
+
+def _backfilled(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
+    """Base path and audit of a backfill of all months."""
     base = scratch_path(spark, "lake")
-    return base, backfill(spark, write_raw_files(spark, sf), base, span.lo, span.hi)
+    return base, backfill(spark, write_raw_files(spark, sf), base, *_span(spark, sf))
 
 
 @query
@@ -216,7 +231,19 @@ def monthly_backfill_counts(spark, sf):
 @query
 def backfill_duplicates(spark, sf):
     """Customers and SSNs that occur more than once, per month of a backfill."""
-    return flat(_backfilled(spark, sf)[1].where("layer = 'audit'").select("table", SNAPSHOT, "n"))
+    audit = _backfilled(spark, sf)[1].where("layer = 'audit' AND table LIKE 'duplicate%'")
+    return flat(audit.select("table", SNAPSHOT, "n"))
+
+
+@query
+def backfill_resumed(spark, sf):
+    """Clicks of one month arrive a second time after a backfill: a run that resumes makes that
+    month anew and no other. Its audit tells the rows, and what the repeated keys multiply."""
+    base, raw = scratch_path(spark, "lake"), write_raw_files(spark, sf)
+    backfill(spark, raw, base, *_span(spark, sf))
+    late = snapshots.slice_snapshot(views.clickstream(spark, sf), LATE_MONTH)
+    late.write.mode("append").csv(raw["clickstream"], header=True)
+    return flat(backfill(spark, raw, base, *_span(spark, sf), resume=True))
 
 
 # --- loans ---------------------------------------------------------------------------------------
@@ -289,6 +316,17 @@ def attributes_dedup(spark, sf):
     return flat(dedup.latest_per_customer(views.attributes_with_copies(spark, sf)))
 
 
+@query
+def attributes_dedup_counts(spark, sf):
+    """The same rows and how many each stands for, by one aggregate."""
+    return flat(dedup.latest_with_counts(views.attributes_with_copies(spark, sf)))
+
+
+@query
+def attributes_latest_counts(spark, sf):
+    return flat(dedup.latest_with_counts(views.attributes_with_copies(spark, sf), scope="all"))
+
+
 @query
 def attributes_latest(spark, sf):
     return flat(dedup.latest_per_customer(views.attributes_with_copies(spark, sf), scope="all"))
@@ -514,7 +552,7 @@ def _rounded_score(df: DataFrame) -> DataFrame:
 @query
 def financials_gold_table(spark, sf):
     loan_types = _loan_types(spark, sf, VOCABULARY_THRESHOLD)
-    return flat(_rounded_score(_wide(financials_gold(_fin_silver(spark, sf), loan_types), loan_types)))
+    return flat(_rounded_score(financials_gold(_fin_silver(spark, sf), loan_types, wide=True)))
 
 
 
@@ -647,6 +685,39 @@ def string_index_null_month_shuffled(spark, sf):
     return _index_without_month(spark, sf, broadcast_bytes=0)
 
 
+def _index_model(spark, sf) -> tuple[IndexModel, DataFrame]:
+    """A model fitted on early months, stored, and grown by the counts of the next half year; rows
+    of one credit mix are left out, so that applying it meets unknown labels."""
+    silver = _fin_silver(spark, sf).select(*KEYS, *INDEXED)
+    fitted = silver.where("Credit_Mix IS DISTINCT FROM 'Bad'")
+    early = f"snapshot_date < add_months(date '{FITTED_UNTIL}', -5)"
+    base = scratch_path(spark, "model")
+    IndexModel.fit(fitted.where(early), INDEXED).save(base, "financials")
+    late = IndexModel.fit(fitted.where(f"NOT {early} AND snapshot_date <= '{FITTED_UNTIL}'"), INDEXED)
+    IndexModel.load(spark, base, "financials", INDEXED).merge(late).save(base, "grown")
+    return IndexModel.load(spark, base, "grown", INDEXED), silver
+
+
+@query
+def string_index_model(spark, sf):
+    """Codes that all months share; what the model does not know comes behind its labels."""
+    model, rows = _index_model(spark, sf)
+    return flat(model.transform(rows).select(*KEYS, *[f"{c}_index" for c in INDEXED]))
+
+
+@query
+def string_index_model_skip(spark, sf):
+    """The rows whose values are all known to the model."""
+    model, rows = _index_model(spark, sf)
+    known = IndexModel(model.counts, ["Credit_Mix", "Payment_Behaviour"])
+    return flat(known.transform(rows, "skip").select(*KEYS, "Credit_Mix_index", "Payment_Behaviour_index"))
+
+
+@query
+def string_index_model_labels(spark, sf):
+    return flat(_index_model(spark, sf)[0].labels())
+
+
 # --- combination ------------------------------------------------------------------------------------------------
 
 
@@ -703,6 +774,13 @@ def combined_join_null_keys_sliced(spark, sf):
     return flat(combine.join_clickstream(fin, clicks, hot=hot.drop("_rows2")))
 
 
+@query
+def join_fan_out(spark, sf):
+    """Per month, the click keys with several rows and the financial rows they multiply."""
+    fin, clicks = _with_gaps(spark, sf)
+    return flat(joins.fan_out(fin, clicks, KEYS, SNAPSHOT))
+
+
 def _joined(spark, sf):
     return combine.joined_features(_fin_fixed(spark, sf), _click_gold(spark, sf), _attr_gold(spark, sf))
 
@@ -725,10 +803,9 @@ def column_classification(spark, sf):
 
 @query
 def combined_features_table(spark, sf):
-    loan_types = _loan_types(spark, sf)
-    gold = financials_gold(_fin_silver(spark, sf), loan_types)
+    gold = financials_gold(_fin_silver(spark, sf), loan_types=[])
     combined = combine.combined_features(gold, _click_gold(spark, sf), _attr_gold(spark, sf))
-    return flat(_rounded_score(_wide(combined, loan_types, fill=0)))
+    return flat(_rounded_score(vocabulary.wide_loan_types(combined, _loan_types(spark, sf), fill=0)))
 
 
 @query
@@ -736,3 +813,14 @@ def backfill_features(spark, sf):
     """The values of ``combined`` that a backfill writes, from CSV to gold, for all months."""
     base = _backfilled(spark, sf)[0]
     return flat(_rounded_score(read_features(spark, base, wide=True)))
+
+
+@query
+def backfill_two_runs(spark, sf):
+    """Two runs, each with a click column that the other lacks: reads have both, NULL in the
+    months without."""
+    (first, last), base = _span(spark, sf), scratch_path(spark, "lake")
+    change = dt.date.fromisoformat(SECOND_RUN)
+    backfill(spark, write_raw_files(spark, sf, without_clicks=("fe_5",)), base, first, change - dt.timedelta(days=1))
+    backfill(spark, write_raw_files(spark, sf, without_clicks=("fe_1",)), base, change, last)
+    return flat(_rounded_score(read_features(spark, base, wide=True)))

@@ -49,14 +49,24 @@ def durable(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _hadoop_path(spark: SparkSession, path: str):
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(context._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place, filesystem = _hadoop_path(spark, path)
+    return filesystem.exists(place)
+
+
 def remove_scratch(spark: SparkSession) -> None:
     """Delete what this application (inside a scope: the scope) kept in the shared folder.
 
     Frames that still read such a table can no longer be computed afterwards.
     """
-    context = spark.sparkContext
-    root = context._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
-    root.getFileSystem(context._jsc.hadoopConfiguration()).delete(root, True)
+    root, filesystem = _hadoop_path(spark, _scratch_root(spark))
+    filesystem.delete(root, True)
 
 
 @contextmanager

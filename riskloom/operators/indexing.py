@@ -1,7 +1,7 @@
 """Frequency-ranked integer codes for text columns, fitted per month.
 
 All columns are counted in one pass over the rows; the label table has one row per
-(column, month, value). It is written once and sized, and each column is then coded in
+(column, month, value). One job writes and sizes it, and each column is then coded in
 one of three ways:
 
 * few labels per month: ranked, folded into one row of maps per month, broadcast once for
@@ -15,10 +15,12 @@ All broadcast tables together share one budget of bytes. The route never changes
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from riskloom.operators.durable import BROADCAST_BYTES, broadcast_size, durable
+from riskloom.operators.durable import BROADCAST_BYTES, ROW_OVERHEAD, durable
 from riskloom.operators.joins import hot_keys_from_counts, spread_left_join
 from riskloom.schemas import SNAPSHOT
 
@@ -26,11 +28,50 @@ MAP_LABELS = 128  # labels per column and month that a linear map lookup handles
 COLUMN, VALUE, COUNT, CODE = "column_name", "value", "n", "code"
 
 
-def label_counts(df: DataFrame, columns: list[str], by: str = SNAPSHOT) -> DataFrame:
-    """(column_name, by, value, n) of all columns in one aggregation, NULL included."""
+def label_counts(df: DataFrame, columns: list[str], by: str = SNAPSHOT, weight: str | None = None) -> DataFrame:
+    """(column_name, by, value, n) of all columns in one aggregation, NULL included.
+
+    A row counts once, or as often as its ``weight`` says.
+    """
     pairs = [F.struct(F.lit(c).alias(COLUMN), F.col(c).alias(VALUE)) for c in columns]
-    exploded = df.select(by, F.explode(F.array(*pairs)).alias("pair")).select(by, "pair.*")
-    return exploded.groupBy(COLUMN, by, VALUE).agg(F.count("*").alias(COUNT))
+    kept = [by] if weight is None else [by, weight]
+    exploded = df.select(*kept, F.explode(F.array(*pairs)).alias("pair")).select(*kept, "pair.*")
+    number = F.count("*") if weight is None else F.sum(weight)
+    return exploded.groupBy(COLUMN, by, VALUE).agg(number.alias(COUNT))
+
+
+@dataclass(frozen=True)
+class LabelTable:
+    """Stored label counts, and the columns to be coded by maps, by a broadcast each, by shuffles."""
+
+    counts: DataFrame
+    narrow: list[str]
+    medium: list[str]
+    large: list[str]
+
+
+def store_labels(
+    counts: DataFrame, columns: list[str], by: str, map_labels: int = MAP_LABELS, broadcast_bytes: int = BROADCAST_BYTES
+) -> LabelTable:
+    """Write the counts; the same job observes what decides how each column is coded."""
+    sizes = Observation()
+    size = F.coalesce(F.octet_length(VALUE), F.lit(0)) + ROW_OVERHEAD
+    observed = [F.approx_count_distinct(by).alias("months")]
+    for i, column in enumerate(columns):
+        own = F.col(COLUMN) == column
+        observed += [F.count_if(own).alias(f"labels{i}"), F.sum(F.when(own, size)).alias(f"size{i}")]
+    stored = durable(counts.observe(sizes, *observed), "labels")
+    seen = sizes.get
+    # One budget for all tables that are broadcast together, filled from the smallest column up.
+    large, used = [], 0
+    for i in sorted(range(len(columns)), key=lambda i: (seen[f"size{i}"] or 0, columns[i])):
+        used += seen[f"size{i}"] or 0
+        if used > broadcast_bytes:
+            large.append(columns[i])
+    few = {c for i, c in enumerate(columns) if seen[f"labels{i}"] <= map_labels * max(seen["months"], 1)}
+    narrow = [c for c in columns if c in few and c not in large]
+    medium = [c for c in columns if c not in few and c not in large]
+    return LabelTable(stored, narrow, medium, large)
 
 
 def _rank_order() -> list[Column]:
@@ -71,8 +112,9 @@ def rank_labels_at_scale(counts: DataFrame, by: str = SNAPSHOT) -> DataFrame:
     return ranked.select(*group, VALUE, _as_code(F.col("_offset") + F.col("_place")).alias(CODE))
 
 
-def _index_by_maps(df: DataFrame, codes: DataFrame, columns: list[str], by: str) -> DataFrame:
-    """One broadcast row per month with a value -> code map and a label count per column."""
+def _index_by_maps(df: DataFrame, codes: DataFrame, columns: list[str], by: str, keep: bool = True) -> DataFrame:
+    """One broadcast row per month with a value -> code map and a label count per column. What
+    is no label has the code after the last one, unless ``keep`` is off."""
     known = F.col(VALUE).isNotNull()
     entry = F.struct(VALUE, CODE)
     folded = []
@@ -84,18 +126,16 @@ def _index_by_maps(df: DataFrame, codes: DataFrame, columns: list[str], by: str)
         ]
     by_month = codes.withColumnRenamed(by, "_by").groupBy("_by").agg(*folded)
     joined = df.join(F.broadcast(by_month), F.col(by).eqNullSafe(F.col("_by")), "left")
-    index = {
-        f"{column}_index": F.coalesce(
-            F.try_element_at(f"_codes{i}", F.col(column)), F.nullif(F.col(f"_labels{i}"), F.lit(0))
-        )
-        for i, column in enumerate(columns)
-    }
+    index = {}
+    for i, column in enumerate(columns):
+        code = F.try_element_at(f"_codes{i}", F.col(column))
+        index[f"{column}_index"] = F.coalesce(code, F.nullif(F.col(f"_labels{i}"), F.lit(0))) if keep else code
     return joined.withColumns(index).select(*df.columns, *index)
 
 
 def _index_by_broadcast(df: DataFrame, codes: DataFrame, columns: list[str], by: str) -> DataFrame:
     for column in columns:
-        own = codes.where(F.col(COLUMN) == column).select(
+        own = codes.where(F.col(COLUMN) == column).select(  # the window's key: ranks this column alone
             F.col(by).alias("_by"), F.col(VALUE).alias("_value"), F.col(CODE).alias(f"{column}_index")
         )
         same = F.col(by).eqNullSafe(F.col("_by")) & F.col(column).eqNullSafe(F.col("_value"))
@@ -147,31 +187,24 @@ def string_index(
     by: str = SNAPSHOT,
     map_labels: int = MAP_LABELS,
     broadcast_bytes: int = BROADCAST_BYTES,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``<column>_index`` for each column: its rank by frequency within ``by``.
 
     NULL gets the code after the last label; a column that is NULL throughout a month
-    gets NULL there. The empty string is a label like any other.
+    gets NULL there. The empty string is a label like any other. ``counts`` are the
+    ``label_counts`` of ``df`` if they are known without reading it; they must have NULL as a
+    value of every column and month that may hold it.
     """
     names = df.columns
-    counts = durable(label_counts(df, columns, by))
-    per_month = counts.groupBy(COLUMN, by).agg(F.count("*").alias("labels"), broadcast_size(VALUE).alias("size"))
-    sizes = per_month.groupBy(COLUMN).agg(F.max("labels").alias("widest"), F.sum("size").alias("size")).collect()
-    # One budget for all tables that are broadcast together, filled from the smallest column up.
-    large, used = [], 0
-    for row in sorted(sizes, key=lambda row: (row["size"], row[COLUMN])):
-        used += row["size"]
-        if used > broadcast_bytes:
-            large.append(row[COLUMN])
-    medium = [row[COLUMN] for row in sizes if row.widest > map_labels and row[COLUMN] not in large]
-    narrow = [c for c in columns if c not in large and c not in medium]
-
-    if narrow:
-        df = _index_by_maps(df, rank_labels(counts.where(F.col(COLUMN).isin(narrow)), by), narrow, by)
-    if medium:
-        codes = durable(rank_labels(counts.where(F.col(COLUMN).isin(medium)), by))
-        df = _index_by_broadcast(df, codes, medium, by)
-    if large:
-        own = counts.where(F.col(COLUMN).isin(large))
-        df = _index_by_shuffle(df, durable(rank_labels_at_scale(own, by)), own, large, by)
+    counts = label_counts(df, columns, by) if counts is None else counts
+    table = store_labels(counts, columns, by, map_labels, broadcast_bytes)
+    own = lambda some: table.counts.where(F.col(COLUMN).isin(some))
+    if table.narrow:
+        df = _index_by_maps(df, rank_labels(own(table.narrow), by), table.narrow, by)
+    if table.medium:
+        df = _index_by_broadcast(df, rank_labels(own(table.medium), by), table.medium, by)
+    if table.large:
+        codes = durable(rank_labels_at_scale(own(table.large), by))
+        df = _index_by_shuffle(df, codes, own(table.large), table.large, by)
     return df.select(*names, *[f"{column}_index" for column in columns])

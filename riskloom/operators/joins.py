@@ -16,7 +16,7 @@ chain of joins. Slicing changes the placement of rows, never the result.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from math import ceil
 
@@ -85,6 +85,32 @@ def hot_keys(
     return _slices_frame(sides[0], keys, slices, len(sides))
 
 
+def repeated_keys(features: Mapping[str, DataFrame], keys: Sequence[str]) -> DataFrame:
+    """(keys, rows of the key in each feature table) of the keys that some table has several times.
+
+    These are the keys that multiply rows of a fact table; usually there are few of them.
+    """
+    known = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
+    narrow = [side.where(known).select(*keys, F.lit(name).alias("_side")) for name, side in features.items()]
+    counts = [F.count_if(F.col("_side") == name).alias(name) for name in features]
+    several = reduce(Column.__or__, [F.col(name) > 1 for name in features])
+    return reduce(DataFrame.unionByName, narrow).groupBy(*keys).agg(*counts).where(several)
+
+
+def fan_out(fact: DataFrame, feature: DataFrame, keys: Sequence[str], by: str) -> DataFrame:
+    """(by, repeated_keys, fact_rows, joined_rows) of a left join: the feature keys with several
+    rows, the fact rows they multiply, and what these rows become. Groups without any are absent.
+
+    Both sides are counted per key before they meet, so a hot key is one row.
+    """
+    known = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
+    narrow = [side.where(known).select(*keys, F.lit(i).alias("_side")) for i, side in enumerate((fact, feature))]
+    rows = [F.count_if(F.col("_side") == i).alias(f"_n{i}") for i in range(2)]
+    per_key = narrow[0].unionByName(narrow[1]).groupBy(*keys).agg(*rows).where(F.col("_n1") > 1)
+    joined = F.sum(F.col("_n0") * F.col("_n1")).alias("joined_rows")
+    return per_key.groupBy(by).agg(F.count("*").alias("repeated_keys"), F.sum("_n0").alias("fact_rows"), joined)
+
+
 def hot_keys_from_counts(
     counts: DataFrame, keys: Sequence[str], n_sides: int, count: str = "n", min_rows: int = MIN_HOT_ROWS
 ) -> DataFrame | None:

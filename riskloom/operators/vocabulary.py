@@ -9,7 +9,9 @@ types. Wide 0/1 columns are made from it on request.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from riskloom.functions.financials import LOAN_COLUMN_PREFIX, loan_column_name, loan_tokens, loan_type_name
@@ -125,62 +127,102 @@ def _by_text(df: DataFrame, vocabulary: DataFrame, broadcast_bytes: int) -> tupl
     return rows, found, hot_keys_from_counts(texts.select(SNAPSHOT, "_text_id", "n"), [SNAPSHOT, "_text_id"], 2)
 
 
-def _few(vocabulary: DataFrame, few_types: int) -> bool:
-    widest = vocabulary.groupBy(SNAPSHOT).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
-    return (widest or 0) <= few_types
+@dataclass(frozen=True)
+class StoredVocabulary:
+    """A written vocabulary with its size: types in all, and months (a NULL month not counted)."""
+
+    frame: DataFrame
+    types: int
+    months: int
+
+    def few(self, limit: int) -> bool:
+        """Whether its types, ``limit`` a month on average, are tested row by row."""
+        return self.types <= limit * max(self.months, 1)
+
+
+def store_vocabulary(vocabulary: DataFrame | StoredVocabulary) -> StoredVocabulary:
+    """Write a frame of ``loan_type_columns`` or ``loan_type_vocabulary``; the same job sizes it."""
+    if isinstance(vocabulary, StoredVocabulary):
+        return vocabulary
+    size = Observation()
+    metrics = [F.count("*").alias("types"), F.size(F.collect_set(SNAPSHOT)).alias("months")]
+    frame = durable(vocabulary.observe(size, *metrics), "loan-vocabulary")
+    return StoredVocabulary(frame, size.get["types"], size.get["months"])
 
 
 def with_loan_types(
-    df: DataFrame, vocabulary: DataFrame, few_types: int = FEW_TYPES, broadcast_bytes: int = BROADCAST_BYTES
+    df: DataFrame,
+    vocabulary: DataFrame | StoredVocabulary,
+    few_types: int = FEW_TYPES,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Add ``Loan_Types``: the sorted indicator names of the month's types the text contains.
 
     ``vocabulary`` is a frame of ``loan_type_columns``. Missing text and months without a
     vocabulary have an empty array.
     """
-    vocabulary = durable(vocabulary.select(SNAPSHOT, "column_name", "loan_type"), "loan-vocabulary")
+    stored = store_vocabulary(vocabulary)
+    words = stored.frame.select(SNAPSHOT, "column_name", "loan_type")
     none = F.array().cast("array<string>")
-    if _few(vocabulary, few_types):
+    if stored.few(few_types):
         entry = F.struct("column_name", "loan_type")
-        by_month = vocabulary.groupBy(SNAPSHOT).agg(F.array_sort(F.collect_list(entry)).alias("_entries"))
+        by_month = words.groupBy(SNAPSHOT).agg(F.array_sort(F.collect_list(entry)).alias("_entries"))
         present = F.filter("_entries", lambda e: F.contains(F.col(TEXT), e["loan_type"]))
         names = F.coalesce(F.transform(present, lambda e: e["column_name"]), none)
         joined = df.join(F.broadcast(by_month), SNAPSHOT, "left")
         return joined.withColumn(LOAN_TYPES_PRESENT, names).select(*df.columns, LOAN_TYPES_PRESENT)
-    rows, found, hot = _by_text(df, vocabulary, broadcast_bytes)
-    named = found.join(vocabulary, [SNAPSHOT, "loan_type"])
+    rows, found, hot = _by_text(df, words, broadcast_bytes)
+    named = found.join(words, [SNAPSHOT, "loan_type"])
     lists = named.groupBy(SNAPSHOT, "_text_id").agg(F.array_sort(F.collect_set("column_name")).alias("_names"))
     joined = spread_left_join(rows, [lists], [SNAPSHOT, "_text_id"], hot=hot)
     return joined.withColumn(LOAN_TYPES_PRESENT, F.coalesce("_names", none)).select(*df.columns, LOAN_TYPES_PRESENT)
 
 
-def widen_loan_types(df: DataFrame, vocabulary: DataFrame, fill: int | None = None) -> DataFrame:
+def _wide_columns(tests: list[tuple[str, list, Column]], fill: int | None) -> dict[str, Column]:
+    """Indicator columns from (name, months, test); names that differ by case alone are one."""
+    flags: dict[str, tuple[str, Column]] = {}
+    for name, months, test in sorted(tests, key=lambda t: (t[0].lower(), t[0])):
+        flag = F.when(F.col(SNAPSHOT).isin(months), test.cast("int"))
+        first, earlier = flags.get(name.lower(), (name, None))
+        flags[name.lower()] = (first, flag if earlier is None else F.coalesce(earlier, flag))
+    return {name: flag if fill is None else F.coalesce(flag, F.lit(fill)) for name, flag in flags.values()}
+
+
+def widen_loan_types(df: DataFrame, vocabulary: DataFrame | StoredVocabulary, fill: int | None = None) -> DataFrame:
     """One 0/1 column per indicator of ``vocabulary`` from ``Loan_Types``.
 
     A column is ``fill`` (by default NULL) in months whose vocabulary lacks the type. One
     column per type is what the caller asks for here: the names are collected.
     """
+    words = vocabulary.frame if isinstance(vocabulary, StoredVocabulary) else vocabulary
     months = F.sort_array(F.collect_set(SNAPSHOT)).alias("months")
-    rows = vocabulary.groupBy("column_name").agg(months).collect()
-    flags: dict[str, tuple[str, Column]] = {}
-    for row in sorted(rows, key=lambda r: (r.column_name.lower(), r.column_name)):
-        present = F.array_contains(LOAN_TYPES_PRESENT, row.column_name).cast("int")
-        flag = F.when(F.col(SNAPSHOT).isin(row.months), present)
-        name, earlier = flags.get(row.column_name.lower(), (row.column_name, None))
-        flags[row.column_name.lower()] = (name, flag if earlier is None else F.coalesce(earlier, flag))
-    wide = {name: flag if fill is None else F.coalesce(flag, F.lit(fill)) for name, flag in flags.values()}
-    return df.withColumns(wide)
+    rows = words.groupBy("column_name").agg(months).collect()
+    tests = [(r.column_name, r.months, F.array_contains(LOAN_TYPES_PRESENT, r.column_name)) for r in rows]
+    return df.withColumns(_wide_columns(tests, fill))
+
+
+def wide_loan_types(df: DataFrame, vocabulary: DataFrame | StoredVocabulary, fill: int | None = None) -> DataFrame:
+    """The columns of ``widen_loan_types`` straight from the text, for a vocabulary of
+    ``loan_type_columns`` with few types: each type is tested once, no array is made."""
+    words = vocabulary.frame if isinstance(vocabulary, StoredVocabulary) else vocabulary
+    months = F.sort_array(F.collect_set(SNAPSHOT)).alias("months")
+    rows = words.groupBy("column_name", "loan_type").agg(months).collect()
+    text = F.coalesce(TEXT, F.lit(""))
+    tests = [(r.column_name, r.months, F.contains(text, F.lit(r.loan_type))) for r in rows]
+    return df.withColumns(_wide_columns(tests, fill))
 
 
-def one_hot_loans(df: DataFrame, vocabulary: DataFrame | list[str]) -> DataFrame:
+def one_hot_loans(df: DataFrame, vocabulary: DataFrame | StoredVocabulary | list[str]) -> DataFrame:
     """One 0/1 column per loan type: 1 if the text contains the type.
 
     ``vocabulary`` is a list of types valid in every month, or the frame of
     ``loan_type_columns``; then a column is NULL in months that do not have the type.
     """
-    if isinstance(vocabulary, DataFrame):
-        vocabulary = durable(vocabulary, "loan-vocabulary")
-        return widen_loan_types(with_loan_types(df, vocabulary), vocabulary).drop(LOAN_TYPES_PRESENT)
+    if not isinstance(vocabulary, list):
+        stored = store_vocabulary(vocabulary)
+        if stored.few(FEW_TYPES):
+            return wide_loan_types(df, stored)
+        return widen_loan_types(with_loan_types(df, stored), stored).drop(LOAN_TYPES_PRESENT)
     contains = {name: F.contains(F.col(TEXT), F.lit(t)) for name, t in listed_columns(vocabulary).items()}
     return df.withColumns({name: F.coalesce(flag.cast("int"), F.lit(0)) for name, flag in contains.items()})
 
@@ -197,11 +239,11 @@ def one_hot_loans_long(
     A few types per month are tested row by row. More are matched on distinct texts only,
     so the cost does not grow with the types of the month.
     """
-    vocabulary = durable(vocabulary.select(SNAPSHOT, "loan_type").distinct(), "loan-vocabulary")
-    if _few(vocabulary, few_types):
-        by_month = vocabulary.groupBy(SNAPSHOT).agg(F.collect_set("loan_type").alias("_types"))
+    stored = store_vocabulary(vocabulary.select(SNAPSHOT, "loan_type").distinct())
+    if stored.few(few_types):
+        by_month = stored.frame.groupBy(SNAPSHOT).agg(F.collect_set("loan_type").alias("_types"))
         found = F.filter("_types", lambda loan_type: F.contains(F.col(TEXT), loan_type))
         return df.join(F.broadcast(by_month), SNAPSHOT).select(*columns, F.explode(found).alias("loan_type"))
-    rows, found, hot = _by_text(df, vocabulary, broadcast_bytes)
+    rows, found, hot = _by_text(df, stored.frame, broadcast_bytes)
     joined = spread_left_join(rows, [found], [SNAPSHOT, "_text_id"], hot=hot)
     return joined.where(F.col("loan_type").isNotNull()).select(*columns, "loan_type")

@@ -2,22 +2,35 @@
 
 There is no loop over months: the month is a key of every plan and the partition of
 every table. Running fewer months means passing fewer; their partitions are replaced.
+
+Every layer that is finished is noted month by month, with a fingerprint of the raw rows and
+the settings it was made from. A run that resumes takes up each month where it was left, and
+does nothing for months whose raw rows are the same.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import time
 from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.operators.dedup import duplicate_summary
-from riskloom.operators.durable import durable, scratch_scope
+from riskloom.operators.durable import path_exists, scratch_scope
 from riskloom.operators.snapshots import as_dates, slice_snapshot, snapshot_calendar
-from riskloom.operators.vocabulary import THRESHOLD, listed_columns, loan_type_columns, widen_loan_types
+from riskloom.operators.vocabulary import (
+    THRESHOLD,
+    listed_columns,
+    loan_type_columns,
+    store_vocabulary,
+    widen_loan_types,
+)
 from riskloom.plans.attributes import attributes_gold, attributes_silver
 from riskloom.plans.clickstream import clickstream_gold, clickstream_silver
 from riskloom.plans.combined import combined_features
@@ -26,7 +39,6 @@ from riskloom.plans.loans import label_store, loan_silver
 from riskloom.schemas import (
     ATTRIBUTES_GOLD,
     ATTRIBUTES_SILVER,
-    CUSTOMER,
     FINANCIALS_SILVER,
     LABEL_STORE,
     LOAN_SILVER,
@@ -35,7 +47,7 @@ from riskloom.schemas import (
     SNAPSHOT,
     struct,
 )
-from riskloom.sources.lake import read_layer, write_bronze, write_layer
+from riskloom.sources.lake import read_layer, table_path, write_bronze, write_layer
 from riskloom.sources.raw import OPTIONAL_SNAPSHOT, RAW_TYPES, read_source
 
 # Tables whose columns do not depend on the data; they read back even without any row.
@@ -81,21 +93,31 @@ class Lake:
         return [(layer, table, day, n) for day, n in counts.items()]
 
 
+def read_raw_months(spark: SparkSession, raw_paths: Mapping[str, str], snapshots: Iterable) -> dict[str, DataFrame]:
+    """The raw rows of some months, source by source."""
+    raw = {source: read_source(spark, raw_paths[source], source) for source in RAW_TYPES}
+    return {s: slice_snapshot(df, snapshots, s not in OPTIONAL_SNAPSHOT) for s, df in raw.items()}
+
+
 def build_bronze(lake: Lake, raw_paths: Mapping[str, str]) -> None:
-    raw = {source: read_source(lake.spark, raw_paths[source], source) for source in RAW_TYPES}
-    sliced = {s: slice_snapshot(df, lake.snapshots, s not in OPTIONAL_SNAPSHOT) for s, df in raw.items()}
-    lake.write("bronze", sliced)
+    lake.write("bronze", read_raw_months(lake.spark, raw_paths, lake.snapshots))
 
 
 def build_silver(lake: Lake) -> None:
-    """Only the attribute table regroups rows (to find one per customer); the others are map-only."""
-    plans = {
-        "loans": loan_silver,
-        "clickstream": clickstream_silver,
-        "attributes": attributes_silver,
-        "financials": financials_silver,
-    }
-    lake.write("silver", {table: plan(lake.read("bronze", table)) for table, plan in plans.items()}, ["attributes"])
+    """Only the attribute table regroups rows (to find one per customer); the others are map-only.
+    The job that keeps one row per customer also counts the customers that had several."""
+    plans = {"loans": loan_silver, "clickstream": clickstream_silver, "financials": financials_silver}
+    tables = {table: plan(lake.read("bronze", table)) for table, plan in plans.items()}
+    several = Observation()
+    customers = attributes_silver(lake.read("bronze", "attributes"), count="_rows")
+    repeated = [F.count_if((F.col(SNAPSHOT) == F.lit(day)) & (F.col("_rows") > 1)).alias(f"m{i}") for i, day in enumerate(lake.snapshots)]
+    tables["attributes"] = customers.observe(several, F.count("*").alias("rows"), *repeated).drop("_rows")
+    lake.write("silver", tables, ["attributes"])
+    seen = several.get
+    lake.audit += [("audit", "duplicate_customers", day, seen[f"m{i}"]) for i, day in enumerate(lake.snapshots)]
+    shared = duplicate_summary(lake.read("silver", "attributes").where(F.col("SSN").isNotNull()), "SSN", "SSN")
+    counts = {row[SNAPSHOT]: row.duplicated for row in shared.collect()}
+    lake.audit += [("audit", "duplicate_ssn", day, counts.get(day, 0)) for day in lake.snapshots]
 
 
 def read_loan_types(spark: SparkSession, base: str) -> DataFrame:
@@ -131,8 +153,8 @@ def build_gold(
     """Gold tables of the run's months. The vocabulary of a month is kept as a table in any
     case; it tells which types were looked for."""
     silver = lake.read("silver", "financials")
-    vocabulary = durable(month_vocabulary(lake, silver, threshold, loan_types), "vocabulary")
-    write_layer(vocabulary, lake.base, "gold", "loan_types", lake.snapshots, rebalance=True)
+    vocabulary = store_vocabulary(month_vocabulary(lake, silver, threshold, loan_types))
+    write_layer(vocabulary.frame, lake.base, "gold", "loan_types", lake.snapshots, rebalance=True)
     tables = {
         "label_store": label_store(lake.read("silver", "loans"), dpd, mob),
         "attributes": attributes_gold(lake.read("silver", "attributes")),
@@ -142,20 +164,52 @@ def build_gold(
     # Labels are a tenth of the ledger's rows: merge them into few files.
     lake.write("gold", tables, rebalance=["label_store"])
     sources = [lake.read("gold", t) for t in ("financials", "clickstream", "attributes")]
-    lake.write("gold", {"combined": combined_features(*sources, cluster=True)})
+    repeated: list[tuple] = []
+    lake.write("gold", {"combined": combined_features(*sources, fan_out=repeated)}, rebalance=["combined"])
+    counts = {(f"{table}_repeated_{what}", day): n for day, table, *both in repeated for what, n in zip(("keys", "rows"), both)}
+    for table in ("clickstream", "attributes"):
+        for name in (f"{table}_repeated_keys", f"{table}_repeated_rows"):
+            lake.audit += [("audit", name, day, counts.get((name, day), 0)) for day in lake.snapshots]
 
 
-def audit_duplicates(lake: Lake) -> Audit:
-    """Per month, customers with several raw rows and SSNs that several customers have."""
-    sides = {
-        "duplicate_customers": (lake.read("bronze", "attributes"), CUSTOMER),
-        "duplicate_ssn": (lake.read("silver", "attributes").where(F.col("SSN").isNotNull()), "SSN"),
-    }
-    out: Audit = []
-    for table, (rows, key) in sides.items():
-        counts = {r[SNAPSHOT]: r.duplicated for r in duplicate_summary(rows, key, key).collect()}
-        out += [("audit", table, day, counts.get(day, 0)) for day in lake.snapshots]
-    return out
+# --- what is finished -------------------------------------------------------------------------
+
+LAYERS = ["bronze", "silver", "gold"]
+FINISHED = f"at long, layer string, {SNAPSHOT} date, made_from string"
+RULES = "1"  # raised when the rules of a layer change, so that months are made anew
+
+
+def month_fingerprints(sources: Mapping[str, DataFrame], snapshots: Iterable) -> dict[dt.date, str]:
+    """For each month, a text that changes with any value, row or repetition of its raw rows, and
+    not with the order of rows or with columns that the month has no value in."""
+    narrow = []
+    for source, df in sources.items():
+        cells = [x for c in sorted(df.columns) for x in (F.when(F.col(c).isNotNull(), F.lit(c)), F.col(c))]
+        narrow.append(df.select(SNAPSHOT, F.lit(source).alias("source"), F.xxhash64(*cells).cast("decimal(38,0)").alias("row")))
+    sums = reduce(DataFrame.unionAll, narrow).groupBy(SNAPSHOT, "source").agg(F.count("*").alias("n"), F.sum("row").alias("sum"))
+    found: dict[dt.date, list[str]] = {day: [] for day in as_dates(snapshots)}
+    for row in sorted(sums.collect(), key=lambda row: row.source):
+        found[row[SNAPSHOT]].append(f"{row.source}:{row.n}:{row['sum']}")
+    return {day: " ".join([RULES, *parts]) for day, parts in found.items()}
+
+
+def finished_layers(spark: SparkSession, base: str, snapshots: Iterable) -> dict[str, dict[dt.date, str]]:
+    """What each layer's months were made from, as far as they were finished."""
+    found: dict[str, dict[dt.date, str]] = {layer: {} for layer in LAYERS}
+    path = table_path(base, "log", "finished")
+    if path_exists(spark, path):
+        lines = slice_snapshot(spark.read.schema(FINISHED).parquet(path), snapshots)
+        for line in sorted(lines.collect(), key=lambda line: line["at"]):
+            found[line.layer][line[SNAPSHOT]] = line.made_from
+    return {layer: {day: text for day, text in days.items() if text} for layer, days in found.items()}
+
+
+def _note(spark: SparkSession, base: str, layer: str, made_from: Mapping[dt.date, str | None]) -> None:
+    """Add to the log what a layer's months were made from; None: they are out of date."""
+    later = LAYERS[LAYERS.index(layer) + 1 :]
+    at = time.time_ns()
+    lines = [(at, name, day, text if name == layer else None) for day, text in made_from.items() for name in (layer, *later)]
+    spark.createDataFrame(lines, FINISHED).coalesce(1).write.mode("append").parquet(table_path(base, "log", "finished"))
 
 
 def backfill(
@@ -168,19 +222,44 @@ def backfill(
     mob: int = 6,
     threshold: int = THRESHOLD,
     loan_types: list[str] | None = None,
+    resume: bool = False,
 ) -> DataFrame:
     """Run all layers for the months from ``start`` to ``end``.
 
     ``raw_paths`` names the CSV of ``loans``, ``clickstream``, ``attributes`` and
     ``financials``. Returns the audit (layer, table, snapshot_date, n): the rows stored, and
-    under the layer ``audit`` the customers and SSNs that occur more than once. What the run
-    kept in the shared folder meanwhile is removed.
+    under the layer ``audit`` the customers and SSNs that occur more than once, and the keys
+    that ``combined`` finds several times in a feature table with the financial rows that
+    become several by it. What the run kept in the shared folder meanwhile is removed.
+
+    With ``resume``, a layer of a month is left as it is if it was finished from the same raw
+    rows and with the same settings; the audit tells what was made anew.
     """
     months = [row[SNAPSHOT] for row in snapshot_calendar(spark, start, end).collect()]
-    lake = Lake(spark, base, months)
+    settings = {"gold": f" {dpd} {mob} {threshold} {loan_types}"}
+    audit: Audit = []
     with scratch_scope(spark):
-        build_bronze(lake, raw_paths)
-        build_silver(lake)
-        build_gold(lake, dpd, mob, threshold, loan_types)
-        lake.audit += audit_duplicates(lake)
-    return spark.createDataFrame(lake.audit, AUDIT_SCHEMA)
+        done = finished_layers(spark, base, months)
+        made_from: dict[dt.date, str] = {}
+        if resume and done["bronze"]:
+            made_from = month_fingerprints(read_raw_months(spark, raw_paths, months), months)
+        steps = {
+            "bronze": lambda lake: build_bronze(lake, raw_paths),
+            "silver": build_silver,
+            "gold": lambda lake: build_gold(lake, dpd, mob, threshold, loan_types),
+        }
+        redone: set[dt.date] = set()
+        for layer, build in steps.items():
+            suffix = settings.get(layer, "")
+            redone |= {day for day in months if day not in made_from or done[layer].get(day) != made_from[day] + suffix}
+            todo = [day for day in months if day in redone]
+            if not todo:
+                continue
+            _note(spark, base, layer, dict.fromkeys(todo))  # until it is finished
+            lake = Lake(spark, base, todo)
+            build(lake)
+            audit += lake.audit
+            if layer == "bronze":  # what was stored, which may be newer than what was looked at
+                made_from |= month_fingerprints({table: lake.read("bronze", table) for table in RAW_TYPES}, todo)
+            _note(spark, base, layer, {day: made_from[day] + suffix for day in todo})
+    return spark.createDataFrame(audit, AUDIT_SCHEMA)

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime as dt
+from dataclasses import dataclass
+from functools import reduce
 
-from riskloom.operators.durable import durable
-from riskloom.operators.indexing import string_index
-from riskloom.operators.joins import spread_left_join
+from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import functions as F
+
+from riskloom.operators.durable import BROADCAST_BYTES, ROW_OVERHEAD, durable
+from riskloom.operators.indexing import COLUMN, COUNT, VALUE, label_counts, string_index
+from riskloom.operators.joins import MIN_HOT_ROWS, repeated_keys, spread_left_join
 from riskloom.operators.projection import classify_columns, fill_columns, select_except
 from riskloom.schemas import KEYS, SNAPSHOT
 
@@ -26,10 +31,81 @@ def join_attributes(df: DataFrame, attributes: DataFrame, hot="auto") -> DataFra
 
 
 def joined_features(
-    financials: DataFrame, clickstream: DataFrame, attributes: DataFrame, hot="auto"
+    financials: DataFrame, clickstream: DataFrame, attributes: DataFrame, hot="auto", unique=(2,)
 ) -> DataFrame:
     """Both joins over one shuffle of the financials."""
-    return spread_left_join(financials, [clickstream, attributes], KEYS, hot, unique=[2])
+    return spread_left_join(financials, [clickstream, attributes], KEYS, hot, unique=unique)
+
+
+@dataclass(frozen=True)
+class Repeated:
+    """Stored keys that a feature table has several times, with the rows of each table."""
+
+    keys: DataFrame
+    names: list[str]
+    n: int
+    most: dict[str, int]  # rows of the most frequent key
+    months: list[dt.date]
+
+    def weigh(self, df: DataFrame, names: list[str]) -> tuple[DataFrame, Column]:
+        """``df`` with the counts of its keys, and how often a row occurs once joined with ``names``."""
+        if not self.n:
+            return df, F.lit(1).cast("long")
+        small = self.n * ROW_OVERHEAD * len(self.names) <= BROADCAST_BYTES
+        joined = df.join(F.broadcast(self.keys) if small else self.keys, KEYS, "left")
+        times = [F.greatest(F.coalesce(f"_{name}", F.lit(1)), F.lit(1)) for name in names]
+        return joined, reduce(Column.__mul__, times, F.lit(1).cast("long"))
+
+
+def find_repeated(features: dict[str, DataFrame]) -> Repeated:
+    found = repeated_keys({f"_{name}": df for name, df in features.items()}, KEYS)
+    seen = Observation()
+    most = [F.max(f"_{name}").alias(name) for name in features]
+    found = durable(found.observe(seen, F.count("*").alias("_n"), F.collect_set(SNAPSHOT).alias("_months"), *most), "repeated")
+    got = seen.get
+    return Repeated(found, list(features), got["_n"], {name: got[name] or 0 for name in features}, sorted(got["_months"]))
+
+
+def joined_label_counts(
+    financials: DataFrame,
+    features: dict[str, DataFrame],
+    columns: list[str],
+    repeated: Repeated,
+    by: str = SNAPSHOT,
+    report: Observation | None = None,
+) -> DataFrame:
+    """``label_counts`` of the joined table without joining it.
+
+    A row of the financials counts as often as the feature rows of its key say, a row of a
+    feature table as often as the financials have its key (times the other tables' rows).
+    ``report`` observes, while this runs, which financial rows the join multiplies.
+    """
+    wide = dict.fromkeys([*KEYS, by])
+    values = [F.col(c) if c in financials.columns else F.lit(None).cast("string").alias(c) for c in columns]
+    rows, weight = repeated.weigh(financials.select(*wide, *values), repeated.names)
+    weighted = rows.withColumn("_weight", weight)
+    if report is not None:
+        weighted = weighted.observe(report, *_multiplied(repeated))
+    counts = label_counts(weighted, columns, by, "_weight")
+    met = financials.dropna(subset=KEYS).groupBy(*wide).agg(F.count("*").alias("_rows"))
+    for name, feature in features.items():
+        own = [c for c in columns if c in feature.columns and c not in financials.columns]
+        if not own:
+            continue
+        matched = feature.select(*KEYS, *own).join(met, KEYS)
+        rows, weight = repeated.weigh(matched, [other for other in repeated.names if other != name])
+        counts = counts.unionByName(label_counts(rows.withColumn("_weight", weight * F.col("_rows")), own, by, "_weight"))
+    return counts.groupBy(COLUMN, by, VALUE).agg(F.sum(COUNT).alias(COUNT))
+
+
+def _multiplied(repeated: Repeated) -> list[Column]:
+    """Per month and feature table, the financial rows that meet several rows."""
+    metrics = [F.count("*").alias("rows")]
+    if repeated.n:
+        for i, month in enumerate(repeated.months):
+            here = F.col(SNAPSHOT) == F.lit(month)
+            metrics += [F.count_if(here & (F.col(f"_{name}") > 1)).alias(f"{name}_{i}") for name in repeated.names]
+    return metrics
 
 
 def combined_features(
@@ -38,17 +114,36 @@ def combined_features(
     attributes: DataFrame,
     hot="auto",
     index_by: str = SNAPSHOT,
-    cluster: bool = False,
+    fan_out: list[tuple] | None = None,
 ) -> DataFrame:
     """The model table: numeric gaps 0, text columns indexed by frequency within the month.
 
-    The joined rows are written once to the shared folder, in month order, so the sources
-    are read once for the label counts and the result, and a write by month that follows
-    needs no shuffle of its own.
+    The labels are counted on the narrow sources, weighted by what the joins will make of
+    their rows, so the wide joined rows exist once, in the result. ``fan_out`` receives
+    (month, feature table, repeated keys, financial rows they multiply) of the joins.
     """
-    joined = joined_features(financials, clickstream, attributes, hot)
-    joined = durable(joined.hint("rebalance", SNAPSHOT) if cluster else joined, "joined-features")
+    features = {"clickstream": clickstream, "attributes": attributes}
+    repeated = find_repeated(features)
+    # A key is no hot key of a feature table unless it is repeated that often there.
+    unique = [i for i, name in enumerate(features, start=1) if repeated.most[name] <= MIN_HOT_ROWS]
+    joined = joined_features(financials, clickstream, attributes, hot, unique)
     categorical, numeric = classify_columns(joined, KEYS)
-    filled = fill_columns(joined, numeric, 0)
-    indexed = string_index(filled, [c for c in categorical if c not in UNINDEXED], index_by)
-    return select_except(indexed, DROPPED)
+    indexed = [c for c in categorical if c not in UNINDEXED]
+    report = Observation()
+    counts = joined_label_counts(financials, features, indexed, repeated, index_by, report)
+    out = string_index(fill_columns(joined, numeric, 0), indexed, index_by, counts=counts)
+    if fan_out is not None:
+        fan_out += _fan_out_rows(repeated, report.get)
+    return select_except(out, DROPPED)
+
+
+def _fan_out_rows(repeated: Repeated, seen: dict) -> list[tuple]:
+    if not repeated.n:
+        return []
+    several = [F.count_if(F.col(f"_{name}") > 1).alias(name) for name in repeated.names]
+    keys = {row[SNAPSHOT]: row for row in repeated.keys.groupBy(SNAPSHOT).agg(*several).collect()}
+    return [
+        (month, name, keys[month][name], seen[f"{name}_{i}"])
+        for i, month in enumerate(repeated.months)
+        for name in repeated.names
+    ]

@@ -13,7 +13,13 @@ from pyspark.sql import functions as F
 from riskloom.functions import cleaning as clean
 from riskloom.functions import financials as rules
 from riskloom.operators.projection import enforce_schema, select_except
-from riskloom.operators.vocabulary import THRESHOLD, loan_type_columns, one_hot_loans, with_loan_types
+from riskloom.operators.vocabulary import (
+    THRESHOLD,
+    StoredVocabulary,
+    loan_type_columns,
+    one_hot_loans,
+    with_loan_types,
+)
 from riskloom.schemas import CUSTOMER, DATE, FINANCIALS_CLEAN, FINANCIALS_SILVER, SNAPSHOT, STRING
 
 # The permitted range of each field.
@@ -81,14 +87,17 @@ def financials_silver(raw: DataFrame) -> DataFrame:
 
 
 def financials_gold(
-    silver: DataFrame, loan_types: list[str] | DataFrame | None = None, threshold: int = THRESHOLD
+    silver: DataFrame,
+    loan_types: list[str] | DataFrame | StoredVocabulary | None = None,
+    threshold: int = THRESHOLD,
+    wide: bool = False,
 ) -> DataFrame:
     """Debt ratio, behaviour score and the loan types of each row.
 
     A list of ``loan_types`` asks for one 0/1 column per type, alike in every month. By
     default the types of each month are counted from ``silver``, or taken from a frame of
-    ``loan_type_columns``, and kept as the array ``Loan_Types``, which holds any number;
-    ``widen_loan_types`` makes columns of it.
+    ``loan_type_columns``, and kept as the array ``Loan_Types``, which holds any number.
+    ``wide`` asks for the month's 0/1 columns instead, NULL where the month lacks the type.
     """
     scored = silver.withColumns(
         {
@@ -98,7 +107,7 @@ def financials_gold(
             ),
         }
     )
-    if isinstance(loan_types, list):
-        return select_except(one_hot_loans(scored, loan_types), TEMPORARY)
     vocabulary = loan_type_columns(silver, threshold) if loan_types is None else loan_types
+    if wide or isinstance(vocabulary, list):
+        return select_except(one_hot_loans(scored, vocabulary), TEMPORARY)
     return select_except(with_loan_types(scored, vocabulary), TEMPORARY)

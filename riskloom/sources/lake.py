@@ -1,7 +1,8 @@
 """Layered Parquet tables, one directory per month.
 
 A write replaces the months it is run for and leaves the others alone, so a backfill
-can be repeated. Reads prune to the months asked for.
+can be repeated. Reads prune to the months asked for and have all columns of these months,
+which are recorded by every write (``riskloom.sources.columns``).
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import types as T
 
 from riskloom.operators.snapshots import as_dates, audit_counts, slice_snapshot
 from riskloom.schemas import SNAPSHOT
+from riskloom.sources.columns import record_columns, recorded_columns
 
 
 def table_path(base: str, layer: str, table: str) -> str:
@@ -36,22 +38,26 @@ def write_layer(
     ones. Frames that come straight from a lake scan need no such shuffle.
 
     With ``snapshots`` given, a month that has no rows any more is emptied, and the rows
-    are counted from the footers of the files just written.
+    are counted from the footers of the files just written. The columns of the months are
+    recorded before their rows, so that no reader misses a column.
     """
+    spark = df.sparkSession
     path = table_path(base, layer, table)
+    if snapshots is not None:
+        record_columns(spark, path, df.schema, as_dates(snapshots))
     if rebalance:
         df = df.hint("rebalance", SNAPSHOT)
     months = Observation()
-    if snapshots is not None:
-        df = df.observe(months, F.collect_set(SNAPSHOT).alias("written"))
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    observed = df.observe(months, F.collect_set(SNAPSHOT).alias("written"))
+    writer = observed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(SNAPSHOT).parquet(path)
+    written = set(months.get["written"])
     if snapshots is None:
+        record_columns(spark, path, df.schema, written)
         return {}
-    written = set(months.get["written"])
     days = as_dates(snapshots)
     _empty_months(df, path, [day for day in days if day not in written])
-    stored = slice_snapshot(df.sparkSession.read.schema(df.schema).parquet(path), sorted(written))
+    stored = slice_snapshot(spark.read.schema(df.schema).parquet(path), sorted(written))
     counts = {row[SNAPSHOT]: row.n for row in audit_counts(stored, table).collect()}
     return {day: counts.get(day, 0) for day in days}
 
@@ -81,8 +87,14 @@ def read_layer(
     snapshots: Iterable | None = None,
     schema: T.StructType | None = None,
 ) -> DataFrame:
-    """Scan a table; with ``snapshots`` only those directories. ``schema`` names columns
-    that some months may lack; there they are NULL."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    df = reader.parquet(table_path(base, layer, table))
-    return df if snapshots is None else slice_snapshot(df, snapshots)
+    """Scan a table; with ``snapshots`` only those directories.
+
+    The columns are those recorded for the months, or ``schema``; they are NULL in months that
+    lack them. Tables that others wrote have no record; their footers are merged.
+    """
+    path = table_path(base, layer, table)
+    days = None if snapshots is None else as_dates(snapshots)
+    schema = schema or recorded_columns(spark, path, days)
+    reader = spark.read.option("mergeSchema", True) if schema is None else spark.read.schema(schema)
+    df = reader.parquet(path)
+    return df if days is None else slice_snapshot(df, days)

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from concurrent.futures import ThreadPoolExecutor
+import csv
+from collections.abc import Iterator, Mapping
 from functools import reduce
+from itertools import islice
 from urllib.parse import unquote
 
-from pyspark import inheritable_thread_target
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.operators.projection import enforce_schema
@@ -22,21 +25,72 @@ RAW_TYPES = {
 }
 # Sources whose file may lack a snapshot column; then the file holds for every month.
 OPTIONAL_SNAPSHOT = {"clickstream", "attributes", "financials"}
-HEADER_READERS = 16
+CHUNK = 1 << 16  # bytes of a file that are read at a time
+FILES_PER_TASK = 64
 
 
-def files_by_header(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
-    """Files below ``path`` grouped by their header line, which is all that is read of them."""
-    files = sorted(unquote(file) for file in spark.read.text(path).inputFiles())
+def _from_start(files: DataFrame) -> DataFrame:
+    """(file, header): the first line with anything on it. NULL: the task cannot open the file."""
+
+    def first_line(file: str) -> str | None:
+        try:
+            filesystem, place = fs.FileSystem.from_uri(file)
+            with filesystem.open_input_stream(place) as stream:  # unpacks by extension
+                rest = b""
+                while chunk := stream.read(CHUNK):
+                    lines = (rest + chunk).splitlines(keepends=True)
+                    rest = b"" if lines[-1].endswith((b"\n", b"\r")) else lines.pop()
+                    for line in lines:
+                        if line.strip():
+                            return line.rstrip(b"\r\n").decode("utf-8", "replace")
+                return rest.decode("utf-8", "replace")
+        except (OSError, ImportError, pa.ArrowException):
+            return None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lines = [first_line(file) for file in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_pydict({"file": batch.column(0), "header": pa.array(lines, pa.string())})
+
+    return files.mapInArrow(run, "file string, header string")
+
+
+def _by_scan(spark: SparkSession, files: list[str]) -> list:
+    """The same by a scan of the files' first blocks, for stores that only Spark opens."""
+    text = spark.read.text([unquote(file) for file in files])
+    lines = text.select(F.col("_metadata.file_path").alias("file"), "_metadata.file_block_start", "value")
+    lines = lines.where((F.col("file_block_start") == 0) & F.col("value").rlike(r"[^\x00-\x20]"))
+    placed = lines.withColumn("place", F.monotonically_increasing_id())  # a first block is one task's, in order
+    return placed.groupBy("file").agg(F.min_by("value", "place").alias("header")).collect()
 
-    def header(file: str) -> tuple[str, ...]:
-        return tuple(spark.read.option("header", True).option("inferSchema", False).csv(file).columns)
 
+def headers(spark: SparkSession, path: str) -> list:
+    """(file, header) of every file below ``path`` that has a line, by a job whose tasks read the
+    starts of some files each."""
+    files = spark.read.text(path).inputFiles()
+    listed = spark.createDataFrame([(file,) for file in files], "file string")
+    found = _from_start(listed.repartition(-(-len(files) // FILES_PER_TASK) or 1)).collect()
+    if unopened := [row.file for row in found if row.header is None]:
+        found = [row for row in found if row.header is not None] + _by_scan(spark, unopened)
+    return [row for row in found if row.header.strip()]
+
+
+def column_names(header: str) -> tuple[str, ...]:
+    """The columns of a header line, named as Spark's CSV reader names them: an empty name
+    becomes its position, a name that occurs again (in any case) gets its position added."""
+    (cells,) = islice(csv.reader([header.removeprefix("\ufeff")], escapechar="\\", doublequote=False), 1)
+    lowered = [cell.lower() for cell in cells]
+    return tuple(
+        f"_c{i}" if not cell else f"{cell}{i}" if lowered.count(cell.lower()) > 1 else cell for i, cell in enumerate(cells)
+    )
+
+
+def files_by_header(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """Files below ``path`` grouped by their columns. A file without a line is in no group, as
+    it has no rows either."""
     groups: dict[tuple[str, ...], list[str]] = {}
-    with ThreadPoolExecutor(max_workers=HEADER_READERS) as pool:
-        for file, columns in zip(files, pool.map(inheritable_thread_target(spark)(header), files)):
-            if columns:  # a file without a line has no rows either
-                groups.setdefault(columns, []).append(file)
+    for row in sorted(headers(spark, path), key=lambda row: row.file):
+        groups.setdefault(column_names(row.header), []).append(unquote(row.file))
     return groups
 
 
@@ -62,7 +116,8 @@ def read_raw(
         wanted = {name: dtype for name, dtype in types.items() if name in columns}
         if prefix:
             wanted |= {name: T.DoubleType() for name in columns if name.startswith(prefix)}
-        text = spark.read.option("header", True).option("inferSchema", False).csv(files)
+        as_text = T.StructType([T.StructField(name, T.StringType()) for name in columns])
+        text = spark.read.schema(as_text).option("header", True).csv(files)
         parts.append(enforce_schema(text.select(*wanted), wanted))
     if not parts:
         raise ValueError(f"{path} has no file with a header")

@@ -1,7 +1,9 @@
 """DataFrame operators on small frames, checked against plain Python."""
 
 import datetime as dt
+import gzip
 from collections import Counter
+from urllib.parse import unquote
 
 import pytest
 from pyspark.sql import functions as F
@@ -360,3 +362,106 @@ def test_scratch_goes_with_its_scope(spark):
         assert spark.read.parquet(path).count() == 3
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         spark.read.parquet(path)
+
+
+# --- shared index model -----------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("route", [{}, {"map_labels": 0}, {"broadcast_bytes": 0}])
+def test_index_model_equals_the_estimator(spark, route):
+    from pyspark.ml.feature import StringIndexer
+
+    from riskloom.plans.index_model import IndexModel
+
+    months = [dt.date(2023, m, 1) for m in (1, 2, 3)]
+    rows = [(months[i % 2], f"v{i % 7 % (i % 5 + 1)}", ["a", "", None, "b"][i % 4]) for i in range(200)]
+    fit = spark.createDataFrame(rows, "snapshot_date date, x string, y string")
+    new = [(months[2], x, y) for x in ("v0", "v1", "v6", "unseen", None) for y in ("a", "", "b", None, "c")]
+    apply = spark.createDataFrame(new, fit.schema)
+    columns = ["x", "y"]
+    model = IndexModel.fit(fit, columns)
+    for handle in ("keep", "skip"):
+        indexer = StringIndexer(inputCols=columns, outputCols=["x_index", "y_index"], handleInvalid=handle)
+        want = indexer.fit(fit.dropna()).transform(apply) if handle == "skip" else indexer.fit(fit).transform(apply)
+        got = model.transform(apply, handle, **route)
+        if handle == "keep":
+            assert Counter(map(tuple, got.collect())) == Counter((r[0], r[1], r[2], int(r[3]), int(r[4])) for r in want.collect())
+        else:
+            assert {(r.x, r.y) for r in got.collect()} == {(r.x, r.y) for r in want.collect()}
+    with pytest.raises(Exception, match="no label of"):
+        model.transform(apply, "error", **route).collect()
+    seen = apply.where("x IN ('v0', 'v1') AND y IN ('a', 'b')")
+    assert Counter(map(tuple, model.transform(seen, "error", **route).collect())) == Counter(
+        map(tuple, model.transform(seen, "keep", **route).collect())
+    )
+    with pytest.raises(ValueError, match="unknown way"):
+        model.transform(apply, "drop")
+
+
+def test_index_model_grows_by_months(spark, tmp_path):
+    from riskloom.plans.index_model import IndexModel
+
+    jan, feb, mar = (dt.date(2023, m, 1) for m in (1, 2, 3))
+    frame = lambda *rows: spark.createDataFrame(list(rows), "snapshot_date date, x string")
+    first = frame((jan, "a"), (jan, "a"), (feb, "b"), (None, "c"))
+    IndexModel.fit(first, ["x"]).save(str(tmp_path), "m")
+    stored = IndexModel.load(spark, str(tmp_path), "m", ["x"])
+    grown = stored.merge(IndexModel.fit(frame((feb, "b"), (feb, "b"), (feb, "b"), (mar, "d")), ["x"]))
+    table = lambda model: {r.value: (r.n, r.code) for r in model.labels().collect()}
+    assert table(stored) == {"a": (2, 0), "b": (1, 1), "c": (1, 2)}
+    assert table(grown) == {"b": (3, 0), "a": (2, 1), "c": (1, 2), "d": (1, 3)}
+    assert table(grown.merge(IndexModel.fit(frame(), ["x"]), [feb])) == {"a": (2, 0), "c": (1, 1), "d": (1, 2)}
+    grown.save(str(tmp_path), "m", [mar])
+    assert table(IndexModel.load(spark, str(tmp_path), "m", ["x"], [jan, mar])) == {"a": (2, 0), "d": (1, 1)}
+    empty = IndexModel.fit(frame(), ["x"]).transform(first)
+    assert {r.x_index for r in empty.collect()} == {0}
+
+
+# --- raw headers --------------------------------------------------------------------------------
+
+
+HEADERS = ["a,b,c", '"a","b, x",c', "a,,c", "a,A,b", "\ufeffa,b", 'a,"q\\"z",c', " a ,b ", "a,b,a,", "\u00e9,\u00fc", "a"]
+
+
+def test_headers_are_named_as_the_reader_names_them(spark, tmp_path):
+    from riskloom.sources import raw
+
+    for i, header in enumerate(HEADERS):
+        (tmp_path / f"f {i}%x.csv").write_text("\n\n" + header + "\n1,2,3,4\n", encoding="utf-8")
+    with gzip.open(tmp_path / "z.csv.gz", "wt") as file:
+        file.write("a,packed\n1,2\n")
+    (tmp_path / "empty.csv").write_text("")
+    (tmp_path / "blank.csv").write_text("\n \n\n")
+    (tmp_path / "unended.csv").write_text("a,unended")
+    (tmp_path / "long.csv").write_text(",".join(f"column_{i}" for i in range(20_000)) + "\n1\n")
+    files = [unquote(file) for file in spark.read.text(str(tmp_path)).inputFiles()]
+    want = {file.split("/")[-1]: tuple(spark.read.option("header", True).csv(file).columns) for file in files}
+    want = {file: columns for file, columns in want.items() if columns}
+    groups = raw.files_by_header(spark, str(tmp_path))
+    assert {file.split("/")[-1]: columns for columns, own in groups.items() for file in own} == want
+    # The way for stores that only Spark opens finds the same.
+    scanned = {row.file: raw.column_names(row.header) for row in raw._by_scan(spark, spark.read.text(str(tmp_path)).inputFiles())}
+    assert {unquote(file).split("/")[-1]: columns for file, columns in scanned.items()} == want
+
+
+def test_headers_of_many_files_are_one_job(spark, tmp_path):
+    from riskloom.sources import raw
+
+    for i in range(300):
+        (tmp_path / f"{i}.csv").write_text(("a,b\n" if i % 2 else "b,a\n") + "1,2\n")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("headers", "headers")
+    groups = raw.files_by_header(spark, str(tmp_path))
+    jobs = len(tracker.getJobIdsForGroup("headers"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert {columns: len(files) for columns, files in groups.items()} == {("a", "b"): 150, ("b", "a"): 150}
+    assert jobs <= 3  # listing, shuffle, headers
+
+
+def test_latest_with_counts_keeps_the_same_rows(spark):
+    rows = [(c, d, n, a) for c in ("x", None) for d in (dt.date(2023, 1, 1), dt.date(2023, 2, 1), None) for n in ("b", None, "a") for a in ("1", None)]
+    df = spark.createDataFrame(rows, "Customer_ID string, snapshot_date date, Name string, Age string")
+    for options in ({}, {"run_date": dt.date(2023, 1, 1)}, {"scope": "all"}):
+        kept = dedup.latest_with_counts(df, **options)
+        assert Counter(map(tuple, kept.drop("n_rows").collect())) == Counter(map(tuple, dedup.latest_per_customer(df, **options).collect()))
+        assert kept.agg({"n_rows": "sum"}).first()[0] == len(rows)

@@ -198,6 +198,32 @@ def test_month_that_lost_its_rows_is_emptied(spark, tmp_path):
     assert bag(read_layer(spark, str(tmp_path), "silver", "t").select("id")) == Counter([(1,)])
 
 
+def test_reads_have_the_columns_of_all_their_months(spark, tmp_path):
+    base = str(tmp_path)
+    write_layer(spark.createDataFrame([(1, 5, JAN)], "id int, fe_1 int, snapshot_date date"), base, "gold", "t", [JAN])
+    wider = spark.createDataFrame([(2, 2.5, "x", FEB)], "id int, fe_1 double, FE_2 string, snapshot_date date")
+    write_layer(wider, base, "gold", "t", [FEB])
+    both = read_layer(spark, base, "gold", "t")
+    assert both.dtypes == [("id", "int"), ("fe_1", "double"), ("FE_2", "string"), ("snapshot_date", "date")]
+    assert bag(both.select("id", "fe_1", "fe_2")) == Counter([(1, 5.0, None), (2, 2.5, "x")])
+    assert read_layer(spark, base, "gold", "t", [JAN]).dtypes == [("id", "int"), ("fe_1", "int"), ("snapshot_date", "date")]
+    # A month that is written again has its new columns alone.
+    write_layer(wider.drop("FE_2"), base, "gold", "t", [FEB])
+    assert "FE_2" not in read_layer(spark, base, "gold", "t").columns
+    text = spark.createDataFrame([(3, "no number", MAR)], "id int, fe_1 string, snapshot_date date")
+    with pytest.raises(ValueError, match="fe_1"):
+        write_layer(text, base, "gold", "t", [MAR])
+    assert read_layer(spark, base, "gold", "t").count() == 2
+
+
+def test_tables_without_a_record_of_columns(spark, tmp_path):
+    """Months that another program wrote: their footers are merged."""
+    spark.createDataFrame([(1, JAN)], "a int, snapshot_date date").write.partitionBy("snapshot_date").parquet(f"{tmp_path}/gold/t")
+    more = spark.createDataFrame([(2, FEB)], "b int, snapshot_date date")
+    more.write.mode("append").partitionBy("snapshot_date").parquet(f"{tmp_path}/gold/t")
+    assert bag(read_layer(spark, str(tmp_path), "gold", "t").select("a", "b")) == Counter([(1, None), (None, 2)])
+
+
 def test_read_prunes_months(spark, tmp_path):
     df = spark.createDataFrame([(1, JAN), (2, FEB)], "id int, snapshot_date date")
     write_layer(df, str(tmp_path), "silver", "t")
@@ -265,7 +291,8 @@ def test_backfill(spark, sources, tmp_path):
     raw = write_csvs(spark, sources, f"{tmp_path}/raw")
     base = f"{tmp_path}/lake"
     audit = {tuple(r)[:3]: r.n for r in backfill(spark, raw, base, "2023-01-10", "2023-03-05", threshold=5).collect()}
-    assert len(audit) == 15 * 3
+    assert len(audit) == 19 * 3
+    assert audit["audit", "attributes_repeated_keys", JAN] == 0
     assert audit["audit", "duplicate_customers", JAN] == audit["audit", "duplicate_ssn", JAN] == 0
     assert audit["bronze", "loans", JAN] == 1 and audit["gold", "label_store", FEB] == 0
     assert audit["silver", "financials", JAN] == 40 and audit["gold", "combined", FEB] == 20
@@ -317,3 +344,92 @@ def test_fixed_loan_types_and_months_without_any_row(spark, sources, tmp_path):
     features = read_features(spark, base, snapshots=[FEB], wide=True)
     assert {"Loan_Auto_Loan", "Loan_Pay_Loan", "fe_1"} <= set(features.columns) and features.count() == 20
     assert steps.Lake(spark, base, [FEB]).read("gold", "label_store").count() == 0
+
+
+def test_two_runs_with_other_click_columns(spark, sources, tmp_path):
+    fins, clicks, attrs = sources
+    base = f"{tmp_path}/lake"
+    backfill(spark, write_csvs(spark, sources, f"{tmp_path}/raw1"), base, JAN, JAN, threshold=5)
+    newer = clicks.withColumn("snapshot_date", F.lit(FEB)).withColumn("fe_9", F.lit(4.0))
+    backfill(spark, write_csvs(spark, (fins, newer, attrs), f"{tmp_path}/raw2"), base, FEB, FEB, threshold=5)
+    for features in (read_features(spark, base), read_features(spark, base, wide=True)):
+        values = features.groupBy("snapshot_date").agg(F.max("fe_9").alias("most"), F.max("fe_1").alias("one")).collect()
+        assert {r.snapshot_date: r.most for r in values} == {JAN: None, FEB: 4.0} and all(r.one is not None for r in values)
+    assert "fe_9" in read_layer(spark, base, "silver", "clickstream").columns
+    assert "fe_9" not in read_layer(spark, base, "silver", "clickstream", [JAN]).columns
+
+
+def test_resumed_backfill(spark, sources, tmp_path, monkeypatch):
+    raw = write_csvs(spark, sources, f"{tmp_path}/raw")
+    base = f"{tmp_path}/lake"
+    whole = f"{tmp_path}/whole"
+    run = lambda where=base: {tuple(r)[:3]: r.n for r in backfill(spark, raw, where, JAN, MAR, threshold=5, resume=True).collect()}
+
+    def lost(*args, **kwargs):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:  # stopped between silver and gold
+        patch.setattr(steps, "build_gold", lost)
+        with pytest.raises(RuntimeError, match="lost"):
+            run()
+    assert {layer for layer, *_ in run()} == {"gold", "audit"}
+    assert run() == {}
+
+    fins, clicks, attrs = sources  # one row of one month arrives
+    fins.where(F.col("snapshot_date") == F.lit(FEB)).limit(1).write.mode("append").csv(raw["financials"], header=True)
+    again = run()
+    assert {day for _, _, day in again} == {FEB} and {layer for layer, *_ in again} == {"bronze", "silver", "gold", "audit"}
+    assert again["gold", "financials", FEB] == 21
+
+    with monkeypatch.context() as patch:  # stopped in the middle of silver
+        patch.setattr(steps, "financials_silver", lost)
+        fins.where(F.col("snapshot_date") == F.lit(JAN)).limit(2).write.mode("append").csv(raw["financials"], header=True)
+        with pytest.raises(RuntimeError, match="lost"):
+            run()
+    assert {(layer, day) for layer, _, day in run() if layer != "audit"} == {("silver", JAN), ("gold", JAN)}
+    backfill(spark, raw, whole, JAN, MAR, threshold=5)
+    for table in ("combined", "financials", "label_store"):
+        fresh = read_layer(spark, whole, "gold", table)
+        assert bag(read_layer(spark, base, "gold", table).select(*fresh.columns)) == bag(fresh)
+    # Other settings concern gold alone.
+    changed = backfill(spark, raw, base, JAN, MAR, threshold=6, resume=True).collect()
+    assert {r.layer for r in changed} == {"gold", "audit"} and {r.snapshot_date for r in changed} == {JAN, FEB, MAR}
+
+
+def test_fingerprints_see_rows_and_values(spark):
+    schema = "a string, b string, snapshot_date date"
+    prints = lambda *rows: steps.month_fingerprints({"t": spark.createDataFrame(list(rows), schema)}, [JAN])[JAN]
+    base = prints(("x", None, JAN), ("y", "z", JAN))
+    assert base == prints(("y", "z", JAN), ("x", None, JAN))
+    wider = spark.createDataFrame([("x", None, JAN, None), ("y", "z", JAN, None)], f"{schema}, c string")
+    assert base == steps.month_fingerprints({"t": wider}, [JAN])[JAN]
+    others = [prints((None, "x", JAN), ("y", "z", JAN)), prints(("x", None, JAN)), prints(("x", None, JAN), ("x", None, JAN), ("y", "z", JAN))]
+    assert len({base, *others}) == 4
+
+
+def test_label_counts_of_the_joins(spark, sources):
+    """Counted on the narrow tables: what the joined rows have, repeated keys and gaps included."""
+    from riskloom.operators.indexing import label_counts, rank_labels
+    from riskloom.plans import combined as steps_of
+
+    fins, clicks, attrs = sources
+    gold = financials_gold(financials_silver(fins), [])
+    gold = gold.withColumn("Customer_ID", F.when(F.col("Num_of_Loan") != 3, F.col("Customer_ID")))
+    attributes = attributes_gold(attributes_silver(attrs))
+    twice = clickstream_gold(clickstream_silver(clicks)).withColumn("kind", F.concat(F.lit("k"), F.col("Customer_ID")))
+    twice = twice.unionAll(twice).unionAll(twice.limit(3))
+    for side in (twice, twice.dropDuplicates(["Customer_ID", "snapshot_date"])):
+        features = {"clickstream": side, "attributes": attributes}
+        joined = steps_of.joined_features(gold, side, attributes)
+        columns = ["Credit_Mix", "Payment_Behaviour", "Age_Group", "Occupation", "kind"]
+        counts = steps_of.joined_label_counts(gold, features, columns, steps_of.find_repeated(features))
+        known = lambda df: bag(df.where("value IS NOT NULL").select("column_name", "snapshot_date", "value", "n"))
+        plain = label_counts(joined, columns)
+        assert known(counts) == known(plain)
+        ranks = [bag(rank_labels(c).join(plain.select("column_name", "snapshot_date", "value"), ["column_name", "snapshot_date", "value"])) for c in (counts, plain)]
+        assert ranks[0] == ranks[1]
+        report = []
+        steps_of.combined_features(gold, side, attributes, fan_out=report)
+        n = side.groupBy("Customer_ID", "snapshot_date").count().where("count > 1")
+        assert sum(r[2] for r in report if r[1] == "clickstream") == n.count()
+        assert sum(r[3] for r in report) == gold.join(n, ["Customer_ID", "snapshot_date"]).count()
