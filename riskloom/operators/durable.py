@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -21,13 +22,19 @@ def broadcast_size(text: str) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names, else one in the warehouse.
+    """The folder that ``spark.checkpoint.dir`` names; where it is unset, one in the warehouse.
 
-    All executors and the driver share both; no machine-local folder is ever used.
+    All executors and the driver must share it. A warehouse on the driver's own disk is taken
+    by local sessions only.
     """
     context = spark.sparkContext
     named = spark.conf.get(CHECKPOINT_DIR, None) or context.getConf().get(CHECKPOINT_DIR)
-    return (named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch").rstrip("/")
+    if named:
+        return named.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if warehouse.startswith(("file:", "/")) and not re.fullmatch(r"local(\[.*\])?", context.master):
+        raise ValueError(f"{CHECKPOINT_DIR} must name a folder that all executors share")
+    return f"{warehouse}/_scratch"
 
 
 _SCOPE: ContextVar[str] = ContextVar("scratch scope", default="")
@@ -42,9 +49,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def durable(df: DataFrame, name: str = "table") -> DataFrame:
-    """Compute once, write to the shared folder and read back, which cuts the lineage."""
-    path = scratch_path(df.sparkSession, name)
+def durable(df: DataFrame, name: str = "table", path: str | None = None) -> DataFrame:
+    """Compute once, write to the shared folder and read back, which cuts the lineage.
+
+    ``path`` is one of ``scratch_path``, for a table that is to outlive the present scope.
+    """
+    path = path or scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -60,6 +70,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return filesystem.exists(place)
 
 
+def remove_table(spark: SparkSession, path: str) -> None:
+    """Delete a table written to a ``scratch_path``."""
+    place, filesystem = _hadoop_path(spark, path)
+    filesystem.delete(place, True)
+
+
 def remove_scratch(spark: SparkSession) -> None:
     """Delete what this application (inside a scope: the scope) kept in the shared folder.
 
