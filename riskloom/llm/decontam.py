@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.llm.shared import fresh, slices
+from riskloom.llm.shared import fresh, row_identity, slices
 from riskloom.llm.templates import caseless_template, template, tokens, window_hashes
 from riskloom.operators.durable import BROADCAST_BYTES, durable
 
@@ -223,8 +223,10 @@ def contaminated(
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", **rules) -> DataFrame:
-    """``docs`` without the rows that contain a benchmark item; columns as they came."""
+    """``docs`` without the rows that contain a benchmark item; columns, of any names and types,
+    as they came. NULL and empty texts and repeated rows stay; rows equal in all columns are
+    judged alike (``row_identity``)."""
     row = fresh("_row", docs)
-    keyed = docs.withColumn(row, F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
+    keyed = docs.withColumn(row, row_identity(docs))
     hits = durable(contaminated(keyed, benchmark, [row], text, **rules).select(row).distinct(), "contaminated")
     return keyed.join(hits, row, "left_anti").drop(row)

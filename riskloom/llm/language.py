@@ -22,7 +22,7 @@ from riskloom.llm.shared import fresh, learning_sample, slices, text_bytes
 UNKNOWN = "und"
 UNITS = 8
 DOCS_PER_LANGUAGE = 1500  # documents a language is learned from, at most
-MOST_LANGUAGES = 256
+MOST_DOCS = 400_000  # documents learned from in all, at most; every language has its share
 STEPS = 400
 LEARN_CHARACTERS = 64
 ASCII_LETTER = re.compile(rb"[A-Za-z]")
@@ -60,8 +60,9 @@ def classify(net: gru.Network, texts: list[bytes]) -> tuple[np.ndarray, np.ndarr
     total = np.zeros((len(texts), len(net.labels)))
     won = np.zeros((len(texts), len(net.labels)), np.int64)
     ids, weight, owner = windows(texts, gru.WINDOW)
-    for at in range(0, ids.shape[1], gru.BATCH):
-        part = slice(at, at + gru.BATCH)
+    size = max(1, gru.BATCH * 8 // max(len(net.labels), 8))  # fewer windows at once for many labels
+    for at in range(0, ids.shape[1], size):
+        part = slice(at, at + size)
         chance = gru.probabilities(net, np.ascontiguousarray(ids[:, part]))
         counted = weight[:, part]
         best = chance.argmax(axis=0)
@@ -83,8 +84,8 @@ def learn_languages(
 ) -> gru.Network:
     """Train on pieces of at most ``per_language`` documents per language, chosen by hash.
 
-    Two pieces of each document are taken at places that a hash chooses. At most 256
-    languages are told apart, the most frequent ones.
+    Two pieces of each document are taken at places that a hash chooses. All languages are
+    learned; where there are hundreds, each gives fewer documents (``MOST_DOCS`` in all).
     """
     rows = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(text).rlike(r"\p{L}"))
     rows = rows if where is None else rows.where(where)
@@ -94,8 +95,9 @@ def learn_languages(
         return F.substring(F.col(text), (F.pmod(F.xxhash64(order, F.lit(seed)), room) + 1).cast("int"), F.lit(LEARN_CHARACTERS))
 
     pieces = rows.select(F.col(lang).alias("lang"), F.xxhash64(order, text).alias("order"), piece(1).alias("a"), piece(2).alias("b"))
-    frequent = rows.groupBy(F.col(lang).alias("lang")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang")
-    counts = {row.lang: row.n for row in frequent.limit(MOST_LANGUAGES).collect()}
+    spoken = rows.groupBy(F.col(lang).alias("lang")).agg(F.count("*").alias("n"))
+    counts = {row.lang: row.n for row in spoken.collect()}  # a row per label value
+    per_language = max(1, min(per_language, MOST_DOCS // max(len(counts), 1)))
     order_by = [F.col("order"), F.col("a"), F.col("b")]
     found = learning_sample(pieces, "lang", per_language, counts, order_by).select("lang", "a", "b").collect()
     labels = sorted({row.lang for row in found})
@@ -146,11 +148,15 @@ def identify_languages(docs: DataFrame, net: gru.Network, keys: list[str], text:
     return docs.select(*keys, F.col(text).alias("_text")).mapInArrow(run, schema)
 
 
-def keep_identified(docs: DataFrame, net: gru.Network, least_score: float, text: str = "text") -> DataFrame:
-    """``docs`` without rows whose language is unknown or scores below ``least_score``.
+def keep_identified(docs: DataFrame, net: gru.Network, over_chance: float, text: str = "text") -> DataFrame:
+    """``docs`` without rows whose language is unknown or whose score is near that of a guess.
 
-    Rows are judged and passed on in one pass; columns stay as they came.
+    The least score is ``over_chance`` times what every language would get by chance, and a
+    half at most, so it does not depend on the number of languages. Rows are judged and passed
+    on in one pass; columns, repeated rows and NULL ids stay as they came. A NULL or empty text
+    has no language. A tie of languages goes to the first by name.
     """
+    least_score = min(0.5, over_chance / max(len(net.labels), 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text, 1 << 20):

@@ -24,7 +24,7 @@ from riskloom.operators.joins import hot_keys_from_counts, spread_left_join
 
 Rule = tuple[str, str, str]  # verdict, host, path
 DAMPING = 0.85
-ROUNDS = 20
+TOLERANCE = 1e-6  # of the whole rank, by which it may still grow between two writes
 ROUNDS_PER_WRITE = 5
 BLOCK_SHARE = 0.5
 HOT_ROWS = 10_000
@@ -71,10 +71,12 @@ def host_edges(pages: DataFrame, html: str) -> DataFrame:
     return links.unionAll(up.unionAll(down).withColumn("n", F.lit(1).cast("long"))).groupBy("src", "dst").agg(F.sum("n").alias("n"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
     """(host, trust, distrust), each normalised, from edges and seeds (host, trusted, blocked).
 
-    Both ranks are iterated in one table: ``kind`` 0 follows links, 1 follows them back.
+    Both ranks are iterated in one table: ``kind`` 0 follows links, 1 follows them back. A
+    round only ever adds to ranks, so they have settled when their sums hardly grow any more
+    and no further host is reached, however far it is from the seeds.
     """
     both = edges.select(F.lit(0).alias("kind"), "src", "dst", "n").unionAll(
         edges.select(F.lit(1).alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"), "n")
@@ -88,14 +90,21 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, roun
         seeds.select(F.lit(1).alias("kind"), "host", F.col("blocked").cast("double").alias("rank"))
     )
     start = durable(start.where("rank > 0"), "seeds")
-    ranks = start
-    for i in range(rounds if steps.head(1) else 0):
-        moved = ranks.withColumnRenamed("host", "src").join(steps, ["kind", "src"])
-        moved = moved.select("kind", F.col("dst").alias("host"), (F.col("rank") * F.col("share")).alias("rank"))
-        ranks = start.unionAll(moved).groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
-        if i % ROUNDS_PER_WRITE == ROUNDS_PER_WRITE - 1:
-            ranks = durable(ranks, "ranks")
-    totals = {row.kind: row.total for row in ranks.groupBy("kind").agg(F.sum("rank").alias("total")).collect()}
+    ranks, reached = start, {}
+    while True:
+        for _ in range(ROUNDS_PER_WRITE):
+            moved = ranks.withColumnRenamed("host", "src").join(steps, ["kind", "src"])
+            moved = moved.select("kind", F.col("dst").alias("host"), (F.col("rank") * F.col("share")).alias("rank"))
+            ranks = start.unionAll(moved).groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
+        ranks = durable(ranks, "ranks")
+        sums = ranks.groupBy("kind").agg(F.sum("rank").alias("total"), F.count("*").alias("hosts")).collect()
+        before, reached = reached, {row.kind: (row.total, row.hosts) for row in sums}
+        if all(
+            kind in before and before[kind][1] == hosts and total - before[kind][0] <= tolerance * total
+            for kind, (total, hosts) in reached.items()
+        ):
+            break
+    totals = {kind: total for kind, (total, _) in reached.items()}
 
     def normal(kind: int) -> Column:
         return F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("rank"))), F.lit(0.0)) / F.lit(totals.get(kind) or 1.0)

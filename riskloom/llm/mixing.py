@@ -30,6 +30,8 @@ from riskloom.operators.durable import durable
 
 Schedule = Sequence[tuple[float, float]]
 ROWS_PER_BUCKET = 512
+FULL_BUCKET = 16  # times the rows of a bucket that only repeated ids bring together
+COPIES_PER_TASK = 10_000
 MOST_DIGITS = 4  # at most 16^4 buckets per source, which one task adds up
 # The first source starts strong and fades, the third gains; their integrals are 5, 2, 1.
 SCHEDULES: list[Schedule] = [[(0.0, 7.5), (1.0, 2.5)], [(0.0, 2.0), (1.0, 2.0)], [(0.0, 0.5), (1.0, 1.5)]]
@@ -84,6 +86,15 @@ def _position(schedule: Schedule, share: Column) -> Column:
     return out
 
 
+def _apart(placed: DataFrame) -> DataFrame:
+    """A row for each copy, each behind the copies before it; many copies are dealt over tasks."""
+    blocks = F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(COPIES_PER_TASK).cast("long"))
+    dealt = placed.withColumn("first", F.explode(blocks)).repartition("key", "order", "size", "first")
+    last = F.least(F.col("first") + COPIES_PER_TASK, F.col("copies")) - 1
+    one = dealt.withColumn("copy", F.explode(F.sequence(F.col("first"), last)))
+    return one.withColumn("before", F.col("before") + F.col("copy") * F.col("size"))
+
+
 def mix_sources(
     docs: DataFrame,
     schedules: Sequence[Schedule] = SCHEDULES,
@@ -98,8 +109,9 @@ def mix_sources(
     One row per document. ``taken`` counts the words the mix takes, repeats included;
     positions are NULL where a pass does not reach the document. A NULL text and a text of
     white space have size 0 and are placed but give no words. A NULL source is a source.
-    Rows with the same id follow each other by size; whole repeats count each. No rows give
-    no rows.
+    Rows with the same id follow each other by size; whole repeats count each, and stand for
+    one row of the running totals where an id is frequent. Other columns are not looked at. No
+    rows give no rows.
     """
     words = docs.select(
         F.col(id_column).alias("id"),
@@ -116,8 +128,16 @@ def mix_sources(
             "bucket": F.substring("order", 1, digits),
         }
     )
-    buckets = keyed.groupBy("key", "bucket").agg(F.sum("size").alias("words"), F.first("source").alias("source"))
+    buckets = keyed.groupBy("key", "bucket").agg(
+        F.sum("size").alias("words"), F.first("source").alias("source"), F.count("*").alias("rows")
+    )
     buckets = durable(buckets, "buckets")
+    # Hashing spreads ids, not the rows of one id: only repeated ids fill a bucket that far.
+    repeated = (buckets.agg(F.max("rows")).first()[0] or 0) > FULL_BUCKET * ROWS_PER_BUCKET
+    if repeated:
+        keyed = keyed.groupBy(*keyed.columns).agg(F.count("*").alias("copies"))
+    else:
+        keyed = keyed.withColumn("copies", F.lit(1).cast("long"))
     sizes = buckets.groupBy("key").agg(F.sum("words").alias("source_size"), F.first("source").alias("source"))
     weights = [integral(s) for s in schedules]
     targets = durable(source_targets(sizes.drop("key"), weights, budget, most_repeats), "targets")
@@ -127,8 +147,11 @@ def mix_sources(
     starts = starts.join(targets, "key")
 
     inside = Window.partitionBy("key", "bucket").orderBy("order", "id", "size")
-    before = F.coalesce(F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sizes_before = inside.rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum(F.col("size") * F.col("copies")).over(sizes_before), F.lit(0))
     placed = keyed.withColumn("before", before).join(starts, ["key", "bucket"])
+    if repeated:
+        placed = _apart(placed)
     offset = F.col("start") + F.col("before")
     demand = F.round("target").cast("long")
 

@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # What separates words in all contracts of this folder.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -27,6 +28,22 @@ def fresh(name: str, df: DataFrame) -> str:
     return name
 
 
+def _has_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_has_map(field.dataType) for field in kind)
+    return isinstance(kind, T.MapType) or (isinstance(kind, T.ArrayType) and _has_map(kind.elementType))
+
+
+def row_identity(df: DataFrame) -> Column:
+    """128 bits that tell rows apart by all their columns, maps by their JSON. Equal rows are one."""
+    columns = []
+    for field in df.schema:
+        own = F.col(f"`{field.name}`")
+        columns += [own.isNull(), F.to_json(F.struct(own)) if _has_map(field.dataType) else own]
+    halves = [F.xxhash64(F.lit(seed), *columns) for seed in (0, 1)]
+    return F.struct(halves[0].alias("a"), halves[1].alias("b"))
+
+
 def learning_sample(df: DataFrame, label: str, per_label: int, counts: dict, order: list[Column]) -> DataFrame:
     """At most ``per_label`` rows of each label in ``counts``, the first by ``order``, whose
     first column is a 64-bit hash.

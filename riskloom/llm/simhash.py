@@ -18,7 +18,7 @@ spanning forest is emitted, never all pairs.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import ceil, log2
+from math import log2
 
 import numpy as np
 import pyarrow as pa
@@ -28,15 +28,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.llm.components import connected_components
-from riskloom.llm.shared import fresh, slices, text_bytes
-from riskloom.operators.durable import durable
+from riskloom.llm.shared import fresh, row_identity, slices, text_bytes
+from riskloom.operators.durable import BROADCAST_BYTES, durable
 from riskloom.operators.joins import hot_keys_from_counts, spread_left_join
 
 BITS = 64
 SEED = 42
 SHARD_MEMBERS = 16  # expected members of a shard for evenly spread fingerprints
 MOST_MEMBERS = 4096  # more make a shard hot: its bits are split further
-MOST_HOT_SHARDS = 100_000
+HOT_SHARD_BYTES = 64  # of a hot shard's name in a broadcast table
 HOT_ROWS = 10_000
 HASH_BLOCK = 65_536
 
@@ -196,19 +196,18 @@ def _links_of_sorted(radius: int):
 
 def _links(prints: DataFrame, radius: int) -> DataFrame:
     """(u, v): links that connect all distinct fingerprints within the radius."""
-    n = prints.count()
-    level = _start_level(n, radius)
+    level = _start_level(prints.count(), radius)
     masks = _masks(radius, level)
-    most = max(MOST_MEMBERS, ceil(len(masks) * n / MOST_HOT_SHARDS))
     rows, ready = _shard_rows(prints, [_signed(m) for m in masks]), []
     # Once all but 12 bits agree a shard has at most 4096 members, so this ends.
     while True:
-        counts = rows.groupBy("mask", "key").agg(F.count("*").alias("n")).where(F.col("n") > most)
-        hot = counts.select("mask", "key").collect()  # MOST_HOT_SHARDS at most: each holds more than ``most`` rows
-        if not hot or max(map(len, masks)) >= BITS - 12:
+        counts = rows.groupBy("mask", "key").agg(F.count("*").alias("n"))
+        hot = durable(counts.where(F.col("n") > MOST_MEMBERS).select("mask", "key"), "hot-shards")
+        n_hot = hot.count()
+        if not n_hot or max(map(len, masks)) >= BITS - 12:
             ready.append(rows)
             break
-        hot = F.broadcast(prints.sparkSession.createDataFrame(hot, "mask long, key long"))
+        hot = F.broadcast(hot) if n_hot * HOT_SHARD_BYTES <= BROADCAST_BYTES else hot
         ready.append(rows.join(hot, ["mask", "key"], "left_anti"))
         finer, by_mask = [], []
         for own in masks:
@@ -219,6 +218,7 @@ def _links(prints: DataFrame, radius: int) -> DataFrame:
         split = split.select("fp", F.explode(F.element_at(F.create_map(*by_mask), F.col("mask"))).alias("mask"))
         split = split.distinct()  # blocks taken in another order give the same bits
         rows = split.withColumn("key", F.col("fp").bitwiseAND(F.col("mask"))).select("fp", "mask", "key")
+        rows = durable(rows, "finer-shards")
         masks = list(dict.fromkeys(finer))
     out = None
     for part in ready:
@@ -271,11 +271,12 @@ def drop_near_copies(
 ) -> DataFrame:
     """``docs`` with one row of each component: the one with the smallest id.
 
-    Rows that share that id are told apart by a hash of all columns, and whole repeats of
-    the row that stays go as well. Columns are returned as they came.
+    Rows that share that id are told apart by all their columns (``row_identity``), and whole
+    repeats of the row that stays go as well. NULL and empty texts are one component. Columns,
+    of any names and types, are returned as they came.
     """
     row = fresh("_row", docs)
-    keyed = docs.withColumn(row, F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
+    keyed = docs.withColumn(row, row_identity(docs))
     rows = durable(fingerprints(keyed, [id_column, row], text, shingle), "fingerprints")
     grouped = _grouped(rows, [id_column, row], radius)
     kept = grouped.where(F.col(f"first.{row}") == F.col(row)).select(row).distinct()

@@ -78,3 +78,20 @@ def test_empty_and_wordless(spark, documents):
 def test_no_python_in_the_plan(spark, documents):
     plan = mixing.mix_sources(documents(*rows()))._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_rows_of_one_id_are_split(documents, monkeypatch):
+    """A third of the rows share the NULL id: they fill several tasks, with the same results."""
+    data = [(i, "w " * (i % 9), None, f"s{i % 3}") for i in range(600)]
+    data += [(None, "w " * (i % 4), None, "s1") for i in range(300)] + [(7, "same text", None, "s1")] * 50
+    schedules = lambda df: sorted((tuple(r) for r in mixing.mix_sources(df).collect()), key=repr)
+    plain = schedules(documents(*data))
+    monkeypatch.setattr(mixing, "ROWS_PER_BUCKET", 8)
+    many_buckets = schedules(documents(*data))
+    assert many_buckets == plain
+    monkeypatch.setattr(mixing, "FULL_BUCKET", 4)
+    monkeypatch.setattr(mixing, "COPIES_PER_TASK", 16)
+    blocks = []
+    apart = mixing._apart
+    monkeypatch.setattr(mixing, "_apart", lambda df: blocks.append(df) or apart(df))
+    assert schedules(documents(*data)) == plain and blocks

@@ -69,7 +69,7 @@ def test_empty(spark, documents):
 
 def test_long_text(documents):
     text = "one two three four " * 60_000
-    assert simhash.fingerprint(text.encode(), 3) == plain_fingerprint("one two three four " * 5 + "one two three")  # no bit ties
+    assert simhash.fingerprint(text.encode(), 3) == plain_fingerprint(text)
 
 
 @pytest.mark.parametrize("most,members", [(4096, 16), (8, 16), (8, 0.001)])
