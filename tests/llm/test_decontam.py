@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -28,10 +29,61 @@ def hits(spark, documents, *texts, items=ITEMS, **rules):
 
 def test_exact_and_embedded(spark, documents):
     found = hits(spark, documents, f"Some words. {ITEMS[1][1]} More words.", "clean text about nothing " * 50, ITEMS[5][1], None, "", "tiny item", "a tiny item here")
-    assert set(found) == {(0, 2), (2, None), (5, 3)}
+    assert set(found) == {(0, 2), (2, None), (5, 3), (6, 3)}
     assert found[0, 2].coverage == 1 and found[0, 2].changed_slots == 0
 
 
+def test_items_shorter_than_a_window_are_passages(spark, documents):
+    items = [(1, "Capital of France?"), (2, "Add 3 and 4"), (3, "12 15"), (4, "Alice Smith Jones")]
+    texts = [
+        "Quiz. Capital of France? Paris.",
+        "the capital of france is old",
+        "The capital of Spain? Madrid.",
+        "Please add 3 and 4 now. Then add 5 and 6.",
+        "Add 3 and 5",
+        "values 11 12 15 16",
+        "We met ALICE SMITH JONES and others.",
+        "Alice Jones Smith",
+        "Capital of France",
+    ]
+    found = hits(spark, documents, *texts, items=items)
+    assert {(0, 1), (1, 1), (3, 2), (5, 3), (6, 4), (8, 1)} <= set(found)
+    assert not {d for d, _ in found} & {2}
+    assert all(r.coverage == 1 for r in found.values())
+
+
+TABLE = "Measured heights were 11 12 13 14 15 16 17 18 19 in this order. Name the median of them."
+
+
+def test_placeholders_alone_count_beside_other_windows(spark, documents):
+    changed = re.sub(r"\d+", lambda m: str(int(m.group()) + 50), TABLE)
+    found = hits(spark, documents, TABLE, f"Before it. {changed} After it.", "61 62 63 64 65 66 67 68 69", "11 12 13 14 15", items=[(1, TABLE)])
+    assert {k: (r.coverage, r.changed_slots) for k, r in found.items()} == {(0, 1): (1, 0), (1, 1): (1, 9)}
+    assert set(hits(spark, documents, "so: 1 2 3 4 5 6 7 8", "so: 2 3 4 5 6 7 8 9", items=[(1, "1 2 3 4 5 6 7 8")])) == {(0, 1)}
+    twice = TABLE.replace("19", "11")  # the item's value has two partners
+    assert hits(spark, documents, TABLE, items=[(1, twice)], run_tokens=1000) == {}
+    assert hits(spark, documents, TABLE, items=[(1, twice)], coverage=0.5, run_tokens=1000)[0, 1].coverage == 11 / 16
+
+
+def test_number_tables_in_linear_time(spark, documents):
+    rng = random.Random(2)
+    numbers = lambda n, most=10**6: " ".join(str(rng.randrange(most)) for _ in range(n))
+    items = [(i, f"{numbers(11)}") for i in range(25)] + [(100 + i, f"Sort the list {numbers(11)} upwards now please.") for i in range(25)]
+    texts = [numbers(50_000), numbers(5_000) + " " + items[3][1] + " " + numbers(5_000), numbers(3_000, 2), items[30][1] + " " + numbers(3_000)]
+    hits(spark, documents, "warm up", items=items)
+    start = time.perf_counter()
+    found = hits(spark, documents, *texts, items=items)
+    assert time.perf_counter() - start < 30
+    # Lists to be sorted are one question with other numbers; numbers alone are what they are.
+    assert set(found) == {(1, 3)} | {(3, 100 + i) for i in range(25)}
+
+
+def test_bitmap_follows_the_benchmark(spark):
+    for n, size in ((10, 1 << 23), (1 << 20, 1 << 24), (1 << 30, 1 << 26)):
+        bits = decontam._bitmap(spark.createDataFrame([(-1,), (5,), (1 << 62,)], "hash long"), n)
+        assert len(bits) * 8 == size and sum(map(int.bit_count, bits)) == 3
+
+
 def test_new_numbers_and_names(spark, documents):
     changed = ITEMS[0][1].replace("12", "7,500").replace("Alice", "Maria").replace("Bob", "John Smith").replace("3 dollars", "2.5 euros")
     found = hits(spark, documents, changed)
