@@ -8,14 +8,20 @@ therefore propose overlapping spans; trees score them from the format of the spa
 characters around it; spans above a calibrated threshold per kind are added where they do
 not overlap a base span, the most probable first.
 
-The trees learn without annotations: base spans are positive, proposals that fail the
-format checks and touch no base span are negative, and proposals that are well formed
-but not base spans are left out of learning; they are what the model is asked about.
+The trees learn without annotations. Base spans are positive, proposals that fail the format
+checks and touch no base span are negative, and proposals that are well formed but not base
+spans are left out; they are what the model is asked about. As plain texts hold few of the
+cases that are hard, more are constructed in them: base spans written with other gaps and run
+into each other are positive, with every other way to cut them negative; dates, times, scores,
+book numbers, versions, broken card numbers and words around an @ are negative. A kind is never
+added unless enough constructed or found cases of both classes were kept for calibration.
 """
 
 from __future__ import annotations
 
+import random
 import re
+import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -51,10 +57,18 @@ CUES = re.compile(r"(?i)\b(?:tel|phone|fax|call|mobile|mail|card|visa|ip|host|ad
 CANDIDATE = r"[0-9@]|\(at\)|\[at\]"
 ANY_CANDIDATE = re.compile(CANDIDATE)
 
+# Endings of domains that are common everywhere.
+ENDINGS = frozenset("com org net edu gov info biz io co eu de fr es it uk us ca au ch nl at be se no pl pt ru jp cn br in".split())
+SEPARATOR = re.compile(r"\(at\)|\[at\]|@")
+DOT = re.compile(r"\.|\(dot\)|\[dot\]")
+WORDS = re.compile(r"[A-Za-z]{2,12}")
+
 SAMPLE_DOCS = 4000  # documents the trees learn from, at most
 PIECE = 1600  # characters of each
 DOCS_PER_SAMPLE = 24  # so many documents are looked at per document wanted
+CONSTRUCTED_TEXTS = 1200  # of them that cases are constructed in, at most
 PRECISION = 0.99
+LEAST_OF_CLASS = 50  # cases of a kind, of both classes, without which it is not added
 SCORED_AT_ONCE = 4096  # proposals; long rows of short numbers give many
 MASK = {kind: f"[{kind.upper()}]" for kind in KINDS}
 SPAN_TYPE = T.ArrayType(
@@ -143,7 +157,25 @@ def proposals(text: str) -> list[tuple[str, int, int]]:
     return list(dict.fromkeys(found))
 
 
-FEATURES = 27
+FEATURES = 34
+
+
+def _address_format(span: str) -> list[float]:
+    """How the parts of a spelled address look."""
+    at = SEPARATOR.search(span)
+    if at is None:
+        return [0.0] * 7
+    local, domain = span[: at.start()].strip(), span[at.end() :].strip()
+    last = DOT.split(domain)[-1].strip()
+    return [
+        float(last.lower() in ENDINGS),
+        len(last),
+        float(last.isalpha()),
+        float(not local.isalpha()),
+        float(at[0] != "@"),
+        float(span[at.start() - 1 : at.start()] == " ") + float(span[at.end() : at.end() + 1] == " "),
+        float(re.search(r"\. ", domain) is not None),
+    ]
 
 
 def features(text: str, kind: str, start: int, end: int) -> list[float]:
@@ -181,6 +213,7 @@ def features(text: str, kind: str, start: int, end: int) -> list[float]:
         float(after in ("-", "_", "@") or (after == "." and text[end + 1 : end + 2].isdigit())),
         float(cue is not None and cue[1] is None),
         float(cue is not None and cue[1] is not None),
+        *_address_format(span if kind == "email" else ""),
     ]
 
 
@@ -190,6 +223,7 @@ class SpanModel:
 
     trees: Trees | None = None
     threshold: dict[str, float] = field(default_factory=lambda: dict.fromkeys(KINDS, 2.0))
+    measured: dict[str, tuple[int, int, float, float]] = field(default_factory=dict)
 
 
 def _well_formed(text: str, kind: str, start: int, end: int) -> bool:
@@ -219,11 +253,92 @@ def training_rows(text: str) -> Iterator[tuple[list[float], int]]:
             yield features(text, *span), 0  # a piece of a longer token
 
 
+def _respaced(kind: str, span: str, words: list[str], rng: random.Random) -> str:
+    """A base span as others write it; for addresses also with other names."""
+    if kind == "email":
+        local, domain = span.split("@")
+        name = rng.choice([local, rng.choice(words), f"{rng.choice(words)}.{rng.choice(words)}", f"{rng.choice(words)}{rng.randrange(99)}"])
+        local, domain = rng.choice([(local, domain), (name, domain), (name, f"{rng.choice(words)}.{rng.choice(sorted(ENDINGS))}")])
+        return rng.choice([f"{local} @ {domain}", f"{local} (at) {domain}", f"{local}[at]{domain}", f"{local} @{domain}"])
+    if kind == "card":
+        digits, size, gap = _digits(span), rng.choice((2, 4, 4, 19)), rng.choice(" -")
+        return gap.join(digits[i : i + size] for i in range(0, len(digits), size))
+    if kind == "phone":
+        digits, size, gap = _digits(span), rng.choice((2, 3)), rng.choice(" .-")
+        own = gap.join(digits[i : i + size] for i in range(2, len(digits), size))
+        return f"+{digits[:2]}{rng.choice([' (0)', ' ', ' '])}{own}"
+    return span
+
+
+def _no_personal_data(words: list[str], rng: random.Random) -> str:
+    """Something that only looks like personal data."""
+    n = lambda low, high: str(rng.randrange(low, high))
+    two = lambda high: f"{rng.randrange(1, high):02d}"
+    digits = lambda count: "".join(rng.choices("0123456789", k=count))
+    word = lambda: rng.choice(words)
+    year, gap = n(1900, 2040), rng.choice(" -")
+    card = digits(16)
+    card = card[:-1] + str((int(card[-1]) + (1 if luhn(card) else 0)) % 10)
+    cases = [
+        f"{word()} @ {word()}.{word()}",
+        f"{word()} @ {word()}. {word().title()}",
+        f"{word()} @{word()}.{word()}",
+        f"{n(1, 99)} @ {n(1, 99)}.{two(99)}",
+        f"{year}-{two(12)}-{two(28)} {two(23)}.{two(59)}.{two(59)}",
+        f"{two(28)}-{two(12)} {two(23)}.{two(59)}.{two(59)}",
+        f"{two(28)}.{two(12)}.{year} {two(23)}-{two(23)}",
+        f"{year}-{n(1900, 2040)} {n(1900, 2040)}-{n(1900, 2040)}",
+        " ".join(f"{n(0, 99)}-{n(0, 99)}" for _ in range(rng.randrange(2, 6))) + f" {n(0, 99)}",
+        " ".join(f"{n(0, 99)}.{n(0, 9)}" for _ in range(rng.randrange(3, 7))),
+        f"97{rng.choice('89')}-{digits(1)}-{digits(2)}-{digits(6)}-{digits(1)}",
+        f"{n(1, 999)} {digits(3)} {digits(3)} {digits(3)}",
+        f"{n(256, 999)}.{n(0, 999)}.{n(0, 999)}.{n(0, 999)}",
+        f"{n(0, 30)}.{n(0, 30)}.{n(256, 999)}.{n(0, 30)}",
+        gap.join(card[i : i + 4] for i in range(0, 16, 4)),
+        card,
+    ]
+    return rng.choice(cases)
+
+
+def constructed_rows(text: str) -> Iterator[tuple[list[float], int]]:
+    """Cases put between the words of a text, the same whenever the text is met."""
+    rng = random.Random(zlib.crc32(text.encode("utf-8", "replace")))
+    words = WORDS.findall(text) or ["word"]
+    base = base_spans(text)
+    own = [(kind, text[a:b]) for kind, a, b in base if b - a <= 80]
+    gaps = [i for i, c in enumerate(text) if c == " "] or [len(text)]
+
+    def rows(parts: list[tuple[str, str]], at: int) -> Iterator[tuple[list[float], int]]:
+        left, right = text[max(0, at - 60) : at] + " ", " " + text[at + 1 : at + 30]
+        inserted = " ".join(part for _, part in parts)
+        whole = left + inserted + right
+        true, start = set(), len(left)
+        for kind, part in parts:
+            true.add((kind, start, start + len(part)))
+            start += len(part) + 1
+        for span in proposals(whole):
+            if span[2] > len(left) and span[1] < len(left) + len(inserted):
+                yield features(whole, *span), int(span in true)
+
+    for kind in dict.fromkeys(kind for kind, _ in own):
+        span = rng.choice([part for k, part in own if k == kind])
+        at = next(a for k, a, _ in base if k == kind)
+        yield from rows([(kind, _respaced(kind, span, words, rng))], at)
+        other = rng.choice(own)
+        yield from rows([(kind, _respaced(kind, span, words, rng)), (other[0], _respaced(*other, words, rng))], at)
+    for _ in range(4):
+        case = _no_personal_data(words, rng)
+        if not base_spans(case):  # what the base patterns take is not asked of the model
+            yield from rows([("none", case)], rng.choice(gaps))
+
+
 def fit_span_model(texts: list[str]) -> SpanModel:
     """Trees on three quarters of the texts, calibration and thresholds on the rest."""
     parts: tuple[list, list] = ([], [])
     for i, text in enumerate(texts):
         parts[i % 4 == 0].extend(training_rows(text))
+        if i < CONSTRUCTED_TEXTS:
+            parts[i % 4 == 0].extend(constructed_rows(text))
     model = SpanModel()
     rows = [np.array([r for r, _ in part], float).reshape(-1, FEATURES) for part in parts]
     labels = [np.array([y for _, y in part], float) for part in parts]
@@ -235,20 +350,31 @@ def fit_span_model(texts: list[str]) -> SpanModel:
     for i, kind in enumerate(KINDS):
         own = rows[1][:, i] == 1
         model.threshold[kind] = _threshold(chance[own], labels[1][own])
+        model.measured[kind] = _measured(chance[own], labels[1][own], model.threshold[kind])
     return model
 
 
 def _threshold(chance: np.ndarray, labels: np.ndarray) -> float:
     """The lowest probability of at least one half from which the precision holds, half-way
-    down to the next proposal below."""
-    below = None
+    down to the next case below; never, without enough cases of both classes."""
+    if min((labels == 1).sum(), (labels == 0).sum()) < LEAST_OF_CLASS:
+        return 2.0
+    below = chance[chance < 0.5].max(initial=0.0)
     for cut in np.unique(chance[chance >= 0.5]):
         if labels[chance >= cut].mean() >= PRECISION:
-            return 0.5 if below is None else float((below + cut) / 2)
+            return float((below + cut) / 2)
         below = cut
     return 2.0
 
 
+def _measured(chance: np.ndarray, labels: np.ndarray, threshold: float) -> tuple[int, int, float, float]:
+    """(positives, negatives, precision, recall) of the cases kept for calibration."""
+    taken = chance >= threshold
+    hits = float((taken & (labels == 1)).sum())
+    positives = int((labels == 1).sum())
+    return positives, int((labels == 0).sum()), hits / max(taken.sum(), 1), hits / max(positives, 1)
+
+
 def find_spans(text: str | None, model: SpanModel) -> list[tuple[str, int, int, bool, float]]:
     """All spans (kind, start, end, base, score) by start; base spans have score 1."""
     if not text or not ANY_CANDIDATE.search(text):

@@ -87,6 +87,48 @@ def test_numbers_of_many_groups_that_run_together(model):
     assert spans == [("phone", phone), ("card", card), ("card", card.replace(" ", "-"))]
 
 
+REFUSED = [
+    "see you @ noon.today",
+    "buy 3 @ 4.50 each",
+    "meet me @ home. Then leave",
+    "scores 10-20 30-40 50-60 70",
+    "on 01-02 10.30.40 it began",
+    "from 2019-04-05 10.30.40 to 2020-04-05",
+    "ISBN 978-3-16-148410-0",
+    "order 1234 5678 9012 3455 of today",
+    "lengths 10.5 20.5 30.5 40.5 50.5",
+]
+
+
+@pytest.mark.parametrize("text", REFUSED)
+def test_what_only_looks_like_personal_data(model, text):
+    assert pii.find_spans(text, model) == []
+
+
+def test_other_spellings(model):
+    for text, span in [
+        ("write anna.berg @ example.com now", "anna.berg @ example.com"),
+        ("mail anna (at) example.org please", "anna (at) example.org"),
+        ("Tel +33 (0)6 12 34 56 78 10.0.0.1 on", "+33 (0)6 12 34 56 78"),
+    ]:
+        assert [text[a:b] for _, a, b, base, _ in pii.find_spans(text, model) if not base] == [span]
+
+
+def test_kinds_without_both_classes_are_never_added():
+    assert pii._threshold(np.array([0.9] * 60), np.ones(60)) == 2.0
+    assert pii._threshold(np.array([0.9] * 60 + [0.1] * 49), np.array([1.0] * 60 + [0.0] * 49)) == 2.0
+    assert pii._threshold(np.array([0.9] * 60 + [0.1] * 50), np.array([1.0] * 60 + [0.0] * 50)) == 0.5
+    assert pii._threshold(np.array([0.9] * 60 + [0.95] * 50), np.array([1.0] * 60 + [0.0] * 50)) == 2.0
+    no_mail = pii.fit_span_model([text.replace("@", " ") for text in TEXTS])
+    assert no_mail.threshold["email"] == 2.0 and no_mail.threshold["card"] < 1
+
+
+def test_measured_on_kept_cases(model):
+    for kind in ("email", "card", "phone"):
+        positives, negatives, precision, recall = model.measured[kind]
+        assert min(positives, negatives) >= pii.LEAST_OF_CLASS and precision >= 0.98 and recall > 0.7
+
+
 def test_nothing_to_learn():
     model = pii.fit_span_model([])
     assert model.trees is None
