@@ -89,23 +89,20 @@ def _pieces(texts: DataFrame, classes: list[int]) -> DataFrame:
     return pieces.withColumn("_key", F.substring(F.col("_rest"), F.lit(1), F.col("_width"))).drop("_width")
 
 
-def matches(texts: DataFrame, vocabulary: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """(month, text_id, loan_type): the types of its month that each distinct text contains.
+def _contained(texts: DataFrame, vocabulary: DataFrame, broadcast_bytes: int) -> DataFrame:
+    """(month, text_id, loan_type): the types that each text contains, position by position.
 
     Every position of a text meets the types that start with the characters there, by an
-    equality join, so the cost follows the text and not the number of types. ``texts`` is
-    (month, text, text_id), ``vocabulary`` (month, loan_type).
+    equality join, so the cost follows the texts and not the number of types.
     """
     size = F.length("loan_type")
     sized = vocabulary.where(size > 0).withColumn("_class", F.floor(F.log2(size.cast("double"))).cast("int"))
     key = F.substring(F.col("loan_type"), F.lit(1), F.expr("shiftleft(1, _class)"))
     types = sized.withColumn("_key", key)
-    classes = [row[0] for row in types.select("_class").distinct().collect()]  # 31 at most
-    if not classes:
-        classes = [0]
-    pieces = _pieces(texts.where(F.length(TEXT) > 0), sorted(classes))
+    seen = types.agg(F.collect_set("_class").alias("classes"), broadcast_size("loan_type").alias("size")).first()
+    pieces = _pieces(texts.where(F.length(TEXT) > 0), sorted(seen.classes) or [0])
     on = [SNAPSHOT, "_class", "_key"]
-    if types.agg(broadcast_size("loan_type")).first()[0] <= broadcast_bytes:
+    if seen["size"] <= broadcast_bytes:
         met = pieces.join(F.broadcast(types), on)
     else:
         salted = types.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
@@ -114,6 +111,36 @@ def matches(texts: DataFrame, vocabulary: DataFrame, broadcast_bytes: int = BROA
     return met.where(F.startswith("_rest", F.col("loan_type"))).select(SNAPSHOT, "_text_id", "loan_type").distinct()
 
 
+def _spans_separator(loan_type: Column) -> Column:
+    """Whether a text can contain the type without one of its tokens doing so: it holds a
+    separator or is a part of one, or begins or ends like a part of one."""
+    return F.contains(F.lit(" and "), loan_type) | loan_type.rlike(",| and |( | a| an| and)$|^( |d |nd |and )")
+
+
+def matches(texts: DataFrame, vocabulary: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """(month, text_id, loan_type): the types of its month that each distinct text contains.
+
+    Texts are made of few different tokens. Only these are searched for types, and a text has
+    the types of its tokens; types that can span a separator are looked for in whole texts.
+    ``texts`` is (month, text, text_id), ``vocabulary`` (month, loan_type).
+    """
+    spanning = vocabulary.where(_spans_separator(F.col("loan_type")))
+    inside = vocabulary.where(~_spans_separator(F.col("loan_type")))
+    token = F.explode(F.array_distinct(loan_tokens(TEXT))).alias("_token")
+    tokens = durable(texts.select(SNAPSHOT, "_text_id", token).where(F.length("_token") > 0), "loan-tokens")
+    tokens = tokens.withColumn("_token_id", F.md5(F.col("_token").cast("binary")))
+    key = [SNAPSHOT, "_token_id"]
+    distinct = durable(tokens.groupBy(*key).agg(F.count("*").alias("n"), F.first("_token").alias(TEXT)), "distinct-tokens")
+    searched = _contained(distinct.select(SNAPSHOT, F.col("_token_id").alias("_text_id"), TEXT), inside, broadcast_bytes)
+    types = searched.groupBy(SNAPSHOT, F.col("_text_id").alias("_token_id")).agg(F.collect_set("loan_type").alias("_types"))
+    hot = hot_keys_from_counts(distinct.select(*key, "n"), key, 2)
+    named = spread_left_join(tokens.select(*key, "_text_id"), [types], key, hot=hot)
+    found = named.select(SNAPSHOT, "_text_id", F.explode("_types").alias("loan_type")).distinct()
+    if spanning.isEmpty():
+        return found
+    return found.unionAll(_contained(texts, spanning, broadcast_bytes))
+
+
 def _text_id() -> Column:
     return F.md5(F.col(TEXT).cast("binary"))
 

@@ -465,3 +465,16 @@ def test_latest_with_counts_keeps_the_same_rows(spark):
         kept = dedup.latest_with_counts(df, **options)
         assert Counter(map(tuple, kept.drop("n_rows").collect())) == Counter(map(tuple, dedup.latest_per_customer(df, **options).collect()))
         assert kept.agg({"n_rows": "sum"}).first()[0] == len(rows)
+
+
+@pytest.mark.parametrize("route", [{}, {"broadcast_bytes": 0}])
+def test_types_within_tokens_and_across_separators(spark, route):
+    """Substrings of whole texts, whatever the types look like, by the route for many types."""
+    types = ["Loan", "Auto Loan", "Loan and", "an", "Loan, and Pay", "d Pay", " Loan", "o L", "and", "nd", "Brand", "a and b", ",", "Loan ", "x"]
+    texts = ["Auto Loan and Payday Loan", "Auto Loan, and Payday Loan", "Brand Loan", "a and b and b", "and and Loan", "", None, "Loan", "no, and, and yes", " Loan ,x"]
+    months = [JAN, FEB, None]
+    words = spark.createDataFrame([(m, t) for m in months[:2] for t in types if m == JAN or len(t) > 3], "snapshot_date date, loan_type string")
+    df = spark.createDataFrame([(i, m, t) for i, t in enumerate(texts) for m in months], "id int, snapshot_date date, Type_of_Loan string")
+    got = bag(vocabulary.one_hot_loans_long(df, words, ["id", "snapshot_date"], few_types=0, **route))
+    want = Counter((i, m, t) for i, text in enumerate(texts) for m, t in words.collect() if text and t in text)
+    assert got == want
