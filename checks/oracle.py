@@ -539,6 +539,7 @@ STATEMENTS: dict[str, str] = {
     ),
     "combined_features": _combined(),
     # An empty text is NULL once it has been in a CSV file.
+    "backfill_bucketed": f"SELECT * REPLACE (nullif(Type_of_Loan, '') AS Type_of_Loan) FROM ({_combined()})",
     "backfill_features": f"SELECT * REPLACE (nullif(Type_of_Loan, '') AS Type_of_Loan) FROM ({_combined()})",
 }
 

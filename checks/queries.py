@@ -216,10 +216,10 @@ def _span(spark: SparkSession, sf: str) -> tuple[dt.date, dt.date]:
     return tuple(months[0].unionAll(months[1]).agg(F.min(SNAPSHOT), F.max(SNAPSHOT)).first())
 
 
-def _backfilled(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
+def _backfilled(spark: SparkSession, sf: str, **options) -> tuple[str, DataFrame]:
     """Base path and audit of a backfill of all months."""
     base = scratch_path(spark, "lake")
-    return base, backfill(spark, write_raw_files(spark, sf), base, *_span(spark, sf))
+    return base, backfill(spark, write_raw_files(spark, sf), base, *_span(spark, sf), **options)
 
 
 @query
@@ -824,3 +824,10 @@ def backfill_two_runs(spark, sf):
     backfill(spark, write_raw_files(spark, sf, without_clicks=("fe_5",)), base, first, change - dt.timedelta(days=1))
     backfill(spark, write_raw_files(spark, sf, without_clicks=("fe_1",)), base, change, last)
     return flat(_rounded_score(read_features(spark, base, wide=True)))
+
+
+@query
+def backfill_bucketed(spark, sf):
+    """The same features from gold tables in buckets of customers, joined where they lie."""
+    base = _backfilled(spark, sf, buckets=8)[0]
+    return flat(_rounded_score(read_features(spark, base, wide=True)))

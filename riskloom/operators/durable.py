@@ -8,7 +8,8 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -65,6 +66,15 @@ def _hadoop_path(spark: SparkSession, path: str):
     return place, place.getFileSystem(context._jsc.hadoopConfiguration())
 
 
+def observed(observation: Observation) -> dict:
+    """The metrics of a finished job; none where Spark found the observed rows to be none without
+    running anything."""
+    try:
+        return dict(observation.get)
+    except Py4JJavaError:
+        return {}
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     place, filesystem = _hadoop_path(spark, path)
     return filesystem.exists(place)

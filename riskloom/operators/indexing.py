@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from riskloom.operators.durable import BROADCAST_BYTES, ROW_OVERHEAD, durable
+from riskloom.operators.durable import BROADCAST_BYTES, ROW_OVERHEAD, durable, observed
 from riskloom.operators.joins import hot_keys_from_counts, spread_left_join
 from riskloom.schemas import SNAPSHOT
 
@@ -56,19 +56,19 @@ def store_labels(
     """Write the counts; the same job observes what decides how each column is coded."""
     sizes = Observation()
     size = F.coalesce(F.octet_length(VALUE), F.lit(0)) + ROW_OVERHEAD
-    observed = [F.approx_count_distinct(by).alias("months")]
+    metrics = [F.approx_count_distinct(by).alias("months")]
     for i, column in enumerate(columns):
         own = F.col(COLUMN) == column
-        observed += [F.count_if(own).alias(f"labels{i}"), F.sum(F.when(own, size)).alias(f"size{i}")]
-    stored = durable(counts.observe(sizes, *observed), "labels")
-    seen = sizes.get
+        metrics += [F.count_if(own).alias(f"labels{i}"), F.sum(F.when(own, size)).alias(f"size{i}")]
+    stored = durable(counts.observe(sizes, *metrics), "labels")
+    seen = {name: value or 0 for name, value in observed(sizes).items()}
     # One budget for all tables that are broadcast together, filled from the smallest column up.
     large, used = [], 0
-    for i in sorted(range(len(columns)), key=lambda i: (seen[f"size{i}"] or 0, columns[i])):
-        used += seen[f"size{i}"] or 0
+    for i in sorted(range(len(columns)), key=lambda i: (seen.get(f"size{i}", 0), columns[i])):
+        used += seen.get(f"size{i}", 0)
         if used > broadcast_bytes:
             large.append(columns[i])
-    few = {c for i, c in enumerate(columns) if seen[f"labels{i}"] <= map_labels * max(seen["months"], 1)}
+    few = {c for i, c in enumerate(columns) if seen.get(f"labels{i}", 0) <= map_labels * max(seen.get("months", 0), 1)}
     narrow = [c for c in columns if c in few and c not in large]
     medium = [c for c in columns if c not in few and c not in large]
     return LabelTable(stored, narrow, medium, large)

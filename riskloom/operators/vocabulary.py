@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from riskloom.functions.financials import LOAN_COLUMN_PREFIX, loan_column_name, loan_tokens, loan_type_name
-from riskloom.operators.durable import BROADCAST_BYTES, broadcast_size, durable
+from riskloom.operators.durable import BROADCAST_BYTES, broadcast_size, durable, observed
 from riskloom.operators.joins import hot_keys_from_counts, spread_left_join
 from riskloom.schemas import LOAN_TYPES_PRESENT, SNAPSHOT
 
@@ -174,7 +174,8 @@ def store_vocabulary(vocabulary: DataFrame | StoredVocabulary) -> StoredVocabula
     size = Observation()
     metrics = [F.count("*").alias("types"), F.size(F.collect_set(SNAPSHOT)).alias("months")]
     frame = durable(vocabulary.observe(size, *metrics), "loan-vocabulary")
-    return StoredVocabulary(frame, size.get["types"], size.get["months"])
+    seen = observed(size)
+    return StoredVocabulary(frame, seen.get("types", 0), seen.get("months", 0))
 
 
 def with_loan_types(

@@ -14,6 +14,7 @@ import datetime as dt
 import time
 from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import nullcontext
 from functools import reduce
 
 from pyspark import inheritable_thread_target
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.operators.dedup import duplicate_summary
-from riskloom.operators.durable import path_exists, scratch_scope
+from riskloom.operators.durable import observed, path_exists, scratch_scope
 from riskloom.operators.snapshots import as_dates, slice_snapshot, snapshot_calendar
 from riskloom.operators.vocabulary import (
     THRESHOLD,
@@ -47,6 +48,7 @@ from riskloom.schemas import (
     SNAPSHOT,
     struct,
 )
+from riskloom.sources.buckets import joins_use_buckets, read_bucketed, write_bucketed
 from riskloom.sources.lake import read_layer, table_path, write_bronze, write_layer
 from riskloom.sources.raw import OPTIONAL_SNAPSHOT, RAW_TYPES, read_source
 
@@ -59,6 +61,8 @@ FIXED_SCHEMAS = {
     ("gold", "label_store"): struct(LABEL_STORE),
     ("gold", "attributes"): struct(ATTRIBUTES_GOLD),
 }
+# What is joined by customer and month, and may be stored in buckets of customers.
+BUCKETED = {("gold", "financials"), ("gold", "clickstream"), ("gold", "attributes")}
 AUDIT_SCHEMA = "layer string, table string, snapshot_date date, n long"
 Audit = list[tuple]
 
@@ -66,12 +70,16 @@ Audit = list[tuple]
 class Lake:
     """The tables under one base path, restricted to the months of a run."""
 
-    def __init__(self, spark: SparkSession, base: str, snapshots: Iterable):
-        self.spark, self.base, self.snapshots = spark, base, as_dates(snapshots)
+    def __init__(self, spark: SparkSession, base: str, snapshots: Iterable, buckets: int | None = None):
+        self.spark, self.base, self.snapshots, self.buckets = spark, base, as_dates(snapshots), buckets
         self.audit: Audit = []
         self._schemas: dict[tuple[str, str], T.StructType] = dict(FIXED_SCHEMAS)
 
     def read(self, layer: str, table: str) -> DataFrame:
+        if self.buckets and (layer, table) in BUCKETED:
+            bucketed = read_bucketed(self.spark, self.base, layer, table, self.snapshots)
+            if bucketed is not None:
+                return bucketed
         schema = self._schemas.get((layer, table))
         return read_layer(self.spark, self.base, layer, table, self.snapshots, schema)
 
@@ -87,6 +95,8 @@ class Lake:
     def _write_table(self, df: DataFrame, layer: str, table: str, rebalance: bool) -> Audit:
         if layer == "bronze":
             counts = write_bronze(df, self.base, table, self.snapshots)
+        elif self.buckets and (layer, table) in BUCKETED:
+            counts = write_bucketed(df, self.base, layer, table, self.snapshots, self.buckets)
         else:
             counts = write_layer(df, self.base, layer, table, self.snapshots, rebalance)
         self._schemas[layer, table] = df.schema
@@ -113,8 +123,8 @@ def build_silver(lake: Lake) -> None:
     repeated = [F.count_if((F.col(SNAPSHOT) == F.lit(day)) & (F.col("_rows") > 1)).alias(f"m{i}") for i, day in enumerate(lake.snapshots)]
     tables["attributes"] = customers.observe(several, F.count("*").alias("rows"), *repeated).drop("_rows")
     lake.write("silver", tables, ["attributes"])
-    seen = several.get
-    lake.audit += [("audit", "duplicate_customers", day, seen[f"m{i}"]) for i, day in enumerate(lake.snapshots)]
+    seen = observed(several)
+    lake.audit += [("audit", "duplicate_customers", day, seen.get(f"m{i}", 0)) for i, day in enumerate(lake.snapshots)]
     shared = duplicate_summary(lake.read("silver", "attributes").where(F.col("SSN").isNotNull()), "SSN", "SSN")
     counts = {row[SNAPSHOT]: row.duplicated for row in shared.collect()}
     lake.audit += [("audit", "duplicate_ssn", day, counts.get(day, 0)) for day in lake.snapshots]
@@ -165,7 +175,8 @@ def build_gold(
     lake.write("gold", tables, rebalance=["label_store"])
     sources = [lake.read("gold", t) for t in ("financials", "clickstream", "attributes")]
     repeated: list[tuple] = []
-    lake.write("gold", {"combined": combined_features(*sources, fan_out=repeated)}, rebalance=["combined"])
+    with joins_use_buckets(lake.spark) if lake.buckets else nullcontext():
+        lake.write("gold", {"combined": combined_features(*sources, fan_out=repeated)}, rebalance=["combined"])
     counts = {(f"{table}_repeated_{what}", day): n for day, table, *both in repeated for what, n in zip(("keys", "rows"), both)}
     for table in ("clickstream", "attributes"):
         for name in (f"{table}_repeated_keys", f"{table}_repeated_rows"):
@@ -223,6 +234,7 @@ def backfill(
     threshold: int = THRESHOLD,
     loan_types: list[str] | None = None,
     resume: bool = False,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Run all layers for the months from ``start`` to ``end``.
 
@@ -232,6 +244,10 @@ def backfill(
     that ``combined`` finds several times in a feature table with the financial rows that
     become several by it. What the run kept in the shared folder meanwhile is removed.
 
+    ``buckets`` stores the gold tables that ``combined`` joins in so many buckets of customers,
+    and the joins move no rows then. The number stays for the life of a lake; it should be one
+    that makes a bucket of all months of a run some hundred megabytes.
+
     With ``resume``, a layer of a month is left as it is if it was finished from the same raw
     rows and with the same settings; the audit tells what was made anew.
     """
@@ -256,7 +272,7 @@ def backfill(
             if not todo:
                 continue
             _note(spark, base, layer, dict.fromkeys(todo))  # until it is finished
-            lake = Lake(spark, base, todo)
+            lake = Lake(spark, base, todo, buckets)
             build(lake)
             audit += lake.audit
             if layer == "bronze":  # what was stored, which may be newer than what was looked at

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from riskloom.operators.durable import BROADCAST_BYTES, ROW_OVERHEAD, durable
+from riskloom.operators.durable import BROADCAST_BYTES, ROW_OVERHEAD, durable, observed
 from riskloom.operators.indexing import COLUMN, COUNT, VALUE, label_counts, string_index
 from riskloom.operators.joins import MIN_HOT_ROWS, repeated_keys, spread_left_join
 from riskloom.operators.projection import classify_columns, fill_columns, select_except
@@ -62,8 +62,9 @@ def find_repeated(features: dict[str, DataFrame]) -> Repeated:
     seen = Observation()
     most = [F.max(f"_{name}").alias(name) for name in features]
     found = durable(found.observe(seen, F.count("*").alias("_n"), F.collect_set(SNAPSHOT).alias("_months"), *most), "repeated")
-    got = seen.get
-    return Repeated(found, list(features), got["_n"], {name: got[name] or 0 for name in features}, sorted(got["_months"]))
+    got = observed(seen)
+    most_rows = {name: got.get(name) or 0 for name in features}
+    return Repeated(found, list(features), got.get("_n", 0), most_rows, sorted(got.get("_months", [])))
 
 
 def joined_label_counts(
@@ -133,7 +134,7 @@ def combined_features(
     counts = joined_label_counts(financials, features, indexed, repeated, index_by, report)
     out = string_index(fill_columns(joined, numeric, 0), indexed, index_by, counts=counts)
     if fan_out is not None:
-        fan_out += _fan_out_rows(repeated, report.get)
+        fan_out += _fan_out_rows(repeated, observed(report))
     return select_except(out, DROPPED)
 
 
@@ -143,7 +144,7 @@ def _fan_out_rows(repeated: Repeated, seen: dict) -> list[tuple]:
     several = [F.count_if(F.col(f"_{name}") > 1).alias(name) for name in repeated.names]
     keys = {row[SNAPSHOT]: row for row in repeated.keys.groupBy(SNAPSHOT).agg(*several).collect()}
     return [
-        (month, name, keys[month][name], seen[f"{name}_{i}"])
+        (month, name, keys[month][name], seen.get(f"{name}_{i}", 0))
         for i, month in enumerate(repeated.months)
         for name in repeated.names
     ]

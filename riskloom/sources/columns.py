@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from riskloom.operators.durable import path_exists
 
 FOLDER = "_columns"
-NOTE = "at long, schema string, months array<date>"
+NOTE = "at long, schema string, months array<date>, buckets int"
 
 # What files of a narrower type can be read as.
 WIDER = {
@@ -57,30 +57,45 @@ def _union(schemas: Iterable[T.StructType]) -> T.StructType:
     return T.StructType([T.StructField(name, dtype) for name, dtype in fields])
 
 
-def _schemas_by_month(spark: SparkSession, table_path: str) -> dict[dt.date, T.StructType]:
-    """The latest note of every month; notes are one short row per write."""
+def _notes(spark: SparkSession, table_path: str) -> list:
+    """One short row per write, in the order of writing."""
     path = columns_path(table_path)
     if not path_exists(spark, path):
-        return {}
+        return []
+    return sorted(spark.read.schema(NOTE).parquet(path).collect(), key=lambda note: note["at"])
+
+
+def _schemas_by_month(spark: SparkSession, table_path: str) -> dict[dt.date, T.StructType]:
+    """The latest note of every month."""
     latest: dict[dt.date, str] = {}
-    for note in sorted(spark.read.schema(NOTE).parquet(path).collect(), key=lambda note: note.at):
+    for note in _notes(spark, table_path):
         latest |= {month: note.schema for month in note.months}
     schemas = {text: T._parse_datatype_json_string(text) for text in set(latest.values())}
     return {month: schemas[latest[month]] for month in sorted(latest)}
 
 
-def record_columns(spark: SparkSession, table_path: str, schema: T.StructType, months: Iterable[dt.date]) -> None:
-    """Note that ``months`` have the columns of ``schema``. A column that could not be read
-    together with those of the other months raises before anything is written."""
+def record_columns(
+    spark: SparkSession, table_path: str, schema: T.StructType, months: Iterable[dt.date], buckets: int | None = None
+) -> None:
+    """Note that ``months`` have the columns of ``schema``, and lie in so many ``buckets``. A column
+    that could not be read together with those of the other months raises before anything is
+    written, as does another number of buckets."""
     months = sorted(months)
     if not months:
         return
+    if path_exists(spark, columns_path(table_path)) and recorded_buckets(spark, table_path) != buckets:
+        raise ValueError(f"{table_path} has {recorded_buckets(spark, table_path) or 'no'} buckets, not {buckets or 'none'}")
     others = [known for month, known in _schemas_by_month(spark, table_path).items() if month not in months]
     _union([*dict.fromkeys(others), schema])
-    note = spark.createDataFrame([(time.time_ns(), schema.json(), months)], NOTE)
+    note = spark.createDataFrame([(time.time_ns(), schema.json(), months, buckets)], NOTE)
     note.coalesce(1).write.mode("append").parquet(columns_path(table_path))
 
 
+def recorded_buckets(spark: SparkSession, table_path: str) -> int | None:
+    notes = _notes(spark, table_path)
+    return notes[-1].buckets if notes else None
+
+
 def recorded_columns(spark: SparkSession, table_path: str, months: Iterable[dt.date] | None = None) -> T.StructType | None:
     """All columns that ``months`` (by default: all months) have; None without a note of them."""
     known = _schemas_by_month(spark, table_path)

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskloom.operators.durable import observed
 from riskloom.operators.snapshots import as_dates, audit_counts, slice_snapshot
 from riskloom.schemas import SNAPSHOT
 from riskloom.sources.columns import record_columns, recorded_columns
@@ -48,10 +49,10 @@ def write_layer(
     if rebalance:
         df = df.hint("rebalance", SNAPSHOT)
     months = Observation()
-    observed = df.observe(months, F.collect_set(SNAPSHOT).alias("written"))
-    writer = observed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    watched = df.observe(months, F.collect_set(SNAPSHOT).alias("written"))
+    writer = watched.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(SNAPSHOT).parquet(path)
-    written = set(months.get["written"])
+    written = set(observed(months).get("written") or [])
     if snapshots is None:
         record_columns(spark, path, df.schema, written)
         return {}

@@ -433,3 +433,40 @@ def test_label_counts_of_the_joins(spark, sources):
         n = side.groupBy("Customer_ID", "snapshot_date").count().where("count > 1")
         assert sum(r[2] for r in report if r[1] == "clickstream") == n.count()
         assert sum(r[3] for r in report) == gold.join(n, ["Customer_ID", "snapshot_date"]).count()
+
+
+def test_bucketed_gold_is_joined_without_a_shuffle(spark, sources, tmp_path):
+    from riskloom.plans import combined as steps_of
+    from riskloom.sources.buckets import joins_use_buckets, read_bucketed
+
+    raw = write_csvs(spark, sources, f"{tmp_path}/raw")
+    plain, base = f"{tmp_path}/plain", f"{tmp_path}/lake"
+    wanted = backfill(spark, raw, plain, JAN, MAR, threshold=5)
+    assert bag(backfill(spark, raw, base, JAN, MAR, threshold=5, buckets=4)) == bag(wanted)
+    for table in ("financials", "clickstream", "attributes", "combined"):
+        rows = read_layer(spark, plain, "gold", table)
+        assert bag(read_layer(spark, base, "gold", table).select(*rows.columns)) == bag(rows)
+    lake = steps.Lake(spark, base, [JAN, FEB], 4)
+    tables = [lake.read("gold", t) for t in ("financials", "clickstream", "attributes")]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with joins_use_buckets(spark):
+            joined = steps_of.joined_features(*tables, hot=None)
+            plan = joined._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" in plan and "Exchange" not in plan and plan.count("Bucketed: true") >= 3
+            assert joined.count() == read_layer(spark, plain, "gold", "combined", [JAN, FEB]).count()
+            hot = spark.createDataFrame([("c1", JAN, 3, 1, 1)], "Customer_ID string, snapshot_date date, _rows0 int, _rows1 int, _rows2 int")
+            sliced = steps_of.joined_features(*tables, hot=hot)
+            assert bag(sliced) == bag(joined)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # A month is replaced, or emptied; another number of buckets is refused.
+    fins, clicks, attrs = sources
+    fewer = (fins.where(F.col("snapshot_date") == F.lit(JAN)), clicks, attrs)
+    backfill(spark, write_csvs(spark, fewer, f"{tmp_path}/raw2"), base, FEB, FEB, threshold=5, buckets=4)
+    assert {r[0] for r in read_bucketed(spark, base, "gold", "financials", [JAN, FEB]).select("snapshot_date").distinct().collect()} == {JAN}
+    with pytest.raises(ValueError, match="buckets"):
+        backfill(spark, raw, base, JAN, JAN, buckets=8)
+    with pytest.raises(ValueError, match="buckets"):
+        backfill(spark, raw, base, JAN, JAN)
