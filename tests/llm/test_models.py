@@ -1,5 +1,6 @@
 """Language and quality models: gradients, windows, neighbours, held-out accuracy."""
 
+import math
 import os
 
 import numpy as np
@@ -42,6 +43,48 @@ def test_probabilities_are_those_of_training():
     assert loss == pytest.approx(own, abs=1e-4)
 
 
+def test_forward_pass_against_plain_loops():
+    """One window, one position and one unit at a time."""
+    net = gru.new_network(["a", "b", "c"], 3, seed=11)
+    ids = np.random.default_rng(3).integers(0, 256, (7, 2)).astype(np.uint8)
+    soft = lambda x: x / (1 + abs(x))
+    gate = lambda x: 0.5 + 0.5 * soft(x)
+
+    def states(table, weights, symbols):
+        state, out = [0.0] * 3, []
+        for symbol in symbols:
+            drive = [float(x) for x in table[symbol]]
+            pull = [sum(float(weights[r, u]) * state[u] for u in range(3)) for r in range(9)]
+            update = [gate(drive[u] + pull[u]) for u in range(3)]
+            reset = [gate(drive[3 + u] + pull[3 + u]) for u in range(3)]
+            new = [soft(drive[6 + u] + reset[u] * pull[6 + u]) for u in range(3)]
+            state = [update[u] * state[u] + (1 - update[u]) * new[u] for u in range(3)]
+            out.append(state)
+        return out
+
+    chance = gru.probabilities(net, ids)
+    for window in range(2):
+        symbols = ids[:, window].tolist()
+        ahead = states(net.inputs[0], net.recurrence[0], symbols)
+        back = states(net.inputs[1], net.recurrence[1], symbols[::-1])[::-1]
+        for t in range(7):
+            both = ahead[t] + back[t]
+            logits = [float(net.bias[y, 0]) + sum(float(net.output[y, u]) * both[u] for u in range(6)) for y in range(3)]
+            total = sum(math.exp(x) for x in logits)
+            assert [math.exp(x) / total for x in logits] == pytest.approx(chance[:, t, window].tolist(), abs=1e-5)
+
+
+def test_all_languages_are_learned(spark, documents):
+    """Three hundred of them; each can be predicted, and clean texts are kept at any number."""
+    rows = [(i, f"{chr(0x4E00 + i % 300)} " * 30, f"l{i % 300:03d}") for i in range(900)]
+    net = language.learn_languages(documents(*rows), steps=5)
+    assert net.labels == sorted({row[2] for row in rows})
+    found = language.identify_languages(documents(*rows[:20]), net, ["doc_id"]).collect()
+    assert {r.lang_pred for r in found} <= set(net.labels) and all(0 < r.score <= 1 for r in found)
+    few = gru.new_network(["a", "b", "c", "d"], 2)
+    assert language.keep_identified(documents((1, "text"), (2, "12"), (3, None)), few, 0.5).select("doc_id").collect() == [(1,)]
+
+
 def test_every_byte_counts_once():
     texts = [b"", b"ab", bytes(range(64)), bytes(range(65)), bytes(200), b"x"]
     ids, weight, owner = language.windows(texts, 64)

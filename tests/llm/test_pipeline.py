@@ -4,9 +4,12 @@ import os
 
 import pytest
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from checks.compare import compare, connect
 from riskloom.llm import decontam, pii, queries
+from riskloom.operators.durable import durable, scratch_path
 from tests.llm.test_pii import plain_spans
 from tests.llm.test_simhash import plain_components, plain_fingerprint
 
@@ -80,3 +83,35 @@ def test_stages_on_empty_and_odd_rows(spark, documents):
 def test_stages_take_the_named_order():
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language identification", "near-duplicates", "decontamination", "personal data", "mixing"]
     assert decontam.WINDOW == 5
+
+
+def test_stages_with_odd_rows_and_columns(spark, docs):
+    """Maps, clashing names, NULLs, repeats and a long text through all stages, and scratch freed."""
+    rows = [(r.doc_id, r.text, r.lang, r.source, r.n_chars) for r in docs.collect()[:150]]
+    rows += [rows[3], (None, rows[5][1], None, None, None), (9001, None, "en", "s", 0), (9002, "", "en", "s", 0), (9003, rows[7][1] * 200, "en", None, 1)]
+    base = spark.createDataFrame(rows, docs.schema)
+    odd = base.withColumns({
+        "hash": F.create_map(F.lit("k"), F.col("lang")), "_row": F.lit("r"), "item_id": F.lit(1), "fp": F.lit(None).cast("int"),
+        "order": F.array(F.lit(1)), "a.b": F.struct(F.lit(2).alias("x")), "SPANS": F.lit(0),
+    })
+    for name, stage in corpus_pipeline.STAGES:
+        kept = stage(spark, odd, DATA)
+        assert stage(spark, odd.limit(0), DATA).count() == 0, name
+        if name != "mixing":
+            assert kept.columns == odd.columns, name
+            odd = durable(kept, "odd")
+            assert odd.select("hash.k", F.col("`a.b`.x")).count() == odd.count() > 80
+    assert kept.count() == odd.count() and 9001 not in {r.doc_id for r in kept.collect()}
+
+
+def test_run_keeps_its_result_alone(spark):
+    before = set(os.listdir(_scratch(spark)))
+    out = corpus_pipeline.run(spark, DATA)
+    assert out.count() > 0
+    assert len(set(os.listdir(_scratch(spark))) - before) == 1
+
+
+def _scratch(spark):
+    root = os.path.dirname(scratch_path(spark, "any"))
+    os.makedirs(root, exist_ok=True)
+    return root

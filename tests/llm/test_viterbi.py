@@ -7,7 +7,7 @@ import pytest
 from tokenizers import Tokenizer, models, pre_tokenizers
 
 from riskloom.llm import viterbi
-from riskloom.llm.queries import TOKENIZER
+from riskloom.llm.queries import REGISTRY, TOKENIZER
 
 SMALL = {"▁": -3.0, "a": -2.0, "b": -2.0, "ab": -4.0, "ba": -3.5, "▁a": -4.0, "aba": -6.0, "▁▁": -5.0, "é": -7.0, "abab": -8.0, "▁ab": -5.5}
 
@@ -48,9 +48,9 @@ def test_cutting_changes_nothing():
 def test_public_vocabulary():
     vocabulary = viterbi.load_vocabulary(TOKENIZER)
     assert vocabulary.bytes_known and vocabulary.separable
-    counter, count = viterbi.Counter(vocabulary), reference(viterbi.Vocabulary(vocabulary.pieces, False))
-    for text in ["The quick brown fox", "Eauouon.\nEnpaeux leaux le ouè", "a  b   c", "ñandú", "x" * 300, "return 0;"]:
-        assert counter.count(text) == count("▁" + text.replace(" ", "▁")) or "\n" in text
+    counter, count = viterbi.Counter(vocabulary), reference(vocabulary)
+    for text in ["The quick brown fox", "Eauouon.\nEnpaeux leaux le ouè", "a  b   c", "ñandú", "x" * 300, "return 0;", "日本\n🫠\t"]:
+        assert counter.count(text) == count("▁" + text.replace(" ", "▁")), text
     assert counter.count("\n") == 2  # the mark, then the line end by its byte
     assert "🫠" not in vocabulary.pieces and counter.count("🫠") == 5
 
@@ -67,3 +67,16 @@ def test_rows(spark, documents):
 def test_long_text():
     counter = viterbi.Counter(viterbi.Vocabulary(SMALL))
     assert counter.count("ab" * 100_000) > 0
+
+
+@pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.001"), reason="demo tables not present")
+def test_registered_query_on_the_whole_table(spark):
+    """Every document, line ends included, against the library."""
+    data = "/root/testdata/sf0.001"
+    count = reference(viterbi.load_vocabulary(TOKENIZER))
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{data}/documents.parquet").collect()}
+    rows = REGISTRY["op3_token_counts"](spark, data).collect()
+    assert len(rows) == len(texts) and any("\n" in text for text in texts.values() if text)
+    for r in rows:
+        text = texts[r.doc_id]
+        assert r.n_tokens == (count("▁" + text.replace(" ", "▁")) if text else 0), r.doc_id
