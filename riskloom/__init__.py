@@ -13,11 +13,13 @@ from riskloom.plans.backfill import Lake, backfill, build_bronze, build_gold, bu
 from riskloom.plans.clickstream import clickstream_gold, clickstream_silver
 from riskloom.plans.combined import combined_features
 from riskloom.plans.financials import financials_gold, financials_silver
+from riskloom.plans.index_model import IndexModel
 from riskloom.plans.loans import label_store, loan_silver
 
 __all__ = [
     "attributes_gold",
     "attributes_silver",
+    "IndexModel",
     "Lake",
     "backfill",
     "build_bronze",
