@@ -37,6 +37,7 @@ SEED = 42
 SHARD_MEMBERS = 16  # expected members of a shard for evenly spread fingerprints
 MOST_MEMBERS = 4096  # more make a shard hot: its bits are split further
 HOT_SHARD_BYTES = 64  # of a hot shard's name in a broadcast table
+IDENTITY_BYTES = 96  # of a row identity in a broadcast table
 HOT_ROWS = 10_000
 HASH_BLOCK = 65_536
 
@@ -279,5 +280,18 @@ def drop_near_copies(
     keyed = docs.withColumn(row, row_identity(docs))
     rows = durable(fingerprints(keyed, [id_column, row], text, shingle), "fingerprints")
     grouped = _grouped(rows, [id_column, row], radius)
-    kept = grouped.where(F.col(f"first.{row}") == F.col(row)).select(row).distinct()
-    return keyed.join(kept, row, "left_semi").dropDuplicates([row]).drop(row)
+    stays = F.col(f"first.{row}") == F.col(row)
+    places = durable(grouped.groupBy(row).agg(F.bool_or(stays).alias("stays"), F.count("*").alias("n")), "places")
+    gone = places.where(~F.col("stays")).select(row)
+    repeated = places.where(F.col("stays") & (F.col("n") > 1)).select(row)
+    # What goes is the smaller part: texts are not moved while its keys fit a broadcast.
+    out = keyed.join(_sized(gone), row, "left_anti")
+    if not repeated.isEmpty():
+        once = keyed.join(_sized(repeated), row, "left_semi").dropDuplicates([row])
+        out = out.join(_sized(repeated), row, "left_anti").unionByName(once)
+    return out.drop(row)
+
+
+def _sized(keys: DataFrame) -> DataFrame:
+    """Row identities, broadcast if they are few enough."""
+    return F.broadcast(keys) if keys.count() * IDENTITY_BYTES <= BROADCAST_BYTES else keys
