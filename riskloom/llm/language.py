@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.llm import gru
-from riskloom.llm.shared import fresh, learning_sample, slices, text_bytes
+from riskloom.llm.shared import learning_sample, map_rows, slices, text_bytes
 
 UNKNOWN = "und"
 UNITS = 8
@@ -156,11 +156,11 @@ def keep_identified(docs: DataFrame, net: gru.Network, over_chance: float, text:
     on in one pass; columns, repeated rows and NULL ids stay as they came. A NULL or empty text
     has no language. A tie of languages goes to the first by name.
     """
-    least_score = min(0.5, over_chance / max(len(net.labels), 1))
+    least_score, at = min(0.5, over_chance / max(len(net.labels), 1)), docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, text, 1 << 20):
-            found = predict(net, text_bytes(batch.column(batch.schema.get_field_index(text))))
+        for batch in slices(batches, f"_{at}", 1 << 20):
+            found = predict(net, text_bytes(batch.column(at)))
             yield batch.filter(pa.array([lang != UNKNOWN and score >= least_score for lang, score, *_ in found]))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_rows(docs, run)

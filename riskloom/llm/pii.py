@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.llm.boosting import Trees, calibrate, fit_trees
-from riskloom.llm.shared import slices
+from riskloom.llm.shared import map_rows, slices
 
 KINDS = ("email", "ip", "card", "phone")  # fixed values, in the order of equal starts
 # The base patterns. An address is looked for from its @, and an IPv4 number
@@ -473,12 +473,12 @@ def masked(text: str, spans) -> str:
 
 def redact(docs: DataFrame, model: SpanModel, text: str = "text", length: str = "n_chars") -> DataFrame:
     """``docs`` with personal data replaced by masks, and ``length`` (if there) set anew
-    where the text changed. Rows and columns stay as they are."""
-    schema, at = docs.schema, docs.columns.index(text)
+    where the text changed. Rows, and columns of any names and types, stay as they are."""
+    at = docs.columns.index(text)
     size_at = docs.columns.index(length) if length in docs.columns else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, text):
+        for batch in slices(batches, f"_{at}"):
             columns = list(batch.columns)
             values = columns[at].to_pylist()
             found = {i: spans for i, value in enumerate(values) if (spans := find_spans(value, model))}
@@ -493,4 +493,4 @@ def redact(docs: DataFrame, model: SpanModel, text: str = "text", length: str =
                     columns[size_at] = pa.array(sizes, columns[size_at].type)
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    return docs.mapInArrow(run, schema)
+    return map_rows(docs, run)

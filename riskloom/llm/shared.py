@@ -63,6 +63,12 @@ def learning_sample(df: DataFrame, label: str, per_label: int, counts: dict, ord
     return thin.withColumn(name, place).where(F.col(name) <= per_label).drop(name)
 
 
+def map_rows(df: DataFrame, run) -> DataFrame:
+    """``mapInArrow`` over all columns, whatever their names: ``run`` gets them as _0, _1, ..."""
+    numbered = df.toDF(*[f"_{i}" for i in range(len(df.columns))])
+    return numbered.mapInArrow(run, numbered.schema).toDF(*df.columns)
+
+
 def text_bytes(column: pa.Array) -> list[bytes | None]:
     """The UTF-8 bytes of a string column, NULL kept."""
     return column.cast(pa.binary()).to_pylist()
