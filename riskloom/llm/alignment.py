@@ -32,10 +32,10 @@ from riskloom.llm.shared import slices
 from riskloom.operators.durable import durable
 
 MARK = "▁"  # fixed value: stands for a space
-MOST_MEMORY = 250_000  # segments of a generation that a worker remembers
+MOST_MEMORY = 120_000  # segments of a generation that a worker remembers
 MOST_LENGTH = 64  # characters of a remembered segment
 HEAD_PAIRS = 1_000_000  # pairs whose counts every task is given
-BATCH_BYTES = 1 << 20  # text that is aligned at once
+BATCH_BYTES = 1 << 19  # text that is aligned at once
 
 # Texts are read in segments. A cut at this space changes neither reading, as tokens of both can
 # only start with it; each segment is read behind a space, which stands for it.
