@@ -11,7 +11,7 @@ from checks.queries import REGISTRY
 
 DATA = Path("/root/testdata")
 # The fixed columns of their SQL need a vocabulary that the smallest scale does not reach.
-LARGER = {"financials_gold", "combined_features", "backfill_features"}
+LARGER = {"financials_gold", "combined_features", "backfill_features", "backfill_two_runs", "backfill_bucketed"}
 
 pytestmark = pytest.mark.skipif(not DATA.exists(), reason="demo tables not present")
 
