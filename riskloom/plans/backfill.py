@@ -48,6 +48,7 @@ from riskloom.schemas import (
     SNAPSHOT,
     struct,
 )
+from riskloom.session import compiled_methods
 from riskloom.sources.buckets import joins_use_buckets, read_bucketed, write_bucketed
 from riskloom.sources.lake import read_layer, table_path, write_bronze, write_layer
 from riskloom.sources.raw import OPTIONAL_SNAPSHOT, RAW_TYPES, read_source
@@ -254,7 +255,7 @@ def backfill(
     months = [row[SNAPSHOT] for row in snapshot_calendar(spark, start, end).collect()]
     settings = {"gold": f" {dpd} {mob} {threshold} {loan_types}"}
     audit: Audit = []
-    with scratch_scope(spark):
+    with scratch_scope(spark), compiled_methods(spark):
         done = finished_layers(spark, base, months)
         made_from: dict[dt.date, str] = {}
         if resume and done["bronze"]:

@@ -2,21 +2,38 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
+METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
+COMPILED_BYTES = 8000  # of a method that HotSpot compiles
+
 # Settings worth having on a cluster as well. ANSI mode is left as it is.
 SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     # The financial tables are wide projections. A generated method beyond 8000 bytes is
     # never compiled by HotSpot; above that size Spark's per-operator code is faster.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
+    METHOD_LIMIT: str(COMPILED_BYTES),
     # One run of the pipeline generates more classes than the default cache of 100 keeps;
     # with room for all, a repeated plan finds its code compiled and warm. Set at start-up.
     "spark.sql.codegen.cache.maxEntries": "2000",
 }
 
 
+@contextmanager
+def compiled_methods(spark: SparkSession) -> Iterator[None]:
+    """Inside, no job runs a generated method that stays interpreted, whatever the session has set."""
+    before = spark.conf.get(METHOD_LIMIT)
+    spark.conf.set(METHOD_LIMIT, str(min(int(before), COMPILED_BYTES)))
+    try:
+        yield
+    finally:
+        spark.conf.set(METHOD_LIMIT, before)
+
+
 def local_session(cpus: str | int = "8", app: str = "riskloom", **conf: str) -> SparkSession:
     """``local[cpus]`` without a web page; ``conf`` overrides or adds settings."""
     builder = SparkSession.builder.master(f"local[{cpus}]").appName(app)

@@ -21,6 +21,7 @@ from riskloom import (
 from riskloom import schemas as S
 from riskloom.plans import backfill as steps
 from riskloom.plans.backfill import read_features
+from riskloom.session import COMPILED_BYTES, METHOD_LIMIT
 from riskloom.sources.lake import read_layer, write_layer
 from riskloom.sources.raw import read_raw, read_source
 
@@ -396,6 +397,18 @@ def test_resumed_backfill(spark, sources, tmp_path, monkeypatch):
     assert {r.layer for r in changed} == {"gold", "audit"} and {r.snapshot_date for r in changed} == {JAN, FEB, MAR}
 
 
+def test_jobs_of_a_backfill_run_compiled_methods(spark, sources, tmp_path, monkeypatch):
+    """Also in a session that has Spark's own limit, which it has again afterwards."""
+    limits, build, before = [], steps.build_silver, spark.conf.get(METHOD_LIMIT)
+    monkeypatch.setattr(steps, "build_silver", lambda lake: (limits.append(spark.conf.get(METHOD_LIMIT)), build(lake)))
+    spark.conf.set(METHOD_LIMIT, "65535")
+    try:
+        backfill(spark, write_csvs(spark, sources, f"{tmp_path}/raw"), f"{tmp_path}/lake", JAN, JAN)
+        assert (limits, spark.conf.get(METHOD_LIMIT)) == ([str(COMPILED_BYTES)], "65535")
+    finally:
+        spark.conf.set(METHOD_LIMIT, before)
+
+
 def test_fingerprints_see_rows_and_values(spark):
     schema = "a string, b string, snapshot_date date"
     prints = lambda *rows: steps.month_fingerprints({"t": spark.createDataFrame(list(rows), schema)}, [JAN])[JAN]
