@@ -191,17 +191,29 @@ FINISHED = f"at long, layer string, {SNAPSHOT} date, made_from string"
 RULES = "1"  # raised when the rules of a layer change, so that months are made anew
 
 
-def month_fingerprints(sources: Mapping[str, DataFrame], snapshots: Iterable) -> dict[dt.date, str]:
-    """For each month, a text that changes with any value, row or repetition of its raw rows, and
-    not with the order of rows or with columns that the month has no value in."""
+HASH_PART = 22  # bits of a hash that are summed as one long, which holds the sum of 2^41 rows
+
+
+def hash_sums(sources: Mapping[str, DataFrame]) -> DataFrame:
+    """(month, source, rows, sums of the parts of the row hashes): sums of longs, as decimals of
+    this size are objects."""
     narrow = []
     for source, df in sources.items():
         cells = [x for c in sorted(df.columns) for x in (F.when(F.col(c).isNotNull(), F.lit(c)), F.col(c))]
-        narrow.append(df.select(SNAPSHOT, F.lit(source).alias("source"), F.xxhash64(*cells).cast("decimal(38,0)").alias("row")))
-    sums = reduce(DataFrame.unionAll, narrow).groupBy(SNAPSHOT, "source").agg(F.count("*").alias("n"), F.sum("row").alias("sum"))
+        narrow.append(df.select(SNAPSHOT, F.lit(source).alias("source"), F.xxhash64(*cells).alias("row")))
+    low = F.lit((1 << HASH_PART) - 1).cast("long")
+    shifted = [F.shiftright("row", i * HASH_PART) for i in range(3)]  # the last one has the sign
+    parts = [F.sum(part if i == 2 else part.bitwiseAND(low)).alias(f"part{i}") for i, part in enumerate(shifted)]
+    return reduce(DataFrame.unionAll, narrow).groupBy(SNAPSHOT, "source").agg(F.count("*").alias("n"), *parts)
+
+
+def month_fingerprints(sources: Mapping[str, DataFrame], snapshots: Iterable) -> dict[dt.date, str]:
+    """For each month, a text that changes with any value, row or repetition of its raw rows, and
+    not with the order of rows or with columns that the month has no value in."""
     found: dict[dt.date, list[str]] = {day: [] for day in as_dates(snapshots)}
-    for row in sorted(sums.collect(), key=lambda row: row.source):
-        found[row[SNAPSHOT]].append(f"{row.source}:{row.n}:{row['sum']}")
+    for row in sorted(hash_sums(sources).collect(), key=lambda row: row.source):
+        total = sum(row[f"part{i}"] << i * HASH_PART for i in range(3))
+        found[row[SNAPSHOT]].append(f"{row.source}:{row.n}:{total}")
     return {day: " ".join([RULES, *parts]) for day, parts in found.items()}
 
 

@@ -420,6 +420,22 @@ def test_fingerprints_see_rows_and_values(spark):
     assert len({base, *others}) == 4
 
 
+def test_fingerprints_are_exact_sums_of_longs(spark):
+    """The sums of the row hashes, beyond the range of a long and negative, without decimals."""
+    frame = spark.range(3000).select(F.col("id").cast("string").alias("a"), F.lit(JAN).alias("snapshot_date"))
+    cells = [F.lit("a"), F.col("a"), F.lit("snapshot_date"), F.col("snapshot_date")]
+    hashed = [(r.h, frame.where(F.col("a") == r.a)) for r in frame.select("a", F.xxhash64(*cells).alias("h")).limit(40).collect()]
+    for rows in (frame, next(one for h, one in hashed if h < 0), next(one for h, one in hashed if h > 0)):
+        total = sum(r.h for r in rows.select(F.xxhash64(*cells).alias("h")).collect())
+        assert steps.month_fingerprints({"t": rows}, [JAN])[JAN] == f"{steps.RULES} t:{rows.count()}:{total}"
+    for _ in range(3):  # hashes of one sign leave the range of a long
+        frame = frame.unionAll(frame)
+    signed = frame.where(F.xxhash64(*cells) > 0)
+    total = sum(r.h * r.n for r in signed.groupBy(F.xxhash64(*cells).alias("h")).agg(F.count("*").alias("n")).collect())
+    assert total > 2**63 and steps.month_fingerprints({"t": signed}, [JAN])[JAN].endswith(f":{total}")
+    assert not [f for f in steps.hash_sums({"t": signed}).schema if f.dataType.typeName() == "decimal"]
+
+
 def test_label_counts_of_the_joins(spark, sources):
     """Counted on the narrow tables: what the joined rows have, repeated keys and gaps included."""
     from riskloom.operators.indexing import label_counts, rank_labels
