@@ -7,7 +7,9 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -196,7 +198,7 @@ def idempotent_backfill(spark, sf):
 
 
 def write_raw_files(spark: SparkSession, sf: str, without_clicks: tuple[str, ...] = ()) -> dict[str, str]:
-    """The four views as CSV directories."""
+    """The four views as CSV directories, written side by side."""
     base = scratch_path(spark, "raw")
     sources = {
         "loans": views.loans(spark, sf),
@@ -204,10 +206,16 @@ def write_raw_files(spark: SparkSession, sf: str, without_clicks: tuple[str, ...
         "attributes": views.attributes_with_copies(spark, sf),
         "financials": views.financials(spark, sf),
     }
-    for name, df in sources.items():
-        writer = df.write.option("header", True)
-        writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{base}/{name}")
-    return {name: f"{base}/{name}" for name in sources}
+    submit = inheritable_thread_target(spark)(_write_raw)
+    with ThreadPoolExecutor(max_workers=len(sources)) as pool:
+        jobs = {name: pool.submit(submit, df, f"{base}/{name}") for name, df in sources.items()}
+    return {name: job.result() for name, job in jobs.items()}
+
+
+def _write_raw(df: DataFrame, path: str) -> str:
+    writer = df.write.option("header", True)
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return path
 
 
 def _span(spark: SparkSession, sf: str) -> tuple[dt.date, dt.date]:
@@ -821,8 +829,10 @@ def backfill_two_runs(spark, sf):
     months without."""
     (first, last), base = _span(spark, sf), scratch_path(spark, "lake")
     change = dt.date.fromisoformat(SECOND_RUN)
-    backfill(spark, write_raw_files(spark, sf, without_clicks=("fe_5",)), base, first, change - dt.timedelta(days=1))
-    backfill(spark, write_raw_files(spark, sf, without_clicks=("fe_1",)), base, change, last)
+    raw = write_raw_files(spark, sf, without_clicks=("fe_5",))
+    backfill(spark, raw, base, first, change - dt.timedelta(days=1))
+    clicks = _write_raw(views.clickstream(spark, sf).drop("fe_1"), scratch_path(spark, "raw-clicks"))
+    backfill(spark, {**raw, "clickstream": clicks}, base, change, last)
     return flat(_rounded_score(read_features(spark, base, wide=True)))
 
 
