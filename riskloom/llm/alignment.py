@@ -32,14 +32,16 @@ from riskloom.llm.shared import slices
 from riskloom.operators.durable import durable
 
 MARK = "▁"  # fixed value: stands for a space
-MOST_MEMORY = 120_000  # segments of a generation that a worker remembers
+MOST_MEMORY = 180_000  # segments of a generation that a worker remembers
 MOST_LENGTH = 64  # characters of a remembered segment
+RUN = 50  # new segments that are read as one text; both libraries take longer over long ones
 HEAD_PAIRS = 1_000_000  # pairs whose counts every task is given
 BATCH_BYTES = 1 << 19  # text that is aligned at once
 
 # Texts are read in segments. A cut at this space changes neither reading, as tokens of both can
 # only start with it; each segment is read behind a space, which stands for it.
 SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
+UNSAFE_SPACE = re.compile(r" (?:(?!\S)|(?<!\S ))")  # where a text has none, every space is a safe cut
 
 
 # --- readings ---------------------------------------------------------------------------------
@@ -126,6 +128,43 @@ class Readings:
 _OPEN: dict[Readings, tuple[ByteReading, PieceReading]] = {}
 
 
+class Segments:
+    """Ids of both readings of segments, one behind the other, and each segment's place."""
+
+    def __init__(self):
+        self.places: dict[str, int] = {}
+        self.ids = [np.zeros(0, np.int32), np.zeros(0, np.int32)]
+        self.stops = [np.zeros(1, np.int64), np.zeros(1, np.int64)]  # behind each segment, and a 0 before the first
+        self.spelled = np.zeros(0, bool)
+
+    def add(self, segments: list[str], ids: list[np.ndarray], numbers: list[np.ndarray], spelled: np.ndarray) -> None:
+        """``numbers`` are the ids of each segment."""
+        self.places.update(zip(segments, range(len(self.spelled), len(self.spelled) + len(segments))))
+        self.spelled = np.concatenate((self.spelled, spelled))
+        for i in range(2):
+            self.stops[i] = np.concatenate((self.stops[i], self.stops[i][-1] + np.cumsum(numbers[i])))
+            self.ids[i] = np.concatenate((self.ids[i], ids[i]))
+
+    def take(self, at: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Both readings' ids of the segments at these places, and how many each has."""
+        ids, numbers = [], []
+        for own, stops in zip(self.ids, self.stops):
+            number = stops[at + 1] - stops[at]
+            before = np.cumsum(number) - number
+            ids.append(own[np.repeat(stops[at] - before, number) + np.arange(number.sum())])
+            numbers.append(number)
+        return ids, numbers
+
+    def forget(self, segments: list[str], n: int) -> None:
+        """Leave the first ``n`` places; ``segments`` are those of the others."""
+        for segment in segments:
+            del self.places[segment]
+        self.spelled = self.spelled[:n]
+        for i in range(2):
+            self.stops[i] = self.stops[i][: n + 1]
+            self.ids[i] = self.ids[i][: self.stops[i][-1]]
+
+
 class Reader:
     """Both readings of texts, segment by segment. Those of segments are remembered in two
     generations: when the younger is full it becomes the older one, whose segments are taken
@@ -133,58 +172,66 @@ class Reader:
 
     def __init__(self, a: ByteReading, b: PieceReading):
         self.a, self.b = a, b
-        self.known: dict[str, tuple[bytes, bytes] | None] = {}
-        self.earlier: dict[str, tuple[bytes, bytes] | None] = {}
-
-    def _learn(self, segments: list[str]) -> dict[str, tuple[bytes, bytes] | None]:
-        """Ids of both readings as 32-bit numbers; None where they do not spell the segment."""
-        plain = [s for s in segments if s and not (s[0].isspace() or s[-1].isspace())]
-        read = self._read_joined(plain) if self.b.cuttable and plain else None
-        if read is None:
-            read, plain = {}, []
-        rest = list(set(segments).difference(plain))
-        for segment, x, y in zip(rest, self.a.encode(rest), self.b.encode(rest)):
-            spelled = (" " + segment).encode()
-            both = self.a.spelled(x) == spelled == self.b.spelled(y)
-            read[segment] = (np.array(x, np.int32).tobytes(), np.array(y, np.int32).tobytes()) if both else None
-        return read
-
-    def _read_joined(self, segments: list[str]) -> dict[str, tuple[bytes, bytes]] | None:
-        """Read the segments as one text, which has safe cuts between them, and take its ids apart;
-        None if the text is not spelled."""
-        text = " ".join(segments)
-        spelled = (" " + text).encode()
-        ends = np.cumsum([len(segment.encode()) + 1 for segment in segments])
-        parts = []
-        for reading in (self.a, self.b):
-            (ids,) = reading.encode([text])
-            if reading.spelled(ids) != spelled:
-                return None
-            array = np.array(ids, np.int32)
-            stops = ((np.searchsorted(np.cumsum(reading.sizes[array]), ends) + 1) * array.itemsize).tolist()
-            raw = array.tobytes()
-            parts.append([raw[i:j] for i, j in zip([0, *stops], stops)])
-        return dict(zip(segments, zip(*parts)))
-
-    def read(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
-        """Ids of both readings of each text; empty where they do not spell it."""
-        cut = [SAFE_CUT.split(text) if self.b.cuttable else [text] for text in texts]
-        if len(self.known) > MOST_MEMORY:
-            self.known, self.earlier = {}, self.known
+        self.known, self.earlier = Segments(), Segments()
+
+    def _cut(self, text: str) -> list[str]:
+        if not self.b.cuttable:
+            return [text]
+        return SAFE_CUT.split(text) if UNSAFE_SPACE.search(text) else text.split(" ")
+
+    def _learn(self, segments: list[str]) -> None:
+        """Segments that a reading does not spell have no ids."""
+        plain = [s for s in segments if s and s == s.strip()] if self.b.cuttable else []
+        self._learn_joined(plain)
+        rest = [s for s in segments if s not in self.known.places]
+        read = list(zip(self.a.encode(rest), self.b.encode(rest)))
+        for i, (segment, (x, y)) in enumerate(zip(rest, read)):
+            if not self.a.spelled(x) == (" " + segment).encode() == self.b.spelled(y):
+                read[i] = None
+        both = list(zip(*[r or ((), ()) for r in read])) or [(), ()]
+        ids = [np.array(list(chain.from_iterable(x)), np.int32) for x in both]
+        numbers = [np.array(list(map(len, x)), np.int64) for x in both]
+        self.known.add(rest, ids, numbers, np.array([r is not None for r in read], bool))
+
+    def _learn_joined(self, segments: list[str]) -> None:
+        """Read some segments at a time as one text, which has safe cuts between them, and take its
+        ids apart; runs that are not spelled are left out."""
+        runs = [segments[i : i + RUN] for i in range(0, len(segments), RUN)]
+        texts = [" ".join(run) for run in runs]
+        read = list(zip(runs, texts, self.a.encode(texts), self.b.encode(texts)))
+        read = [r for r in read if self.a.spelled(r[2]) == (" " + r[1]).encode() == self.b.spelled(r[3])]
+        segments = list(chain.from_iterable(run for run, *_ in read))
+        ends = np.cumsum(np.array(list(map(len, map(str.encode, segments))), np.int64) + 1)
+        ids = [np.array(list(chain.from_iterable(r[i] for r in read)), np.int32) for i in (2, 3)]
+        stops = [np.searchsorted(np.cumsum(r.sizes[x]), ends) + 1 for r, x in zip((self.a, self.b), ids)]
+        self.known.add(segments, ids, [np.diff(x, prepend=0) for x in stops], np.ones(len(segments), bool))
+
+    def read(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Both readings' ids of all texts, and how many each text has; none where they do not
+        spell it."""
+        cut = [self._cut(text) for text in texts]
+        if len(self.known.places) > MOST_MEMORY:
+            self.known, self.earlier = Segments(), self.known
         known, earlier = self.known, self.earlier
-        missing = set(chain.from_iterable(cut)).difference(known)
-        again = missing.intersection(earlier)
-        known.update((segment, earlier[segment]) for segment in again)
-        known.update(self._learn(list(missing - again)))
-        out = []
-        for text, own in zip(texts, cut):
-            found = [known[segment] for segment in own]
-            spelled = bool(text) and None not in found
-            out.append((b"".join([x for x, _ in found]), b"".join([y for _, y in found])) if spelled else (b"", b""))
-        for segment in missing:
-            if len(segment) > MOST_LENGTH:
-                del known[segment]
-        return out
+        missing = set(chain.from_iterable(cut)).difference(known.places)
+        again = [segment for segment in missing if segment in earlier.places]
+        at = np.array([earlier.places[segment] for segment in again], np.int64)
+        known.add(again, *earlier.take(at), earlier.spelled[at])
+        fresh = missing.difference(again)
+        long = [segment for segment in fresh if len(segment) > MOST_LENGTH]
+        self._learn(list(fresh.difference(long)))
+        remembered = len(known.spelled)
+        self._learn(long)
+
+        at = np.fromiter(map(known.places.__getitem__, chain.from_iterable(cut)), np.int64)
+        text_of = np.repeat(np.arange(len(texts)), list(map(len, cut)))
+        spelled = np.array([bool(text) for text in texts], bool)
+        spelled[text_of[~known.spelled[at]]] = False
+        inside = spelled[text_of]
+        ids, numbers = known.take(at[inside])
+        sums = [np.bincount(text_of[inside], number, len(texts)).astype(np.int64) for number in numbers]
+        known.forget(long, remembered)
+        return ids, sums
 
 
 # --- divide and conquer -----------------------------------------------------------------------
@@ -270,14 +317,12 @@ class Aligner:
         n = len(texts)
         out = {c: np.zeros(n, np.int64) for c in COUNTS}
         digests = [""] * n
-        both = self.reader.read([t or "" for t in texts])
-        for name, ids in zip(("n_a", "n_b"), zip(*both)):
-            out[name][:] = [len(x) // 4 for x in ids]
+        (ids_a, ids_b), (out["n_a"], out["n_b"]) = self.reader.read([t or "" for t in texts])
         known = np.flatnonzero(out["n_a"])
         pair_starts = np.zeros(n + 1, np.int64)
         pairs, times = np.zeros(0, np.int64), np.zeros(0, np.int64)
         if len(known):
-            ids_a, ids_b = (np.frombuffer(b"".join(ids), np.int32).astype(np.int64) for ids in zip(*both))
+            ids_a, ids_b = ids_a.astype(np.int64), ids_b.astype(np.int64)
             ends_a, ends_b = np.cumsum(self.a.sizes[ids_a]), np.cumsum(self.b.sizes[ids_b])
             bounds_a, bounds_b = np.cumsum(out["n_a"][known]) - 1, np.cumsum(out["n_b"][known]) - 1
             cuts_a = shared_cuts(ends_a, ends_b, bounds_a)

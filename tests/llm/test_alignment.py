@@ -111,6 +111,29 @@ def test_segments_change_nothing(spark, aligner, monkeypatch):
         assert known[column].to_pylist() == [x for half in halves for x in half[column].to_pylist()]
 
 
+def test_new_segments_are_read_in_short_runs(aligner, monkeypatch):
+    """The libraries take longer a token over long texts."""
+    reader = alignment.Reader(aligner.a, aligner.b)
+    read = []
+    for reading in (aligner.a, aligner.b):
+        encode = reading.encode
+        monkeypatch.setattr(reading, "encode", lambda texts, encode=encode: read.extend(texts) or encode(texts))
+    words = [f"w{i}ä" for i in range(3000)]
+    long = "x" * (alignment.MOST_LENGTH + 1)
+    texts = [" ".join(words), "two  spaces \n here", f"{long} {words[0]}", "", words[5]]
+    ids, numbers = reader.read(texts)
+    assert max(len(text.split(" ")) for text in read) < 60  # some hold spaces
+    for i, whole in enumerate((aligner.a.model.encode_batch([f" {t}" for t in texts]), aligner.b.model.encode(texts))):
+        want = [(e.ids if i == 0 else e) if text else [] for e, text in zip(whole, texts)]
+        assert numbers[i].tolist() == list(map(len, want))
+        assert ids[i].tolist() == sum(want, [])
+    assert long not in reader.known.places
+    assert len(reader.known.places) == len(reader.known.spelled) == len(reader.known.stops[0]) - 1
+    read.clear()
+    reader.read(texts)
+    assert set(read) == {long}
+
+
 def test_long_text(documents, aligner):
     text = "Lange Wörter, short words; and 12 numbers.\n" * 30_000
     (row,) = found(documents((1, text)))
