@@ -48,8 +48,8 @@ from riskloom.schemas import (
     SNAPSHOT,
     struct,
 )
-from riskloom.session import compiled_methods
-from riskloom.sources.buckets import joins_use_buckets, read_bucketed, write_bucketed
+from riskloom.session import compiled_methods, even_splits
+from riskloom.sources.buckets import joins_use_buckets, month_groups, read_bucketed, write_bucketed
 from riskloom.sources.lake import read_layer, table_path, write_bronze, write_layer
 from riskloom.sources.raw import OPTIONAL_SNAPSHOT, RAW_TYPES, read_source
 
@@ -176,8 +176,12 @@ def build_gold(
     lake.write("gold", tables, rebalance=["label_store"])
     sources = [lake.read("gold", t) for t in ("financials", "clickstream", "attributes")]
     repeated: list[tuple] = []
+    groups: list[list[dt.date]] = []
+    if lake.buckets:
+        rows = {day: n for layer, table, day, n in lake.audit if (layer, table) == ("gold", "financials")}
+        groups = month_groups(rows, lake.buckets, lake.spark.sparkContext.defaultParallelism)
     with joins_use_buckets(lake.spark) if lake.buckets else nullcontext():
-        lake.write("gold", {"combined": combined_features(*sources, fan_out=repeated)}, rebalance=["combined"])
+        lake.write("gold", {"combined": combined_features(*sources, fan_out=repeated, groups=groups)}, rebalance=["combined"])
     counts = {(f"{table}_repeated_{what}", day): n for day, table, *both in repeated for what, n in zip(("keys", "rows"), both)}
     for table in ("clickstream", "attributes"):
         for name in (f"{table}_repeated_keys", f"{table}_repeated_rows"):
@@ -267,7 +271,7 @@ def backfill(
     months = [row[SNAPSHOT] for row in snapshot_calendar(spark, start, end).collect()]
     settings = {"gold": f" {dpd} {mob} {threshold} {loan_types}"}
     audit: Audit = []
-    with scratch_scope(spark), compiled_methods(spark):
+    with scratch_scope(spark), compiled_methods(spark), even_splits(spark):
         done = finished_layers(spark, base, months)
         made_from: dict[dt.date, str] = {}
         if resume and done["bronze"]:

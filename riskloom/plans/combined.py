@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -11,8 +12,9 @@ from pyspark.sql import functions as F
 
 from riskloom.operators.durable import BROADCAST_BYTES, ROW_OVERHEAD, durable, observed
 from riskloom.operators.indexing import COLUMN, COUNT, VALUE, label_counts, string_index
-from riskloom.operators.joins import MIN_HOT_ROWS, repeated_keys, spread_left_join
+from riskloom.operators.joins import MIN_HOT_ROWS, hot_keys, repeated_keys, spread_left_join
 from riskloom.operators.projection import classify_columns, fill_columns, select_except
+from riskloom.operators.snapshots import slice_snapshot
 from riskloom.schemas import KEYS, SNAPSHOT
 
 # Categorical columns without an index, and columns dropped from the result.
@@ -31,10 +33,26 @@ def join_attributes(df: DataFrame, attributes: DataFrame, hot="auto") -> DataFra
 
 
 def joined_features(
-    financials: DataFrame, clickstream: DataFrame, attributes: DataFrame, hot="auto", unique=(2,)
+    financials: DataFrame,
+    clickstream: DataFrame,
+    attributes: DataFrame,
+    hot="auto",
+    unique=(2,),
+    groups: Sequence[Sequence[dt.date]] = (),
 ) -> DataFrame:
-    """Both joins over one shuffle of the financials."""
-    return spread_left_join(financials, [clickstream, attributes], KEYS, hot, unique=unique)
+    """Both joins over one shuffle of the financials.
+
+    ``groups`` names all months of the tables in several groups, each of which is joined by itself:
+    tables in buckets have more tasks then. With hot keys all months are joined at once.
+    """
+    features = [clickstream, attributes]
+    if len(groups) > 1:
+        if isinstance(hot, str):
+            hot = hot_keys([financials, *features], KEYS, unique=unique)
+        if hot is None:
+            parts = [[slice_snapshot(df, days) for df in (financials, *features)] for days in groups]
+            return reduce(DataFrame.unionAll, [spread_left_join(fact, own, KEYS, None) for fact, *own in parts])
+    return spread_left_join(financials, features, KEYS, hot, unique=unique)
 
 
 @dataclass(frozen=True)
@@ -116,18 +134,20 @@ def combined_features(
     hot="auto",
     index_by: str = SNAPSHOT,
     fan_out: list[tuple] | None = None,
+    groups: Sequence[Sequence[dt.date]] = (),
 ) -> DataFrame:
     """The model table: numeric gaps 0, text columns indexed by frequency within the month.
 
     The labels are counted on the narrow sources, weighted by what the joins will make of
     their rows, so the wide joined rows exist once, in the result. ``fan_out`` receives
-    (month, feature table, repeated keys, financial rows they multiply) of the joins.
+    (month, feature table, repeated keys, financial rows they multiply) of the joins. ``groups``
+    are those of ``joined_features``.
     """
     features = {"clickstream": clickstream, "attributes": attributes}
     repeated = find_repeated(features)
     # A key is no hot key of a feature table unless it is repeated that often there.
     unique = [i for i, name in enumerate(features, start=1) if repeated.most[name] <= MIN_HOT_ROWS]
-    joined = joined_features(financials, clickstream, attributes, hot, unique)
+    joined = joined_features(financials, clickstream, attributes, hot, unique, groups)
     categorical, numeric = classify_columns(joined, KEYS)
     indexed = [c for c in categorical if c not in UNINDEXED]
     report = Observation()

@@ -9,6 +9,8 @@ from pyspark.sql import SparkSession
 
 METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
 COMPILED_BYTES = 8000  # of a method that HotSpot compiles
+SPLIT_LIMIT = "spark.sql.files.maxPartitionBytes"
+SPLIT_BYTES = 16 << 20  # of a file; a row of a lake's tables takes some ten times that in memory
 
 # Settings worth having on a cluster as well. ANSI mode is left as it is.
 SESSION_CONF = {
@@ -34,6 +36,19 @@ def compiled_methods(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(METHOD_LIMIT, before)
 
 
+@contextmanager
+def even_splits(spark: SparkSession) -> Iterator[None]:
+    """Inside, scans read short splits, so that many tasks share a large table: one split per core
+    leaves cores idle behind the longest, and its rows do not fit the memory they are sorted in."""
+    before = spark.conf.get(SPLIT_LIMIT)
+    known = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    spark.conf.set(SPLIT_LIMIT, str(min(known, SPLIT_BYTES)))
+    try:
+        yield
+    finally:
+        spark.conf.set(SPLIT_LIMIT, before)
+
+
 def local_session(cpus: str | int = "8", app: str = "riskloom", **conf: str) -> SparkSession:
     """``local[cpus]`` without a web page; ``conf`` overrides or adds settings."""
     builder = SparkSession.builder.master(f"local[{cpus}]").appName(app)

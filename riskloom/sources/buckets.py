@@ -6,7 +6,8 @@ are bucketed is Spark's own layout, which it takes from a table declaration; the
 made for a write or a read and lives in the session alone. The number of buckets is kept in the
 notes of the table's columns and is the same in all months.
 
-A join uses the buckets where nothing else has to be shuffled. Where a customer is so frequent
+A join uses the buckets where nothing else has to be shuffled. It has a task per bucket; joins of
+some months each, put together, have as many tasks as there are cores for. Where a customer is so frequent
 that its rows are cut into slices, Spark reads the same files in splits as usual.
 """
 
@@ -14,32 +15,60 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Mapping
 from contextlib import contextmanager
+from math import ceil
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.operators.durable import observed, remove_table
+from riskloom.operators.durable import BROADCAST_BYTES, observed, remove_table
 from riskloom.operators.snapshots import as_dates, audit_counts, slice_snapshot
 from riskloom.schemas import CUSTOMER, SNAPSHOT
 from riskloom.sources.columns import record_columns, recorded_buckets, recorded_columns
 from riskloom.sources.lake import table_path
 
-# Lets a join by (customer, month) use tables that lie by customer alone.
-CO_PARTITION = "spark.sql.requireAllClusterKeysForCoPartition"
+BUCKET_JOINS = {
+    # Lets a join by (customer, month) use tables that lie by customer alone.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # Joins of some months each keep their own tasks when they are put together.
+    "spark.sql.unionOutputPartitioning": "false",
+}
+JOINED_ROWS = 1_000_000  # of a bucket and some months, for one task
+FEW_ROWS = 50_000  # for which another task does not pay
+MONTH_GROUPS = 16  # joins in one plan
+BROADCAST_LIMIT = "spark.sql.autoBroadcastJoinThreshold"
 
 
 @contextmanager
 def joins_use_buckets(spark: SparkSession) -> Iterator[None]:
-    """Inside, joins by customer and month are planned on the buckets."""
-    before = spark.conf.get(CO_PARTITION)
-    spark.conf.set(CO_PARTITION, "false")
+    """Inside, joins by customer and month are planned on the buckets. Feature tables of few months
+    may be broadcast, for all joins of a plan together within the budget."""
+    known = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    settings = {**BUCKET_JOINS, BROADCAST_LIMIT: str(min(known, BROADCAST_BYTES // (4 * MONTH_GROUPS)))}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(CO_PARTITION, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def month_groups(rows: Mapping[dt.date, int], buckets: int, cores: int) -> list[list[dt.date]]:
+    """The months in runs of about equal rows. A join of one run has a task per bucket, all runs
+    together some tasks per core, however few the buckets are and however large they grow."""
+    total = sum(rows.values())
+    wanted = max(2 * cores, total / JOINED_ROWS) / buckets
+    n = max(1, min(ceil(wanted), total // (buckets * FEW_ROWS), MONTH_GROUPS, len(rows)))
+    groups: list[list[dt.date]] = [[] for _ in range(n)]
+    seen = 0
+    for day in sorted(rows):
+        groups[min(n - 1, (2 * seen + rows[day]) * n // (2 * total) if total else 0)].append(day)
+        seen += rows[day]
+    return [group for group in groups if group]
 
 
 def _declare(spark: SparkSession, path: str, schema: T.StructType, buckets: int, use: str) -> str:

@@ -21,7 +21,7 @@ from riskloom import (
 from riskloom import schemas as S
 from riskloom.plans import backfill as steps
 from riskloom.plans.backfill import read_features
-from riskloom.session import COMPILED_BYTES, METHOD_LIMIT
+from riskloom.session import COMPILED_BYTES, METHOD_LIMIT, SPLIT_BYTES, SPLIT_LIMIT
 from riskloom.sources.lake import read_layer, write_layer
 from riskloom.sources.raw import read_raw, read_source
 
@@ -409,6 +409,20 @@ def test_jobs_of_a_backfill_run_compiled_methods(spark, sources, tmp_path, monke
         spark.conf.set(METHOD_LIMIT, before)
 
 
+def test_scans_of_a_backfill_have_short_splits(spark, sources, tmp_path, monkeypatch):
+    limits, build, before = [], steps.build_silver, spark.conf.get(SPLIT_LIMIT)
+    monkeypatch.setattr(steps, "build_silver", lambda lake: (limits.append(spark.conf.get(SPLIT_LIMIT)), build(lake)))
+    raw = write_csvs(spark, sources, f"{tmp_path}/raw")
+    try:
+        for own in ("128m", "1m"):
+            spark.conf.set(SPLIT_LIMIT, own)
+            backfill(spark, raw, f"{tmp_path}/lake", JAN, JAN)
+            assert spark.conf.get(SPLIT_LIMIT) == own
+        assert limits == [str(SPLIT_BYTES), str(1 << 20)]
+    finally:
+        spark.conf.set(SPLIT_LIMIT, before)
+
+
 def test_fingerprints_see_rows_and_values(spark):
     schema = "a string, b string, snapshot_date date"
     prints = lambda *rows: steps.month_fingerprints({"t": spark.createDataFrame(list(rows), schema)}, [JAN])[JAN]
@@ -464,6 +478,47 @@ def test_label_counts_of_the_joins(spark, sources):
         assert sum(r[3] for r in report) == gold.join(n, ["Customer_ID", "snapshot_date"]).count()
 
 
+def test_month_groups_make_tasks_for_all_cores():
+    from riskloom.sources.buckets import FEW_ROWS, JOINED_ROWS, MONTH_GROUPS, month_groups
+
+    months = [dt.date(2020 + i // 12, i % 12 + 1, 1) for i in range(90)]
+    for rows in ([1_000_000] * 90, [i * 40_000 for i in range(90)], [0] * 45 + [2_000_000] + [0] * 44):
+        groups = month_groups(dict(zip(months, rows)), 8, 12)
+        assert [day for group in groups for day in group] == months  # each once
+        if max(rows) < sum(rows):
+            largest = max(sum(rows[months.index(day)] for day in group) for group in groups)
+            assert 8 * len(groups) >= 24 and largest <= max(8 * JOINED_ROWS, sum(rows) / MONTH_GROUPS) + 2 * max(rows)
+    assert month_groups(dict.fromkeys(months, FEW_ROWS // 90), 8, 12) == [months]
+    assert month_groups(dict.fromkeys(months, 0), 8, 12) == [months]
+    assert month_groups({JAN: 10**9}, 8, 12) == [[JAN]]
+
+
+def test_a_bucketed_backfill_joins_month_groups(spark, sources, tmp_path, monkeypatch):
+    """The same tables and audit with a join for each month."""
+    from riskloom.plans.combined import joined_features
+    from riskloom.sources import buckets
+
+    raw = write_csvs(spark, sources, f"{tmp_path}/raw")
+    wanted = backfill(spark, raw, f"{tmp_path}/plain", JAN, MAR, threshold=5)
+    seen = []
+    monkeypatch.setattr(steps, "month_groups", lambda rows, *_: seen.append(rows) or [[day] for day in rows])
+    audit = backfill(spark, raw, f"{tmp_path}/lake", JAN, MAR, threshold=5, buckets=4)
+    assert bag(audit) == bag(wanted)
+    assert list(seen[0]) == [JAN, FEB, MAR] and sum(seen[0].values()) == 60
+    plain, grouped = (read_layer(spark, f"{tmp_path}/{name}", "gold", "combined") for name in ("plain", "lake"))
+    assert bag(grouped.select(*plain.columns)) == bag(plain)
+    # The join has as many tasks as the groups have buckets.
+    lake, groups = steps.Lake(spark, f"{tmp_path}/lake", [JAN, FEB], 4), [[JAN], [FEB]]
+    tables = [lake.read("gold", t) for t in ("financials", "clickstream", "attributes")]
+    monkeypatch.setattr(buckets, "BROADCAST_BYTES", -64)  # sorted and merged, also this small
+    with buckets.joins_use_buckets(spark):
+        joined, grouped = (joined_features(*tables, hot=None, groups=g) for g in ([], groups))
+        assert "Exchange" not in grouped._jdf.queryExecution().executedPlan().toString()
+        assert (joined.rdd.getNumPartitions(), grouped.rdd.getNumPartitions()) == (4, 8)
+        hot = spark.createDataFrame([("c1", JAN, 3, 1, 1)], "Customer_ID string, snapshot_date date, _rows0 int, _rows1 int, _rows2 int")
+        assert bag(grouped) == bag(joined) == bag(joined_features(*tables, hot=hot, groups=groups))
+
+
 def test_bucketed_gold_is_joined_without_a_shuffle(spark, sources, tmp_path):
     from riskloom.plans import combined as steps_of
     from riskloom.sources.buckets import joins_use_buckets, read_bucketed
